@@ -69,7 +69,13 @@ def read_messages(spark: SparkSession, config: ArchiveConfig, **options) -> Data
     return as_messages(reader.load(), config.broker_id)
 
 
-def stream_messages(spark: SparkSession, config: ArchiveConfig, **options) -> DataFrame:
+def stream_messages(
+    spark: SparkSession,
+    config: ArchiveConfig,
+    max_offsets_per_trigger: int = 50_000_000,
+    **options,
+) -> DataFrame:
+    options["max_offsets_per_trigger"] = max_offsets_per_trigger
     reader = spark.readStream.format("kafka").options(**reader_options(config, **options))
     return as_messages(reader.load(), config.broker_id)
 

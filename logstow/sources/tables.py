@@ -8,12 +8,19 @@ from pyspark.sql import functions as F
 from logstow.model import MESSAGE_SCHEMA, PARTITION_KEY
 
 
-def message_stream(spark: SparkSession, path: str, max_bytes_per_trigger: str | None = None):
-    """Messages arriving as parquet files, as a stream."""
-    reader = spark.readStream.schema(MESSAGE_SCHEMA)
-    if max_bytes_per_trigger:
-        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    return reader.parquet(path)
+def message_stream(
+    spark: SparkSession, path: str, max_bytes_per_trigger: int = 8 << 30
+) -> DataFrame:
+    """Messages arriving as parquet files, as a stream.
+
+    A micro-batch is bounded, and with it what one partition's state operator
+    sorts at a time. `run_archive` is the better way through a long backlog.
+    """
+    return (
+        spark.readStream.schema(MESSAGE_SCHEMA)
+        .option("maxBytesPerTrigger", max_bytes_per_trigger)
+        .parquet(path)
+    )
 
 
 def running_total(
