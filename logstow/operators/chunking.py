@@ -24,6 +24,7 @@ from logstow.model import CHUNK_SCHEMA, PARTITION_KEY, ChunkRule
 from logstow.operators.open_chunk import OpenChunk, feed, finish
 
 DEFAULT_SLICE_ROWS = 64_000_000
+DEFAULT_GROUP_SLICES = 64
 
 
 def key_runs(batch: pa.RecordBatch, keys: list[str]) -> Iterator[tuple[tuple, int, int]]:
@@ -126,7 +127,10 @@ def fold_partitions(sizes: DataFrame, rule: ChunkRule) -> DataFrame:
 
 
 def plan_chunks(
-    messages: DataFrame, rule: ChunkRule, slice_rows: int | None = DEFAULT_SLICE_ROWS
+    messages: DataFrame,
+    rule: ChunkRule,
+    slice_rows: int | None = DEFAULT_SLICE_ROWS,
+    group_slices: int = DEFAULT_GROUP_SLICES,
 ) -> DataFrame:
     """Chunks of all partitions: offset range, messages, bytes, close reason.
 
@@ -137,6 +141,7 @@ def plan_chunks(
     slice_rows: partitions with more messages than this are planned in slices.
         Finding them takes one column-pruned counting job. None skips it, for
         inputs known to have no such partition.
+    group_slices: how many slices are followed one after the other in a task.
     """
     from logstow.operators.slices import find_hot_partitions, plan_hot_chunks
 
@@ -149,7 +154,7 @@ def plan_chunks(
     spark = messages.sparkSession
     keys = spark.createDataFrame([h.key for h in hot], CHUNK_SCHEMA[:3])
     rest = sizes.join(F.broadcast(keys), PARTITION_KEY, "left_anti")
-    return fold_partitions(rest, rule).unionByName(plan_hot_chunks(sizes, hot, rule))
+    return fold_partitions(rest, rule).unionByName(plan_hot_chunks(sizes, hot, rule, group_slices))
 
 
 def closed_chunks(chunks: DataFrame) -> DataFrame:

@@ -9,11 +9,14 @@ the state of the open chunk: its start, its bytes, and the commit timer.
    `max_bytes` of it, at some message m; from m on everything is determined.
    So the slice is folded once for all such m together, and the summary lists,
    for each m, the state the slice is left with.
-2. One pass over the summaries follows the real state from slice to slice.
-   A slice that is entered with the timer due before the size limit is not in
-   the summary, unless the timer still runs from the start of the run. It is
-   then folded with the real state, and the pass goes on behind it.
-3. Now that every slice's entry state is known, all slices are folded in
+2. The summaries of neighbouring slices are combined into one for the group,
+   so that no task has to read all summaries of a partition.
+3. The real state is followed over the groups, and then over the slices within
+   all groups at once. A summary cannot tell what happens where the timer is
+   due before the first chunk is full, unless it still runs from the start of
+   the run. Such a slice is folded with its real state, and the pass goes on
+   behind it.
+4. Now that every slice's entry state is known, all slices are folded in
    parallel, and the pieces of chunks that span slices are added up.
 
 The driver holds one small row per slice, never messages or chunks.
@@ -37,7 +40,7 @@ from logstow.shared_dir import shared_dir
 
 FAR = 2**61
 SLICE_KEY = ["hot_id", "slice"]
-SLICE_SCHEMA = "offset long, size long, arrival_ms long, hot_id int, slice long"
+SLICE_SCHEMA = "hot_id int, slice long, offset long, size long, arrival_ms long"
 
 
 @dataclass(frozen=True)
@@ -50,15 +53,20 @@ class HotPartition:
 
 @dataclass(frozen=True)
 class SliceStats:
-    """Facts about a slice that do not depend on how it is entered."""
+    """Facts about a slice, or a group of them, however it is entered.
+
+    first_clock: latest arrival in the (first) slice.
+    bytes: None for a group, whose summary only covers chunks that close in
+        its first slice.
+    """
 
     slice: int
-    bytes: int
+    bytes: int | None
     last_offset: int
+    first_clock: int
     last_clock: int
     previous_offset: int
     previous_clock: int
-    is_last: bool
 
 
 def find_hot_partitions(sizes: DataFrame, slice_rows: int) -> list[HotPartition]:
@@ -89,6 +97,7 @@ def find_hot_partitions(sizes: DataFrame, slice_rows: int) -> list[HotPartition]
 
 
 def _write_slices(sizes: DataFrame, hot: list[HotPartition], path: str) -> DataFrame:
+    """Sizes with their slice, written sorted so that single slices are found fast."""
     spark = sizes.sparkSession
     table = spark.createDataFrame(
         [(i, *h.key, h.first_offset, h.slice_width) for i, h in enumerate(hot)],
@@ -97,16 +106,15 @@ def _write_slices(sizes: DataFrame, hot: list[HotPartition], path: str) -> DataF
     (
         sizes.join(F.broadcast(table), PARTITION_KEY)
         .select(
+            "hot_id",
+            F.expr("(offset - low) div width").alias("slice"),
             "offset",
             "size",
             "arrival_ms",
-            "hot_id",
-            F.expr("(offset - low) div width").alias("slice"),
         )
         .repartition(*SLICE_KEY)
         .sortWithinPartitions(*SLICE_KEY, "offset")
-        .write.partitionBy(*SLICE_KEY)
-        .parquet(path)
+        .write.parquet(path)
     )
     return spark.read.schema(SLICE_SCHEMA).parquet(path)
 
@@ -124,11 +132,10 @@ def _slice_stats(
         before = stats[r.hot_id][-1] if stats[r.hot_id] else None
         offset = before.last_offset if before else hot[r.hot_id].start_offset
         clock = before.last_clock if before else rule.run_start_ms
+        latest = max(r.t, clock)
         stats[r.hot_id].append(
-            SliceStats(r.slice, r.b, r.o, max(r.t, clock), offset, clock, False)
+            SliceStats(r.slice, r.b, r.o, latest, latest, offset, clock)
         )
-    for parts in stats.values():
-        parts[-1] = replace(parts[-1], is_last=True)
     return dict(stats)
 
 
@@ -255,92 +262,215 @@ def _summarise(stats: dict[tuple[int, int], SliceStats], rule: ChunkRule):
     return run
 
 
-# --- step 2: follow the real state -------------------------------------------
+# --- steps 2 and 3: follow the real state ------------------------------------
+#
+# A line is a run of units that are passed one after the other: the groups of a
+# hot partition, or the slices of a group. Both are summarised in the same
+# form, keyed by (hot_id, line, unit).
 
-STATE_SCHEMA = (
-    "hot_id int, slice long, start long, end long, size long, last_commit long, clock long"
+UNIT_KEY = ["hot_id", "line", "unit"]
+STATE_COLUMNS = ["start", "end", "size", "last_commit", "clock"]
+STATE_SCHEMA = "hot_id int, line long, unit long, " + ", ".join(
+    f"{c} long" for c in STATE_COLUMNS
 )
 STATE_ARROW = pa.schema(
-    [("hot_id", pa.int32())]
-    + [
-        (name, pa.int64())
-        for name in ("slice", "start", "end", "size", "last_commit", "clock")
-    ]
+    [("hot_id", pa.int32())] + [(c, pa.int64()) for c in ["line", "unit", *STATE_COLUMNS]]
 )
+UNIT_SUMMARY_SCHEMA = SUMMARY_SCHEMA.replace("slice long", "line long, unit long")
+UNIT_SUMMARY_ARROW = pa.schema(
+    [("hot_id", pa.int32()), ("line", pa.int64()), ("unit", pa.int64()), *list(SUMMARY_ARROW)[2:]]
+)
+# In a group's summary: not known. As a unit: behind the last one.
+UNKNOWN = -1
+LINE_END = -1
+
+Line = tuple[int, int]
+Unit = tuple[int, int, int]
 
 
-def _state_row(key, c: OpenChunk) -> tuple:
-    return (*key, c.start, c.end, c.size, c.last_commit, c.clock)
+def _state_row(unit: Unit, c: OpenChunk) -> tuple:
+    return (*unit, c.start, c.end, c.size, c.last_commit, c.clock)
 
 
 def _state_of(row) -> OpenChunk:
     return OpenChunk(row.start, row.end, 0, row.size, row.last_commit, row.clock)
 
 
-def pass_slice(chunk: OpenChunk, stats: SliceStats, summary, rule: ChunkRule):
-    """State after the slice, or None if the summary cannot tell.
+def pass_unit(start, size, commit, stats: SliceStats, summary, rule: ChunkRule):
+    """Open chunks after a unit, for arrays of open chunks before it.
 
-    summary: columns of the slice's summary rows, sorted by `total`.
+    summary: the unit's summary rows as arrays, sorted by `total`. The last
+    result tells which of the others are known.
     """
-    total = summary["total"]
-    deadline = FAR
-    if rule.interval_ms is not None:
-        deadline = chunk.last_commit + rule.interval_ms
-    limit = FAR if rule.max_bytes is None else rule.max_bytes
-    at = int(np.searchsorted(total, limit - chunk.size, side="right"))
-    in_time = summary["clock"][at] if at < len(total) else stats.last_clock
-    if in_time <= deadline:
-        if at == len(total):
-            return replace(
-                chunk,
-                end=stats.last_offset,
-                size=chunk.size + stats.bytes,
-                clock=stats.last_clock,
-            )
-    elif summary["clock"][0] == chunk.last_commit:
-        at = 0
-    else:
-        return None
-    return OpenChunk(
-        int(summary["exit_start"][at]),
-        stats.last_offset,
-        0,
-        int(summary["exit_size"][at]),
-        int(summary["exit_commit"][at]),
-        stats.last_clock,
+    limit = FAR if rule.max_bytes is None else min(rule.max_bytes, FAR)
+    deadline = commit + (FAR if rule.interval_ms is None else rule.interval_ms)
+    total, clock = summary["total"], summary["clock"]
+    at = np.searchsorted(total, limit - size, side="right")
+    listed = at < len(total)
+    at = np.where(listed, at, 0)
+    in_time = np.where(listed, clock[at], stats.first_clock) <= deadline
+    at = np.where(in_time, at, 0)
+    none_closed = in_time & ~listed
+    by_timer = ~in_time & (clock[0] == commit)
+    known = (by_timer | (in_time & listed)) & (summary["exit_size"][at] >= 0)
+    if stats.bytes is not None:
+        known |= none_closed
+    return (
+        np.where(none_closed, start, summary["exit_start"][at]),
+        np.where(none_closed, size + (stats.bytes or 0), summary["exit_size"][at]),
+        np.where(none_closed, commit, summary["exit_commit"][at]),
+        known,
     )
 
 
-def _follow(states: dict[int, tuple[int, OpenChunk]], stats, rule: ChunkRule):
-    """Emit the entry state of each slice, up to one that has to be folded."""
+def _unit_summaries(batches: Iterator[pa.RecordBatch]):
+    """(hot_id, line, unit) and the summary columns of each unit, in order."""
+    key, parts = None, []
+
+    def columns():
+        table = pa.Table.from_batches(parts)
+        return {c: table.column(c).to_numpy() for c in SUMMARY_ARROW.names[2:]}
+
+    for batch in batches:
+        for run_key, i, j in key_runs(batch, UNIT_KEY):
+            if run_key != key:
+                if parts:
+                    yield key, columns()
+                key, parts = run_key, []
+            parts.append(batch.slice(i, j - i))
+    if parts:
+        yield key, columns()
+
+
+def _by_line(summaries: DataFrame) -> DataFrame:
+    return summaries.repartition("hot_id", "line").sortWithinPartitions(*UNIT_KEY, "total")
+
 
-    def slice_tables(batches):
-        key, parts = None, []
-        for batch in batches:
-            for run_key, i, j in key_runs(batch, SLICE_KEY):
-                if run_key != key:
-                    if parts:
-                        yield key, pa.Table.from_batches(parts)
-                    key, parts = run_key, []
-                parts.append(batch.slice(i, j - i))
-        if parts:
-            yield key, pa.Table.from_batches(parts)
+def _combine(stats: dict[Unit, SliceStats], rule: ChunkRule):
+    """Summary of each line as a whole: a unit of the line above."""
+
+    def batch_of(line: Line, first, state) -> pa.RecordBatch:
+        start, size, commit, known = state
+        n = len(size)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(n, line[0], dtype=np.int32)),
+                pa.array(np.zeros(n, dtype=np.int64)),
+                pa.array(np.full(n, line[1], dtype=np.int64)),
+                pa.array(first["total"]),
+                pa.array(first["clock"]),
+                pa.array(start),
+                pa.array(np.where(known, size, UNKNOWN)),
+                pa.array(commit),
+            ],
+            schema=UNIT_SUMMARY_ARROW,
+        )
 
     def run(batches):
-        chunks = {hot_id: chunk for hot_id, (_, chunk) in states.items()}
-        for key, table in slice_tables(batches):
-            chunk = chunks.get(key[0])
-            if chunk is None or key[1] <= states[key[0]][0]:
+        line = first = state = None
+        for unit, summary in _unit_summaries(batches):
+            if unit[:2] != line:
+                if line is not None:
+                    yield batch_of(line, first, state)
+                line, first = unit[:2], summary
+                size = summary["exit_size"]
+                state = (summary["exit_start"], size, summary["exit_commit"], size >= 0)
+            else:
+                *passed, known = pass_unit(*state[:3], stats[unit], summary, rule)
+                state = (*passed, known & state[3])
+        if line is not None:
+            yield batch_of(line, first, state)
+
+    return run
+
+
+def _follow(behind: dict[Line, tuple[int, OpenChunk]], stats: dict[Unit, SliceStats], rule):
+    """Emit the entry state of each unit behind the given ones, up to one that
+    cannot be passed; or else the state behind the line's last unit."""
+
+    def run(batches):
+        line, chunk = None, None
+        for unit, summary in _unit_summaries(batches):
+            if unit[:2] != line:
+                if chunk is not None:
+                    yield arrow_rows([_state_row((*line, LINE_END), chunk)], STATE_ARROW)
+                line = unit[:2]
+                chunk = behind[line][1] if line in behind else None
+            if chunk is None or unit[2] <= behind[line][0]:
                 continue
-            yield arrow_rows([_state_row(key, chunk)], STATE_ARROW)
-            columns = {
-                name: table.column(name).to_numpy() for name in table.column_names[2:]
-            }
-            chunks[key[0]] = pass_slice(chunk, stats[key], columns, rule)
+            yield arrow_rows([_state_row(unit, chunk)], STATE_ARROW)
+            start, size, commit, known = (
+                x[0]
+                for x in pass_unit(
+                    *(np.array([x]) for x in (chunk.start, chunk.size, chunk.last_commit)),
+                    stats[unit],
+                    summary,
+                    rule,
+                )
+            )
+            chunk = (
+                OpenChunk(
+                    int(start), stats[unit].last_offset, 0, int(size), int(commit),
+                    stats[unit].last_clock,
+                )
+                if known
+                else None
+            )
+        if chunk is not None:
+            yield arrow_rows([_state_row((*line, LINE_END), chunk)], STATE_ARROW)
 
     return run
 
 
+def _follow_lines(summaries: DataFrame, behind, stats, rule: ChunkRule):
+    if not behind:
+        return {}
+    rows = (
+        _by_line(
+            summaries.filter(
+                F.col("hot_id").isin(sorted({line[0] for line in behind}))
+                & F.col("line").isin(sorted({line[1] for line in behind}))
+                & (F.col("unit") > min(unit for unit, _ in behind.values()))
+            )
+        )
+        .mapInArrow(_follow(behind, stats, rule), STATE_SCHEMA)
+        .collect()
+    )
+    return {(r.hot_id, r.line, r.unit): _state_of(r) for r in rows}
+
+
+def walk_lines(units: dict[Line, list[int]], states: dict[Line, OpenChunk], exact, follow):
+    """Entry state of every unit, and the state behind every line.
+
+    states: entry state of each line. exact: entry states of some units -> the
+    states behind them. follow: states behind some units -> entry states of the
+    units after them, as far as the summaries tell.
+    """
+    entries, exits = {}, {}
+    pending = {(*line, units[line][0]): state for line, state in states.items()}
+    while pending:
+        entries.update(pending)
+        behind = {}
+        for (*line, unit), state in exact(pending).items():
+            line = tuple(line)
+            if unit == units[line][-1]:
+                exits[line] = state
+            else:
+                behind[line] = (unit, state)
+        reached: dict[Line, dict[int, OpenChunk]] = defaultdict(dict)
+        for (*line, unit), state in follow(behind).items():
+            reached[tuple(line)][unit] = state
+        pending = {}
+        for line, got in reached.items():
+            if LINE_END in got:
+                exits[line] = got.pop(LINE_END)
+            else:
+                last = max(got)
+                pending[(*line, last)] = got[last]
+            entries.update({(*line, u): s for u, s in got.items()})
+    return entries, exits
+
+
 def _fold_exact(entries: dict[tuple[int, int], OpenChunk], rule: ChunkRule):
     """Emit the exit state of slices whose entry state is given."""
 
@@ -351,62 +481,103 @@ def _fold_exact(entries: dict[tuple[int, int], OpenChunk], rule: ChunkRule):
                 continue
             if run_key != key:
                 if chunk is not None:
-                    yield arrow_rows([_state_row(key, chunk)], STATE_ARROW)
+                    yield arrow_rows([_state_row((key[0], 0, key[1]), chunk)], STATE_ARROW)
                 key, chunk = run_key, replace(entries[run_key])
             feed(chunk, offsets, sizes, arrivals, rule)
         if chunk is not None:
-            yield arrow_rows([_state_row(key, chunk)], STATE_ARROW)
+            yield arrow_rows([_state_row((key[0], 0, key[1]), chunk)], STATE_ARROW)
 
     return run
 
 
+def fold_slices(slices: DataFrame, pending: dict[Unit, OpenChunk], rule: ChunkRule):
+    """States behind single slices, by reading just these."""
+    wanted = {(hot_id, slice_no): c for (hot_id, _, slice_no), c in pending.items()}
+    rows = (
+        _per_slice(
+            slices.filter(
+                F.col("hot_id").isin(sorted({h for h, _ in wanted}))
+                & F.col("slice").isin(sorted({s for _, s in wanted}))
+            )
+        )
+        .mapInArrow(_fold_exact(wanted, rule), STATE_SCHEMA)
+        .collect()
+    )
+    lines = {(h, s): line for h, line, s in pending}
+    return {(r.hot_id, lines[(r.hot_id, r.unit)], r.unit): _state_of(r) for r in rows}
+
+
 def resolve_entries(
-    slices: DataFrame, summaries: DataFrame, hot: list[HotPartition], stats, rule: ChunkRule
+    slices: DataFrame,
+    summaries: DataFrame,
+    hot: list[HotPartition],
+    stats: dict[int, list[SliceStats]],
+    rule: ChunkRule,
+    group_slices: int,
+    path: str,
 ) -> dict[tuple[int, int], OpenChunk]:
     """Entry state of every slice."""
-    by_slice = {(h, s.slice): s for h, parts in stats.items() for s in parts}
-    last = {h: parts[-1].slice for h, parts in stats.items()}
-    entries = {}
-    pending = {
-        h: (parts[0].slice, OpenChunk.at(hot[h].start_offset, rule))
-        for h, parts in stats.items()
-    }
-    while pending:
-        wanted = {(h, s): chunk for h, (s, chunk) in pending.items()}
-        entries.update(wanted)
-        wanted = {(h, s): c for (h, s), c in wanted.items() if s != last[h]}
-        if not wanted:
-            break
-        exits = (
-            _per_slice(
-                slices.filter(
-                    F.col("hot_id").isin([h for h, _ in wanted])
-                    & F.col("slice").isin(sorted({s for _, s in wanted}))
-                )
-            )
-            .mapInArrow(_fold_exact(wanted, rule), STATE_SCHEMA)
-            .collect()
+    members: dict[Line, list[SliceStats]] = defaultdict(list)
+    for hot_id, parts in stats.items():
+        for s in parts:
+            members[(hot_id, s.slice // group_slices)].append(s)
+    units = {line: [s.slice for s in parts] for line, parts in members.items()}
+    slice_stats = {(*line, s.slice): s for line, parts in members.items() for s in parts}
+    lined = summaries.select(
+        "hot_id",
+        F.expr(f"slice div {group_slices}").alias("line"),
+        F.col("slice").alias("unit"),
+        *SUMMARY_ARROW.names[2:],
+    )
+
+    def within_groups(states: dict[Line, OpenChunk]):
+        return walk_lines(
+            units,
+            states,
+            lambda pending: fold_slices(slices, pending, rule),
+            lambda behind: _follow_lines(lined, behind, slice_stats, rule),
         )
-        behind = {r.hot_id: (r.slice, _state_of(r)) for r in exits}
-        followed = (
-            summaries.filter(
-                F.col("hot_id").isin(sorted(behind))
-                & (F.col("slice") > min(s for s, _ in behind.values()))
+
+    groups: dict[Line, list[int]] = defaultdict(list)
+    for hot_id, group in sorted(members):
+        groups[(hot_id, 0)].append(group)
+    begins = {line: OpenChunk.at(hot[line[0]].start_offset, rule) for line in groups}
+    if all(len(g) == 1 for g in groups.values()):
+        entries, _ = within_groups({(h, groups[(h, z)][0]): c for (h, z), c in begins.items()})
+    else:
+        group_stats = {
+            (hot_id, 0, group): replace(
+                parts[0],
+                bytes=None,
+                last_offset=parts[-1].last_offset,
+                last_clock=parts[-1].last_clock,
             )
-            .repartition("hot_id")
-            .sortWithinPartitions(*SLICE_KEY, "total")
-            .mapInArrow(_follow(behind, by_slice, rule), STATE_SCHEMA)
-            .collect()
+            for (hot_id, group), parts in members.items()
+        }
+        (
+            _by_line(lined)
+            .mapInArrow(_combine(slice_stats, rule), UNIT_SUMMARY_SCHEMA)
+            .write.parquet(f"{path}/group-summaries")
+        )
+        combined = slices.sparkSession.read.schema(UNIT_SUMMARY_SCHEMA).parquet(
+            f"{path}/group-summaries"
         )
-        reached = {}
-        for r in sorted(followed, key=lambda r: (r.hot_id, r.slice)):
-            entries[(r.hot_id, r.slice)] = _state_of(r)
-            reached[r.hot_id] = (r.slice, _state_of(r))
-        pending = {h: p for h, p in reached.items() if p[0] != last[h]}
-    return entries
 
+        def whole_groups(pending: dict[Unit, OpenChunk]):
+            _, exits = within_groups({(h, g): c for (h, _, g), c in pending.items()})
+            return {(h, 0, g): c for (h, g), c in exits.items()}
+
+        group_entries, _ = walk_lines(
+            groups,
+            begins,
+            whole_groups,
+            lambda behind: _follow_lines(combined, behind, group_stats, rule),
+        )
+        entries, _ = within_groups({(h, g): c for (h, _, g), c in group_entries.items()})
+    return {(h, s): chunk for (h, _, s), chunk in entries.items()}
 
-# --- step 3: chunks ----------------------------------------------------------
+
+# --- step 4: chunks ----------------------------------------------------------
 
 PIECE_SCHEMA = (
     "hot_id int, start_offset long, end_offset long, message_count long, "
@@ -424,8 +595,8 @@ PIECE_ARROW = pa.schema(
 )
 
 
-def _pieces(entries: dict[tuple[int, int], OpenChunk], stats, rule: ChunkRule):
-    """Each slice's share of its chunks."""
+def _pieces(entries: dict[tuple[int, int], OpenChunk], last: dict[int, int], rule: ChunkRule):
+    """Each slice's share of its chunks. last: last slice of each partition."""
 
     def run(batches):
         key, chunk, carried = None, None, 0
@@ -439,7 +610,7 @@ def _pieces(entries: dict[tuple[int, int], OpenChunk], stats, rule: ChunkRule):
             return out
 
         def leave():
-            if stats[key].is_last:
+            if key[1] == last[key[0]]:
                 return share(finish(chunk, rule))
             return share([chunk.close(None)]) if chunk.count else []
 
@@ -459,23 +630,24 @@ def _pieces(entries: dict[tuple[int, int], OpenChunk], stats, rule: ChunkRule):
     return run
 
 
-def plan_hot_chunks(sizes: DataFrame, hot: list[HotPartition], rule: ChunkRule) -> DataFrame:
+def plan_hot_chunks(
+    sizes: DataFrame, hot: list[HotPartition], rule: ChunkRule, group_slices: int
+) -> DataFrame:
     """Chunks of the given partitions, planned slice by slice."""
     spark = sizes.sparkSession
     path = shared_dir(spark, "chunk-plan")
     slices = _write_slices(sizes, hot, f"{path}/slices")
     stats = _slice_stats(slices, hot, rule)
     by_slice = {(h, s.slice): s for h, parts in stats.items() for s in parts}
-
     (
         _per_slice(slices)
         .mapInArrow(_summarise(by_slice, rule), SUMMARY_SCHEMA)
         .write.parquet(f"{path}/summaries")
     )
     summaries = spark.read.schema(SUMMARY_SCHEMA).parquet(f"{path}/summaries")
-    entries = resolve_entries(slices, summaries, hot, stats, rule)
-
-    pieces = _per_slice(slices).mapInArrow(_pieces(entries, by_slice, rule), PIECE_SCHEMA)
+    entries = resolve_entries(slices, summaries, hot, stats, rule, group_slices, path)
+    last = {h: parts[-1].slice for h, parts in stats.items()}
+    pieces = _per_slice(slices).mapInArrow(_pieces(entries, last, rule), PIECE_SCHEMA)
     keys = spark.createDataFrame(
         [(i, *h.key) for i, h in enumerate(hot)],
         "hot_id int, topic string, broker_id int, partition_id int",

@@ -30,6 +30,9 @@ COMPRESSION = {
     "mapreduce.output.fileoutputformat.compress.type": "BLOCK",
     "mapreduce.output.fileoutputformat.compress.codec": "org.apache.hadoop.io.compress.BZip2Codec",
 }
+# Tasks move their own file out of the attempt folder; without a _SUCCESS mark
+# a window is dropped as a whole.
+COMMITTER = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
 
 # No topic may contain this character, so the folder cannot be one.
 STAGING = "~staging"
@@ -120,7 +123,7 @@ def _write_window(messages: DataFrame, chunks: list[tuple], path: str) -> None:
     rows.rdd.mapPartitionsWithIndex(
         _checked_records([c[5] for c in chunks])
     ).saveAsNewAPIHadoopFile(
-        path, OUTPUT_FORMAT, keyClass=KEY_CLASS, valueClass=VALUE_CLASS, conf=COMPRESSION
+        path, OUTPUT_FORMAT, keyClass=KEY_CLASS, valueClass=VALUE_CLASS, conf=COMPRESSION | COMMITTER
     )
 
 

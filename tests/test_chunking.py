@@ -50,9 +50,9 @@ RULES = [
 ]
 
 
-def planned(spark, rows, rule, slice_rows):
+def planned(spark, rows, rule, slice_rows, group_slices=64):
     df = spark.createDataFrame(rows, SIZES)
-    return sorted(tuple(r) for r in plan_chunks(df, rule, slice_rows).collect())
+    return sorted(tuple(r) for r in plan_chunks(df, rule, slice_rows, group_slices).collect())
 
 
 @pytest.mark.parametrize("rule", RULES, ids=str)
@@ -67,6 +67,12 @@ def test_slices_give_the_same_chunks(spark, rule):
     assert planned(spark, rows, rule, 40) == expected(rows, rule)
 
 
+@pytest.mark.parametrize("rule", RULES, ids=str)
+def test_groups_of_slices_give_the_same_chunks(spark, rule):
+    rows = make_log(3)
+    assert planned(spark, rows, rule, 25, 3) == expected(rows, rule)
+
+
 @pytest.mark.parametrize("seed", [11, 12])
 def test_only_hot_partitions_are_sliced(spark, seed):
     rows = make_log(seed, partitions=4, n=300, burst=0.8)
@@ -77,7 +83,7 @@ def test_only_hot_partitions_are_sliced(spark, seed):
 def test_equal_sizes_never_fall_into_step(spark):
     rows = [("t", 0, 0, i, 7, 1000 + i // 4, 0) for i in range(1, 900)]
     rule = ChunkRule(100, 5000, 1000)
-    assert planned(spark, rows, rule, 90) == expected(rows, rule)
+    assert planned(spark, rows, rule, 90, 3) == expected(rows, rule)
 
 
 def test_reference_points(spark):
