@@ -5,34 +5,32 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def file_system(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+class Folder:
+    """A folder on whatever file system its path names."""
 
+    def __init__(self, spark: SparkSession, path: str):
+        self.path = path.rstrip("/")
+        self._path_class = spark._jvm.org.apache.hadoop.fs.Path
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._fs = self._path_class(path).getFileSystem(conf)
 
-def to_path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
+    def _at(self, name: str):
+        return self._path_class(f"{self.path}/{name}" if name else self.path)
 
+    def exists(self, name: str = "") -> bool:
+        return self._fs.exists(self._at(name))
 
-def exists(spark: SparkSession, path: str) -> bool:
-    return file_system(spark, path).exists(to_path(spark, path))
+    def names(self) -> list[str]:
+        """Names of the direct children; none if the folder is not there."""
+        if not self.exists():
+            return []
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(self._at("")))
 
+    def make(self, name: str = "") -> None:
+        self._fs.mkdirs(self._at(name))
 
-def list_names(spark: SparkSession, path: str) -> list[str]:
-    """Names of the direct children of a folder; empty if there is none."""
-    fs = file_system(spark, path)
-    if not fs.exists(to_path(spark, path)):
-        return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(to_path(spark, path)))
+    def rename(self, source: str, target: str) -> bool:
+        return self._fs.rename(self._at(source), self._at(target))
 
-
-def make_dir(spark: SparkSession, path: str) -> None:
-    file_system(spark, path).mkdirs(to_path(spark, path))
-
-
-def rename(spark: SparkSession, source: str, target: str) -> bool:
-    return file_system(spark, source).rename(to_path(spark, source), to_path(spark, target))
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    file_system(spark, path).delete(to_path(spark, path), True)
+    def delete(self, name: str = "") -> None:
+        self._fs.delete(self._at(name), True)

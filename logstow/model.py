@@ -60,6 +60,10 @@ RECORD_SCHEMA = T.StructType(
     [T.StructField("key", T.StringType()), T.StructField("value", T.BinaryType())]
 )
 
+# Record classes of the archive's files.
+KEY_CLASS = "org.apache.hadoop.io.Text"
+VALUE_CLASS = "org.apache.hadoop.io.BytesWritable"
+
 
 @dataclass(frozen=True)
 class ChunkRule:

@@ -73,16 +73,29 @@ def find_hot_partitions(sizes: DataFrame, slice_rows: int) -> list[HotPartition]
     """Partitions with more than `slice_rows` messages.
 
     There are at most (all messages / slice_rows) of them, so the list is small.
+    The counting job reads the partition key alone; offsets are only looked at
+    where a partition is hot.
     """
-    rows = (
+    counts = (
         sizes.groupBy(*PARTITION_KEY)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") > slice_rows)
+        .collect()
+    )
+    if not counts:
+        return []
+    table = sizes.sparkSession.createDataFrame(
+        counts, "topic string, broker_id int, partition_id int, n long"
+    )
+    rows = (
+        sizes.join(F.broadcast(table), PARTITION_KEY)
+        .groupBy(*PARTITION_KEY)
         .agg(
-            F.count(F.lit(1)).alias("n"),
+            F.max("n").alias("n"),
             F.min("offset").alias("low"),
             F.max("offset").alias("high"),
             F.max("start_offset").alias("start"),
         )
-        .filter(F.col("n") > slice_rows)
         .collect()
     )
     return [

@@ -37,7 +37,7 @@ from logstow.sources.archive import (
     parse_objects,
     read_catalog,
     read_objects,
-    read_topic,
+    read_topics,
 )
 from logstow.sources.tables import message_stream
 from logstow.streaming.archive_stream import start_archive
@@ -216,7 +216,7 @@ def gauges(spark, sf_dir):
 def _archived_documents(spark, sf_dir) -> tuple[str, list[str]]:
     """Archive the documents' closed chunks in a fresh folder."""
     path = shared_dir(spark, "archive")
-    log = documents_log(spark, sf_dir)
+    log = written(documents_log(spark, sf_dir), f"{path}/log")
     chunks = written(closed_chunks(plan_chunks(log, DOCUMENT_RULE)), f"{path}/chunks")
     write_chunks(log, chunks, f"{path}/base")
     topics = [r.topic for r in chunks.select("topic").distinct().collect()]
@@ -225,11 +225,7 @@ def _archived_documents(spark, sf_dir) -> tuple[str, list[str]]:
 
 def archive_roundtrip(spark, sf_dir):
     base, topics = _archived_documents(spark, sf_dir)
-    records = None
-    for topic in topics:
-        part = archived_messages(read_topic(spark, base, topic))
-        records = part if records is None else records.union(part)
-    return records.select(
+    return archived_messages(read_topics(spark, base, topics)).select(
         *PARTITION_KEY, "offset", payload_size().alias("payload_bytes"), F.md5("value").alias("md5")
     )
 

@@ -17,13 +17,11 @@ from operator import or_
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logstow import hadoop
 from logstow.functions.names import object_key, record_key
-from logstow.model import PARTITION_KEY
+from logstow.hadoop import Folder
+from logstow.model import KEY_CLASS, PARTITION_KEY, VALUE_CLASS
 
 # The archive's file format.
-KEY_CLASS = "org.apache.hadoop.io.Text"
-VALUE_CLASS = "org.apache.hadoop.io.BytesWritable"
 OUTPUT_FORMAT = "org.apache.hadoop.mapreduce.lib.output.SequenceFileOutputFormat"
 COMPRESSION = {
     "mapreduce.output.fileoutputformat.compress": "true",
@@ -127,35 +125,36 @@ def _write_window(messages: DataFrame, chunks: list[tuple], path: str) -> None:
     )
 
 
-def _publish_window(spark: SparkSession, base: str, window: str, threads: int) -> int:
+def _publish_window(spark: SparkSession, archive: Folder, window: str, threads: int) -> int:
     """Rename a finished window's files to their object names.
 
     Renames start in offset order. An object that is already there was
     published by an earlier attempt.
     """
     named = (
-        spark.read.parquet(f"{window}/names")
-        .withColumn("target", object_key(base))
+        spark.read.parquet(f"{archive.path}/{window}/names")
+        .withColumn("target", F.substring(object_key(""), 2, 1 << 20))
         .orderBy("chunk_no")
         .select("chunk_no", "topic", "target")
         .collect()
     )
     for topic in sorted({r.topic for r in named}):
-        hadoop.make_dir(spark, f"{base}/{topic}")
-    staged = set(hadoop.list_names(spark, f"{window}/data"))
+        archive.make(topic)
+    staged = set(Folder(spark, f"{archive.path}/{window}/data").names())
 
     def move(row) -> None:
         part = f"part-r-{row.chunk_no:05d}"
-        if part not in staged or hadoop.exists(spark, row.target):
-            if not hadoop.exists(spark, row.target):
-                raise FileNotFoundError(f"{window}/data/{part} for {row.target}")
-        elif not hadoop.rename(spark, f"{window}/data/{part}", row.target):
+        if archive.exists(row.target):
+            return
+        if part not in staged:
+            raise FileNotFoundError(f"{window}/data/{part} for {row.target}")
+        if not archive.rename(f"{window}/data/{part}", row.target):
             raise OSError(f"cannot publish {row.target}")
 
     with ThreadPoolExecutor(threads) as pool:
         for _ in pool.map(move, named):
             pass
-    hadoop.delete(spark, window)
+    archive.delete(window)
     return len(named)
 
 
@@ -165,15 +164,15 @@ def recover(spark: SparkSession, base: str, owner: str, threads: int = 32) -> in
     Windows that were completely written are published; others are dropped,
     their messages are still unread as far as the archive is concerned.
     """
-    base = base.rstrip("/")
-    root = f"{base}/{STAGING}/{owner}"
+    archive = Folder(spark, base)
+    staging = f"{STAGING}/{owner}"
     published = 0
-    for name in hadoop.list_names(spark, root):
-        window = f"{root}/{name}"
-        if hadoop.exists(spark, f"{window}/data/_SUCCESS"):
-            published += _publish_window(spark, base, window, threads)
+    for name in Folder(spark, f"{archive.path}/{staging}").names():
+        window = f"{staging}/{name}"
+        if archive.exists(f"{window}/data/_SUCCESS"):
+            published += _publish_window(spark, archive, window, threads)
         else:
-            hadoop.delete(spark, window)
+            archive.delete(window)
     return published
 
 
@@ -195,7 +194,7 @@ def write_chunks(
         same archive must differ in it.
     """
     spark = chunks.sparkSession
-    base = base.rstrip("/")
+    archive = Folder(spark, base)
     todo = (
         chunks.select(*PARTITION_KEY, "start_offset", "end_offset", "message_count")
         .orderBy(*PARTITION_KEY, "start_offset")
@@ -206,15 +205,15 @@ def write_chunks(
         window = [tuple(r) for r in islice(todo, chunks_per_job)]
         if not window:
             return published
-        stage = f"{base}/{STAGING}/{owner}/w{number:08d}"
-        hadoop.delete(spark, stage)
+        stage = f"{STAGING}/{owner}/w{number:08d}"
+        archive.delete(stage)
         spark.createDataFrame(
             [(*c[:5], i) for i, c in enumerate(window)],
             "topic string, broker_id int, partition_id int, start_offset long, "
             "end_offset long, chunk_no int",
-        ).write.parquet(f"{stage}/names")
+        ).write.parquet(f"{archive.path}/{stage}/names")
         ranges = partition_ranges(window)
         source = messages(ranges) if callable(messages) else messages.filter(range_filter(ranges))
-        _write_window(source, window, f"{stage}/data")
-        published += _publish_window(spark, base, stage, threads)
+        _write_window(source, window, f"{archive.path}/{stage}/data")
+        published += _publish_window(spark, archive, stage, threads)
     return published

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logstow.functions.names import object_name_fields, record_key_fields
-from logstow.hadoop import exists
-from logstow.model import CATALOG_SCHEMA, RECORD_SCHEMA
+from logstow.hadoop import Folder
+from logstow.model import CATALOG_SCHEMA, KEY_CLASS, RECORD_SCHEMA, VALUE_CLASS
 
-# Objects a listing task looks at; keeps the number of tasks in bounds.
+# A listing opens no object, so it needs few tasks however many objects there are.
 LISTING_TASKS = 256
+# Paths joined into one input specification.
+PATHS_PER_READ = 4096
 
 
 def list_objects(spark: SparkSession, base: str, topics: Iterable[str]) -> DataFrame:
@@ -21,8 +24,8 @@ def list_objects(spark: SparkSession, base: str, topics: Iterable[str]) -> DataF
     Only names and lengths are read, no object is opened. A topic that has not
     been archived yet has no folder.
     """
-    base = base.rstrip("/")
-    folders = [f"{base}/{t}" for t in sorted(topics) if exists(spark, f"{base}/{t}")]
+    archive = Folder(spark, base)
+    folders = [f"{archive.path}/{t}" for t in sorted(topics) if archive.exists(t)]
     if not folders:
         return spark.createDataFrame([], "topic string, name string, length long, path string")
     parts = F.split("path", "/")
@@ -88,19 +91,22 @@ def objects_between(catalog: DataFrame, low: int | None = None, high: int | None
 
 def read_objects(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
     """Records of the given objects: key and value, byte for byte."""
-    joined = ",".join(paths)
-    if not joined:
+    sc = spark.sparkContext
+    rest = iter(paths)
+    parts = []
+    while some := list(islice(rest, PATHS_PER_READ)):
+        parts.append(sc.sequenceFile(",".join(some), KEY_CLASS, VALUE_CLASS))
+    if not parts:
         return spark.createDataFrame([], RECORD_SCHEMA)
-    records = spark.sparkContext.sequenceFile(
-        joined, "org.apache.hadoop.io.Text", "org.apache.hadoop.io.BytesWritable"
-    )
+    records = parts[0] if len(parts) == 1 else sc.union(parts)
     return spark.createDataFrame(records, RECORD_SCHEMA, verifySchema=False)
 
 
-def read_topic(spark: SparkSession, base: str, topic: str) -> DataFrame:
-    """All records of a topic, by one path pattern."""
-    folder = f"{base.rstrip('/')}/{topic}"
-    return read_objects(spark, [f"{folder}/[0-9]*_*"] if exists(spark, folder) else [])
+def read_topics(spark: SparkSession, base: str, topics: Iterable[str]) -> DataFrame:
+    """All records of some topics, by one path pattern per topic."""
+    archive = Folder(spark, base)
+    found = [t for t in sorted(topics) if archive.exists(t)]
+    return read_objects(spark, [f"{archive.path}/{t}/[0-9]*_*" for t in found])
 
 
 def archived_messages(records: DataFrame) -> DataFrame:

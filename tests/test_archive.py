@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from logstow import hadoop
+from logstow.hadoop import Folder
 from logstow.model import MESSAGE_SCHEMA, PARTITION_SCHEMA, ChunkRule
 from logstow.operators.chunking import closed_chunks, plan_chunks
 from logstow.operators.integrity import GapError, chunk_gaps, lost_data_gaps
@@ -19,7 +19,7 @@ from logstow.sources.archive import (
     objects_between,
     read_catalog,
     read_objects,
-    read_topic,
+    read_topics,
     rejected_objects,
 )
 
@@ -63,11 +63,10 @@ def object_names(base):
 
 
 def everything(spark, base, topics=("a.b_c", "_hidden")):
-    out = []
-    for t in topics:
-        for r in archived_messages(read_topic(spark, base, t)).collect():
-            out.append((r.topic, r.broker_id, r.partition_id, r.offset, bytes(r.value)))
-    return sorted(out)
+    return sorted(
+        (r.topic, r.broker_id, r.partition_id, r.offset, bytes(r.value))
+        for r in archived_messages(read_topics(spark, base, topics)).collect()
+    )
 
 
 def test_chunk_file_has_keys_values_and_classes(spark, tmp_path):
@@ -108,11 +107,12 @@ def test_round_trip_is_byte_for_byte(spark, tmp_path):
         messages_of(spark, rows), parts_for(spark), base, ChunkRule(40, None), chunks_per_job=4
     )
     assert run.published == closed_chunks(run.chunks).count() == len(object_names(base))
+    assert run.published > 4
     got = everything(spark, base)
     tails = {tuple(r)[:3]: r.start_offset for r in run.open_tails.collect()}
     want = [r[:5] for r in rows if r[3] <= tails.get(r[:3], 10**9)]
     assert got == sorted(want)
-    assert hadoop.list_names(spark, f"{base}/~staging/default") == []
+    assert Folder(spark, f"{base}/~staging/default").names() == []
 
 
 def test_second_run_reads_only_what_is_new(spark, tmp_path):
@@ -133,15 +133,15 @@ def test_second_run_reads_only_what_is_new(spark, tmp_path):
 @pytest.mark.parametrize("survivors", [0, 2])
 def test_crash_while_publishing_is_completed(spark, tmp_path, monkeypatch, survivors):
     base, rows, rule = str(tmp_path), sample_log(), ChunkRule(40, None)
-    real, done = hadoop.rename, []
+    real, done = Folder.rename, []
 
-    def failing(session, source, target):
+    def failing(folder, source, target):
         if len(done) >= survivors:
             raise OSError("lost")
         done.append(target)
-        return real(session, source, target)
+        return real(folder, source, target)
 
-    monkeypatch.setattr(sequence_files.hadoop, "rename", failing)
+    monkeypatch.setattr(Folder, "rename", failing)
     with pytest.raises(OSError):
         write_chunks(
             messages_of(spark, rows),
@@ -149,7 +149,7 @@ def test_crash_while_publishing_is_completed(spark, tmp_path, monkeypatch, survi
             base,
             threads=1,
         )
-    monkeypatch.setattr(sequence_files.hadoop, "rename", real)
+    monkeypatch.setattr(Folder, "rename", real)
     assert len(object_names(base)) == survivors
     assert recover(spark, base, "default") > 0
     run_archive(messages_of(spark, rows), parts_for(spark), base, rule)
@@ -168,9 +168,9 @@ def test_crash_while_writing_is_dropped(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(sequence_files, "_write_window", failing)
     with pytest.raises(RuntimeError):
         run_archive(messages_of(spark, rows), parts_for(spark), base, rule)
-    assert hadoop.list_names(spark, f"{base}/~staging/default") != []
+    assert Folder(spark, f"{base}/~staging/default").names() != []
     assert recover(spark, base, "default") == 0
-    assert hadoop.list_names(spark, f"{base}/~staging/default") == []
+    assert Folder(spark, f"{base}/~staging/default").names() == []
 
 
 def test_message_missing_at_write_time_fails(spark, tmp_path):
