@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # The archive's naming formats.
 RECORD_KEY_FORMAT = "%s:%d:%d:%d"
-OBJECT_KEY_FORMAT = "%s/%s/%d_%d_%019d_%019d"
+OBJECT_PATH_FORMAT = "%s/%d_%d_%019d_%019d"
 RECORD_KEY_PATTERN = r"^(.*):(\d+):(\d+):(\d+)$"
 OBJECT_NAME_PATTERN = r"^(\d+)_(\d+)_(.*)$"
 LONG_PATTERN = r"^[+-]?[0-9]+$"
@@ -30,12 +30,10 @@ def normalize_prefix(prefix: Column) -> Column:
     return F.regexp_replace(prefix, "/$", "")
 
 
-def object_key(prefix: Column | str) -> Column:
-    """Name of a chunk's object; offsets padded so that names sort by offset."""
-    prefix = F.lit(prefix) if isinstance(prefix, str) else prefix
+def object_path() -> Column:
+    """A chunk's place below the archive's prefix; padded to sort by offset."""
     return F.format_string(
-        OBJECT_KEY_FORMAT,
-        prefix,
+        OBJECT_PATH_FORMAT,
         F.col("topic"),
         F.col("broker_id"),
         F.col("partition_id"),
@@ -44,6 +42,12 @@ def object_key(prefix: Column | str) -> Column:
     )
 
 
+def object_key(prefix: Column | str) -> Column:
+    """Full name of a chunk's object."""
+    prefix = F.lit(prefix) if isinstance(prefix, str) else prefix
+    return F.concat(prefix, F.lit("/"), object_path())
+
+
 def object_name_fields(name: Column) -> dict[str, Column]:
     """Split `<broker>_<partition>_<start>_<end>`.
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logstow.config import ArchiveConfig
+
 
 def select_topics(messages: DataFrame, topics: Iterable[str]) -> DataFrame:
     """Keep configured topics; a plain IN filter, so it reaches the scan."""
@@ -35,3 +37,15 @@ def with_gap_policy(partitions: DataFrame, ignore_gaps_topics: Iterable[str]) ->
     return partitions.withColumn(
         "ignore_gaps", F.col("topic").isin(sorted(ignore_gaps_topics))
     )
+
+
+def configured_partitions(spark: SparkSession, config: ArchiveConfig) -> DataFrame:
+    """Partitions and gap policy as the settings have them."""
+    topics = spark.createDataFrame([(t,) for t in sorted(config.topics)], "topic string")
+    overrides = spark.createDataFrame(
+        sorted(config.partition_counts.items()), "topic string, partition_count int"
+    )
+    partitions = enumerate_partitions(
+        topics, overrides, config.default_partitions, config.broker_id
+    )
+    return with_gap_policy(partitions, config.ignore_gaps_topics)

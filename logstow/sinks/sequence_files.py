@@ -17,7 +17,7 @@ from operator import or_
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logstow.functions.names import object_key, record_key
+from logstow.functions.names import object_path, record_key
 from logstow.hadoop import Folder
 from logstow.model import KEY_CLASS, PARTITION_KEY, VALUE_CLASS
 
@@ -133,7 +133,7 @@ def _publish_window(spark: SparkSession, archive: Folder, window: str, threads:
     """
     named = (
         spark.read.parquet(f"{archive.path}/{window}/names")
-        .withColumn("target", F.substring(object_key(""), 2, 1 << 20))
+        .withColumn("target", object_path())
         .orderBy("chunk_no")
         .select("chunk_no", "topic", "target")
         .collect()

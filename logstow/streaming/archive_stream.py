@@ -42,7 +42,7 @@ def fire_timer(chunk: OpenChunk, now: int, interval: int):
     return [] if chunk.is_empty() else [chunk.close("interval")]
 
 
-def _advance(rule: ChunkRule):
+def _advance(rule: ChunkRule, jump_to_first: bool):
     def advance(key, batches, state: GroupState):
         now = state.getCurrentProcessingTimeMs()
         chunk = OpenChunk(*state.get) if state.exists else None
@@ -52,6 +52,8 @@ def _advance(rule: ChunkRule):
             messages = pd.concat(list(batches)).sort_values("offset")
             if chunk is None:
                 start = int(messages["start_offset"].iloc[0])
+                if jump_to_first:
+                    start = max(start, int(messages["offset"].iloc[0]) - 1)
                 chunk = OpenChunk(start, start, 0, 0, now, now)
             closed = feed(
                 chunk,
@@ -68,10 +70,15 @@ def _advance(rule: ChunkRule):
     return advance
 
 
-def closing_chunks(messages: DataFrame, starts: DataFrame, rule: ChunkRule) -> DataFrame:
+def closing_chunks(
+    messages: DataFrame, starts: DataFrame, rule: ChunkRule, jump_to_first: bool = False
+) -> DataFrame:
     """Stream of chunks as they close, by size or by the processing-time timer.
 
     starts: start position of each partition, as the archive has it.
+    jump_to_first: for topics that ignore gaps, where offsets count messages
+        and the log's beginning is not in `starts`: a partition starts right
+        before the first message that is still there.
     """
     sizes = messages.select(*PARTITION_KEY, "offset", payload_size().alias("size"))
     timeout = (
@@ -82,7 +89,9 @@ def closing_chunks(messages: DataFrame, starts: DataFrame, rule: ChunkRule) -> D
     return (
         resume_scan(sizes, starts)
         .groupBy(*PARTITION_KEY)
-        .applyInPandasWithState(_advance(rule), CHUNK_SCHEMA, STATE_SCHEMA, "append", timeout)
+        .applyInPandasWithState(
+            _advance(rule, jump_to_first), CHUNK_SCHEMA, STATE_SCHEMA, "append", timeout
+        )
     )
 
 
@@ -96,6 +105,7 @@ def start_archive(
     owner: str = "stream",
     trigger: dict | None = None,
     chunks_per_job: int = CHUNKS_PER_JOB,
+    jump_to_first: bool = False,
 ) -> StreamingQuery:
     """Start the archive job.
 
@@ -115,7 +125,7 @@ def start_archive(
         chunks = closed.sparkSession.read.schema(CHUNK_SCHEMA).parquet(table)
         write_chunks(log, chunks, base, owner, chunks_per_job)
 
-    closed = closing_chunks(messages, starts, rule).observe(
+    closed = closing_chunks(messages, starts, rule, jump_to_first).observe(
         "committed",
         F.count(F.lit(1)).alias("chunks"),
         F.coalesce(F.sum("message_count"), F.lit(0)).alias("messages"),

@@ -106,3 +106,21 @@ def test_timer_of_an_empty_chunk_moves_on():
     chunk.end, chunk.count, chunk.size = 9, 1, 4
     assert fire_timer(chunk, 1041, 10) == [(5, 9, 1, 4, "interval")]
     assert (chunk.start, chunk.last_commit) == (9, 1040)
+
+
+def test_topics_that_ignore_gaps_start_at_the_first_message(spark, tmp_path):
+    log, base = str(tmp_path / "log"), str(tmp_path / "base")
+    rows = [("t", 3, 0, o, b"message_1", 0) for o in (501, 502, 503)]
+    messages_of(spark, rows).coalesce(1).write.parquet(log)
+    query = start_archive(
+        message_stream(spark, log),
+        spark.read.schema(MESSAGE_SCHEMA).parquet(log),
+        current_starts(partitions_of(spark, ("t", 3, 0, 0, True)), base),
+        base,
+        ChunkRule(17, None),
+        str(tmp_path / "state"),
+        trigger={"availableNow": True},
+        jump_to_first=True,
+    )
+    assert query.awaitTermination(240)
+    assert object_names(base) == ["t/3_0_0000000000000000500_0000000000000000502"]
