@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logstow.functions.names import payload_size
@@ -25,6 +25,7 @@ from logstow.operators.open_chunk import OpenChunk, feed, finish
 
 DEFAULT_SLICE_ROWS = 64_000_000
 DEFAULT_GROUP_SLICES = 64
+MAPPED_PARTITIONS = 200_000
 
 
 def key_runs(batch: pa.RecordBatch, keys: list[str]) -> Iterator[tuple[tuple, int, int]]:
@@ -57,11 +58,8 @@ def arrow_rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
-CHUNK_ARROW = pa.schema(
+CLOSED_ARROW = pa.schema(
     [
-        ("topic", pa.string()),
-        ("broker_id", pa.int32()),
-        ("partition_id", pa.int32()),
         ("start_offset", pa.int64()),
         ("end_offset", pa.int64()),
         ("message_count", pa.int64()),
@@ -69,28 +67,49 @@ CHUNK_ARROW = pa.schema(
         ("close_reason", pa.string()),
     ]
 )
+KEY_ARROW = {
+    "topic": pa.string(),
+    "broker_id": pa.int32(),
+    "partition_id": pa.int32(),
+    "id": pa.int32(),
+}
+KEY_SQL = {"topic": "string", "broker_id": "int", "partition_id": "int", "id": "int"}
+CLOSED_SQL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in CHUNK_SCHEMA[3:])
 
 
-def _fold_partitions(rule: ChunkRule):
+def sizes_and_arrivals(batch: pa.RecordBatch, rule: ChunkRule):
+    sizes = long_column(batch, "size")
+    return sizes, long_column(batch, "arrival_ms") if rule.interval_ms is not None else None
+
+
+def part_of(arrivals, i: int, j: int):
+    return None if arrivals is None else arrivals[i:j]
+
+
+def _fold_partitions(rule: ChunkRule, keys: list[str], starts: dict[int, int] | None):
+    schema = pa.schema([(k, KEY_ARROW[k]) for k in keys] + list(CLOSED_ARROW))
+
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, chunk = None, None
         for batch in batches:
             offsets = long_column(batch, "offset")
-            sizes = long_column(batch, "size")
-            arrivals = long_column(batch, "arrival_ms")
-            starts = batch.column("start_offset")
+            sizes, arrivals = sizes_and_arrivals(batch, rule)
             rows = []
-            for run_key, i, j in key_runs(batch, PARTITION_KEY):
+            for run_key, i, j in key_runs(batch, keys):
                 if run_key != key:
                     if key is not None:
                         rows += [(*key, *row) for row in finish(chunk, rule)]
-                    key, chunk = run_key, OpenChunk.at(starts[i].as_py(), rule)
-                closed = feed(chunk, offsets[i:j], sizes[i:j], arrivals[i:j], rule)
+                    if starts is None:
+                        start = batch.column("start_offset")[i].as_py()
+                    else:
+                        start = starts[run_key[0]]
+                    key, chunk = run_key, OpenChunk.at(start, rule)
+                closed = feed(chunk, offsets[i:j], sizes[i:j], part_of(arrivals, i, j), rule)
                 rows += [(*key, *row) for row in closed]
             if rows:
-                yield arrow_rows(rows, CHUNK_ARROW)
+                yield arrow_rows(rows, schema)
         if key is not None:
-            yield arrow_rows([(*key, *row) for row in finish(chunk, rule)], CHUNK_ARROW)
+            yield arrow_rows([(*key, *row) for row in finish(chunk, rule)], schema)
 
     return fold
 
@@ -104,33 +123,45 @@ def message_sizes(messages: DataFrame, rule: ChunkRule) -> DataFrame:
     """
     have = set(messages.columns)
     size = F.col("size") if "size" in have else payload_size()
-    arrival = (
-        F.col("arrival_ms") if rule.interval_ms is not None else F.lit(rule.run_start_ms)
-    )
     start = F.col("start_offset") if "start_offset" in have else F.lit(0)
+    arrival = [F.col("arrival_ms").cast("long").alias("arrival_ms")]
     return messages.select(
         *PARTITION_KEY,
         "offset",
-        size.cast("long").alias("size"),
-        arrival.cast("long").alias("arrival_ms"),
+        size.cast("int").alias("size"),
+        *(arrival if rule.interval_ms is not None else []),
         start.cast("long").alias("start_offset"),
     )
 
 
-def fold_partitions(sizes: DataFrame, rule: ChunkRule) -> DataFrame:
-    """One task per topic partition, streamed in offset order."""
+def fold_partitions(
+    sizes: DataFrame, rule: ChunkRule, keys: list[str], starts: dict[int, int] | None
+) -> DataFrame:
+    """One task per topic partition, streamed in offset order.
+
+    starts: start offset per key; taken from the column of that name if None.
+    """
+    schema = ", ".join([f"{k} {KEY_SQL[k]}" for k in keys] + [CLOSED_SQL])
     return (
-        sizes.repartition(*PARTITION_KEY)
-        .sortWithinPartitions(*PARTITION_KEY, "offset")
-        .mapInArrow(_fold_partitions(rule), CHUNK_SCHEMA)
+        sizes.repartition(*keys)
+        .sortWithinPartitions(*keys, "offset")
+        .mapInArrow(_fold_partitions(rule, keys, starts), schema)
+    )
+
+
+def _numbered(spark: SparkSession, rows: list) -> DataFrame:
+    return spark.createDataFrame(
+        [(r.topic, r.broker_id, r.partition_id, i) for i, r in enumerate(rows)],
+        "topic string, broker_id int, partition_id int, id int",
     )
 
 
 def plan_chunks(
     messages: DataFrame,
     rule: ChunkRule,
-    slice_rows: int | None = DEFAULT_SLICE_ROWS,
+    slice_rows: int = DEFAULT_SLICE_ROWS,
     group_slices: int = DEFAULT_GROUP_SLICES,
+    mapped_partitions: int = MAPPED_PARTITIONS,
 ) -> DataFrame:
     """Chunks of all partitions: offset range, messages, bytes, close reason.
 
@@ -139,22 +170,44 @@ def plan_chunks(
     fails the job.
 
     slice_rows: partitions with more messages than this are planned in slices.
-        Finding them takes one column-pruned counting job. None skips it, for
-        inputs known to have no such partition.
     group_slices: how many slices are followed one after the other in a task.
+    mapped_partitions: up to so many topic partitions are replaced by numbers,
+        which keeps topic names out of the shuffle; the map is broadcast.
     """
-    from logstow.operators.slices import find_hot_partitions, plan_hot_chunks
+    from logstow.operators.slices import plan_hot_chunks
 
-    sizes = message_sizes(messages, rule)
-    if slice_rows is None:
-        return fold_partitions(sizes, rule)
-    hot = find_hot_partitions(sizes, slice_rows)
-    if not hot:
-        return fold_partitions(sizes, rule)
     spark = messages.sparkSession
-    keys = spark.createDataFrame([h.key for h in hot], CHUNK_SCHEMA[:3])
-    rest = sizes.join(F.broadcast(keys), PARTITION_KEY, "left_anti")
-    return fold_partitions(rest, rule).unionByName(plan_hot_chunks(sizes, hot, rule, group_slices))
+    sizes = message_sizes(messages, rule)
+    # One column-pruned counting job; its result has a row per topic partition.
+    counts = sizes.groupBy(*PARTITION_KEY).agg(
+        F.count(F.lit(1)).alias("n"), F.max("start_offset").alias("start_offset")
+    )
+    listed = counts.limit(mapped_partitions + 1).collect()
+    whole = len(listed) <= mapped_partitions
+    if not whole:
+        # There are at most (all messages / slice_rows) hot partitions.
+        listed = counts.filter(F.col("n") > slice_rows).collect()
+    table = _numbered(spark, listed)
+    starts = {i: r.start_offset for i, r in enumerate(listed)}
+    hot = {i: r.n for i, r in enumerate(listed) if r.n > slice_rows}
+
+    numbered = sizes.join(F.broadcast(table), PARTITION_KEY).drop(*PARTITION_KEY, "start_offset")
+    planned = []
+    if whole:
+        cold = numbered.filter(~F.col("id").isin(list(hot))) if hot else numbered
+        planned.append(fold_partitions(cold, rule, ["id"], starts))
+    if hot:
+        busy = numbered.filter(F.col("id").isin(list(hot)))
+        planned.append(plan_hot_chunks(busy, hot, starts, rule, slice_rows, group_slices))
+    columns = [f.name for f in CHUNK_SCHEMA]
+    if planned:
+        named = planned[0] if len(planned) == 1 else planned[0].unionByName(planned[1])
+        named = named.join(F.broadcast(table), "id").select(columns)
+    if whole:
+        return named
+    rest = sizes.join(F.broadcast(table), PARTITION_KEY, "left_anti") if hot else sizes
+    wide = fold_partitions(rest, rule, PARTITION_KEY, None).select(columns)
+    return wide.unionByName(named) if planned else wide
 
 
 def closed_chunks(chunks: DataFrame) -> DataFrame:
@@ -175,8 +228,6 @@ def chain_chunks(ends: DataFrame, starts: DataFrame) -> DataFrame:
     A chunk starts where the one before it ends, the first one at the
     partition's start position. One row per chunk goes through the window.
     """
-    from pyspark.sql import Window
-
     w = Window.partitionBy(*PARTITION_KEY).orderBy("end_offset")
     return (
         ends.join(starts.select(*PARTITION_KEY, "start_offset"), PARTITION_KEY)

@@ -7,7 +7,7 @@ memory does not depend on how long a partition is.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 
@@ -59,12 +59,19 @@ def ticks_before(time, last_commit, interval):
     return last_commit + (time - last_commit - 1) // interval * interval
 
 
+def running_clock(arrivals, n: int, before: int) -> np.ndarray:
+    """Arrival times made monotone; constant where arrivals are not looked at."""
+    if arrivals is None:
+        return np.full(n, before, dtype=np.int64)
+    return np.maximum.accumulate(np.maximum(arrivals, before))
+
+
 def feed(chunk: OpenChunk, offsets, sizes, arrivals, rule: ChunkRule):
     """Append a batch to the chunk; returns rows for the chunks it closes."""
     check_offsets(offsets, chunk.end)
     n = len(offsets)
     total = np.cumsum(sizes, dtype=np.int64)
-    clock = np.maximum.accumulate(np.maximum(arrivals, chunk.clock))
+    clock = running_clock(arrivals, n, chunk.clock)
     closed = []
     first, base = 0, -chunk.size
     while first < n:
@@ -118,7 +125,3 @@ def finish(chunk: OpenChunk, rule: ChunkRule):
     if chunk.is_empty():
         return []
     return [chunk.close("interval" if timer_due(chunk, rule) else "open")]
-
-
-def copy_of(chunk: OpenChunk) -> OpenChunk:
-    return replace(chunk)

@@ -33,19 +33,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logstow.model import CHUNK_SCHEMA, PARTITION_KEY, ChunkRule
-from logstow.operators.chunking import arrow_rows, key_runs, long_column
-from logstow.operators.open_chunk import OpenChunk, feed, finish, ticks_before
+from logstow.model import ChunkRule
+from logstow.operators.chunking import (
+    CLOSED_ARROW,
+    CLOSED_SQL,
+    arrow_rows,
+    key_runs,
+    long_column,
+    part_of,
+    sizes_and_arrivals,
+)
+from logstow.operators.open_chunk import OpenChunk, feed, finish, running_clock, ticks_before
 from logstow.shared_dir import shared_dir
 
 FAR = 2**61
-SLICE_KEY = ["hot_id", "slice"]
-SLICE_SCHEMA = "hot_id int, slice long, offset long, size long, arrival_ms long"
+# A slice is named by one number: its partition's times this, plus its own.
+SLICES = 2**32
 
 
 @dataclass(frozen=True)
 class HotPartition:
-    key: tuple[str, int, int]
     start_offset: int
     first_offset: int
     slice_width: int
@@ -69,101 +76,69 @@ class SliceStats:
     previous_clock: int
 
 
-def find_hot_partitions(sizes: DataFrame, slice_rows: int) -> list[HotPartition]:
-    """Partitions with more than `slice_rows` messages.
-
-    There are at most (all messages / slice_rows) of them, so the list is small.
-    The counting job reads the partition key alone; offsets are only looked at
-    where a partition is hot.
-    """
-    counts = (
-        sizes.groupBy(*PARTITION_KEY)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > slice_rows)
-        .collect()
-    )
-    if not counts:
-        return []
-    table = sizes.sparkSession.createDataFrame(
-        counts, "topic string, broker_id int, partition_id int, n long"
-    )
-    rows = (
-        sizes.join(F.broadcast(table), PARTITION_KEY)
-        .groupBy(*PARTITION_KEY)
-        .agg(
-            F.max("n").alias("n"),
-            F.min("offset").alias("low"),
-            F.max("offset").alias("high"),
-            F.max("start_offset").alias("start"),
-        )
-        .collect()
-    )
-    return [
-        HotPartition(
-            (r.topic, r.broker_id, r.partition_id),
-            r.start,
-            r.low,
-            max(1, (r.high - r.low + 1) * slice_rows // r.n),
+def measure_hot_partitions(
+    sizes: DataFrame, counts: dict[int, int], starts: dict[int, int], slice_rows: int
+) -> dict[int, HotPartition]:
+    """Offset ranges and slice widths, for about `slice_rows` messages per slice."""
+    rows = sizes.groupBy("id").agg(F.min("offset").alias("low"), F.max("offset").alias("high"))
+    return {
+        r.id: HotPartition(
+            starts[r.id], r.low, max(1, (r.high - r.low + 1) * slice_rows // counts[r.id])
         )
-        for r in rows
-    ]
+        for r in rows.collect()
+    }
 
 
-def _write_slices(sizes: DataFrame, hot: list[HotPartition], path: str) -> DataFrame:
+def _write_slices(
+    sizes: DataFrame, hot: dict[int, HotPartition], rule: ChunkRule, path: str
+) -> DataFrame:
     """Sizes with their slice, written sorted so that single slices are found fast."""
     spark = sizes.sparkSession
     table = spark.createDataFrame(
-        [(i, *h.key, h.first_offset, h.slice_width) for i, h in enumerate(hot)],
-        "hot_id int, topic string, broker_id int, partition_id int, low long, width long",
+        [(i, h.first_offset, h.slice_width) for i, h in hot.items()],
+        "id int, low long, width long",
     )
-    (
-        sizes.join(F.broadcast(table), PARTITION_KEY)
-        .select(
-            "hot_id",
-            F.expr("(offset - low) div width").alias("slice"),
-            "offset",
-            "size",
-            "arrival_ms",
-        )
-        .repartition(*SLICE_KEY)
-        .sortWithinPartitions(*SLICE_KEY, "offset")
-        .write.parquet(path)
+    named = sizes.join(F.broadcast(table), "id").select(
+        F.expr(f"id * {SLICES} + (offset - low) div width").alias("slice_id"),
+        "offset",
+        "size",
+        *(["arrival_ms"] if rule.interval_ms is not None else []),
     )
-    return spark.read.schema(SLICE_SCHEMA).parquet(path)
+    _per_slice(named).write.parquet(path)
+    return spark.read.schema(named.schema).parquet(path)
 
 
 def _slice_stats(
-    slices: DataFrame, hot: list[HotPartition], rule: ChunkRule
+    slices: DataFrame, hot: dict[int, HotPartition], rule: ChunkRule
 ) -> dict[int, list[SliceStats]]:
+    arrival = F.max("arrival_ms") if rule.interval_ms is not None else F.lit(rule.run_start_ms)
     rows = (
-        slices.groupBy(*SLICE_KEY)
-        .agg(F.sum("size").alias("b"), F.max("offset").alias("o"), F.max("arrival_ms").alias("t"))
+        slices.groupBy("slice_id")
+        .agg(F.sum("size").alias("b"), F.max("offset").alias("o"), arrival.alias("t"))
         .collect()
     )
     stats = defaultdict(list)
-    for r in sorted(rows, key=lambda r: (r.hot_id, r.slice)):
-        before = stats[r.hot_id][-1] if stats[r.hot_id] else None
-        offset = before.last_offset if before else hot[r.hot_id].start_offset
+    for r in sorted(rows, key=lambda r: r.slice_id):
+        hot_id, slice_no = divmod(r.slice_id, SLICES)
+        before = stats[hot_id][-1] if stats[hot_id] else None
+        offset = before.last_offset if before else hot[hot_id].start_offset
         clock = before.last_clock if before else rule.run_start_ms
         latest = max(r.t, clock)
-        stats[r.hot_id].append(
-            SliceStats(r.slice, r.b, r.o, latest, latest, offset, clock)
-        )
+        stats[hot_id].append(SliceStats(slice_no, r.b, r.o, latest, latest, offset, clock))
     return dict(stats)
 
 
 def _per_slice(slices: DataFrame) -> DataFrame:
-    return slices.repartition(*SLICE_KEY).sortWithinPartitions(*SLICE_KEY, "offset")
+    return slices.repartition("slice_id").sortWithinPartitions("slice_id", "offset")
 
 
-def _slice_runs(batches: Iterator[pa.RecordBatch]):
+def _slice_runs(batches: Iterator[pa.RecordBatch], rule: ChunkRule):
     """(hot_id, slice), offsets, sizes, arrivals of each stretch, in order."""
     for batch in batches:
-        offsets, sizes, arrivals = (
-            long_column(batch, c) for c in ("offset", "size", "arrival_ms")
-        )
-        for key, i, j in key_runs(batch, SLICE_KEY):
-            yield key, offsets[i:j], sizes[i:j], arrivals[i:j]
+        offsets = long_column(batch, "offset")
+        sizes, arrivals = sizes_and_arrivals(batch, rule)
+        for (slice_id,), i, j in key_runs(batch, ["slice_id"]):
+            yield divmod(slice_id, SLICES), offsets[i:j], sizes[i:j], part_of(arrivals, i, j)
 
 
 # --- step 1: summaries -------------------------------------------------------
@@ -208,7 +183,7 @@ class SliceSummary:
 
     def feed(self, offsets, sizes, arrivals) -> None:
         total = self.seen + np.cumsum(sizes, dtype=np.int64)
-        clock = np.maximum.accumulate(np.maximum(arrivals, self.last_clock))
+        clock = running_clock(arrivals, len(total), self.last_clock)
         if self.seen <= self.limit:
             new = np.flatnonzero((sizes > 0) & (total - sizes <= self.limit))
             self.total = np.concatenate([self.total, total[new]])
@@ -263,7 +238,7 @@ class SliceSummary:
 def _summarise(stats: dict[tuple[int, int], SliceStats], rule: ChunkRule):
     def run(batches):
         key, summary = None, None
-        for run_key, offsets, sizes, arrivals in _slice_runs(batches):
+        for run_key, offsets, sizes, arrivals in _slice_runs(batches, rule):
             if run_key != key:
                 if summary is not None:
                     yield summary.rows(key)
@@ -489,9 +464,7 @@ def _fold_exact(entries: dict[tuple[int, int], OpenChunk], rule: ChunkRule):
 
     def run(batches):
         key, chunk = None, None
-        for run_key, offsets, sizes, arrivals in _slice_runs(batches):
-            if run_key not in entries:
-                continue
+        for run_key, offsets, sizes, arrivals in _slice_runs(batches, rule):
             if run_key != key:
                 if chunk is not None:
                     yield arrow_rows([_state_row((key[0], 0, key[1]), chunk)], STATE_ARROW)
@@ -508,10 +481,7 @@ def fold_slices(slices: DataFrame, pending: dict[Unit, OpenChunk], rule: ChunkRu
     wanted = {(hot_id, slice_no): c for (hot_id, _, slice_no), c in pending.items()}
     rows = (
         _per_slice(
-            slices.filter(
-                F.col("hot_id").isin(sorted({h for h, _ in wanted}))
-                & F.col("slice").isin(sorted({s for _, s in wanted}))
-            )
+            slices.filter(F.col("slice_id").isin([h * SLICES + s for h, s in sorted(wanted)]))
         )
         .mapInArrow(_fold_exact(wanted, rule), STATE_SCHEMA)
         .collect()
@@ -523,7 +493,7 @@ def fold_slices(slices: DataFrame, pending: dict[Unit, OpenChunk], rule: ChunkRu
 def resolve_entries(
     slices: DataFrame,
     summaries: DataFrame,
-    hot: list[HotPartition],
+    hot: dict[int, HotPartition],
     stats: dict[int, list[SliceStats]],
     rule: ChunkRule,
     group_slices: int,
@@ -592,20 +562,8 @@ def resolve_entries(
 
 # --- step 4: chunks ----------------------------------------------------------
 
-PIECE_SCHEMA = (
-    "hot_id int, start_offset long, end_offset long, message_count long, "
-    "message_bytes long, close_reason string"
-)
-PIECE_ARROW = pa.schema(
-    [
-        ("hot_id", pa.int32()),
-        ("start_offset", pa.int64()),
-        ("end_offset", pa.int64()),
-        ("message_count", pa.int64()),
-        ("message_bytes", pa.int64()),
-        ("close_reason", pa.string()),
-    ]
-)
+PIECE_SCHEMA = f"id int, {CLOSED_SQL}"
+PIECE_ARROW = pa.schema([("id", pa.int32()), *CLOSED_ARROW])
 
 
 def _pieces(entries: dict[tuple[int, int], OpenChunk], last: dict[int, int], rule: ChunkRule):
@@ -627,7 +585,7 @@ def _pieces(entries: dict[tuple[int, int], OpenChunk], last: dict[int, int], rul
                 return share(finish(chunk, rule))
             return share([chunk.close(None)]) if chunk.count else []
 
-        for run_key, offsets, sizes, arrivals in _slice_runs(batches):
+        for run_key, offsets, sizes, arrivals in _slice_runs(batches, rule):
             rows = []
             if run_key != key:
                 if key is not None:
@@ -644,12 +602,21 @@ def _pieces(entries: dict[tuple[int, int], OpenChunk], last: dict[int, int], rul
 
 
 def plan_hot_chunks(
-    sizes: DataFrame, hot: list[HotPartition], rule: ChunkRule, group_slices: int
+    sizes: DataFrame,
+    counts: dict[int, int],
+    starts: dict[int, int],
+    rule: ChunkRule,
+    slice_rows: int,
+    group_slices: int,
 ) -> DataFrame:
-    """Chunks of the given partitions, planned slice by slice."""
+    """Chunks of hot partitions, planned slice by slice.
+
+    sizes: numbered by `id`. counts, starts: messages and start offset of each.
+    """
     spark = sizes.sparkSession
     path = shared_dir(spark, "chunk-plan")
-    slices = _write_slices(sizes, hot, f"{path}/slices")
+    hot = measure_hot_partitions(sizes, counts, starts, slice_rows)
+    slices = _write_slices(sizes, hot, rule, f"{path}/slices")
     stats = _slice_stats(slices, hot, rule)
     by_slice = {(h, s.slice): s for h, parts in stats.items() for s in parts}
     (
@@ -660,19 +627,14 @@ def plan_hot_chunks(
     summaries = spark.read.schema(SUMMARY_SCHEMA).parquet(f"{path}/summaries")
     entries = resolve_entries(slices, summaries, hot, stats, rule, group_slices, path)
     last = {h: parts[-1].slice for h, parts in stats.items()}
-    pieces = _per_slice(slices).mapInArrow(_pieces(entries, last, rule), PIECE_SCHEMA)
-    keys = spark.createDataFrame(
-        [(i, *h.key) for i, h in enumerate(hot)],
-        "hot_id int, topic string, broker_id int, partition_id int",
-    )
     return (
-        pieces.groupBy("hot_id", "start_offset")
+        _per_slice(slices)
+        .mapInArrow(_pieces(entries, last, rule), PIECE_SCHEMA)
+        .groupBy("id", "start_offset")
         .agg(
             F.max("end_offset").alias("end_offset"),
             F.sum("message_count").alias("message_count"),
             F.sum("message_bytes").alias("message_bytes"),
             F.max("close_reason").alias("close_reason"),
         )
-        .join(F.broadcast(keys), "hot_id")
-        .select(*[f.name for f in CHUNK_SCHEMA])
     )

@@ -50,15 +50,19 @@ RULES = [
 ]
 
 
-def planned(spark, rows, rule, slice_rows, group_slices=64):
+MANY = 10**9
+
+
+def planned(spark, rows, rule, slice_rows, group_slices=64, mapped=1000):
     df = spark.createDataFrame(rows, SIZES)
-    return sorted(tuple(r) for r in plan_chunks(df, rule, slice_rows, group_slices).collect())
+    chunks = plan_chunks(df, rule, slice_rows, group_slices, mapped)
+    return sorted(tuple(r) for r in chunks.collect())
 
 
 @pytest.mark.parametrize("rule", RULES, ids=str)
 def test_one_task_per_partition(spark, rule):
     rows = make_log(1)
-    assert planned(spark, rows, rule, None) == expected(rows, rule)
+    assert planned(spark, rows, rule, MANY) == expected(rows, rule)
 
 
 @pytest.mark.parametrize("rule", RULES, ids=str)
@@ -80,6 +84,13 @@ def test_only_hot_partitions_are_sliced(spark, seed):
     assert planned(spark, rows, rule, 220) == expected(rows, rule)
 
 
+@pytest.mark.parametrize("slice_rows", [MANY, 250])
+def test_more_partitions_than_are_mapped(spark, slice_rows):
+    rows = make_log(13, partitions=5)
+    rule = ChunkRule(150, 60, 1000)
+    assert planned(spark, rows, rule, slice_rows, 2, mapped=3) == expected(rows, rule)
+
+
 def test_equal_sizes_never_fall_into_step(spark):
     rows = [("t", 0, 0, i, 7, 1000 + i // 4, 0) for i in range(1, 900)]
     rule = ChunkRule(100, 5000, 1000)
@@ -89,7 +100,7 @@ def test_equal_sizes_never_fall_into_step(spark):
 def test_reference_points(spark):
     rule = ChunkRule(10, None)
     rows = [("t", 0, 0, o, s, 0, 0) for o, s in [(1, 10), (2, 0), (3, 1), (4, 50), (5, 10)]]
-    assert [r[3:] for r in planned(spark, rows, rule, None)] == [
+    assert [r[3:] for r in planned(spark, rows, rule, MANY)] == [
         (0, 3, 3, 11, "size"),
         (3, 4, 1, 50, "size"),
         (4, 5, 1, 10, "open"),
@@ -107,7 +118,7 @@ def test_a_chunk_started_at_42(spark):
     assert [tuple(r)[3:] for r in plan_chunks(df, rule).collect()] == [(42, 102, 2, 18, "open")]
 
 
-@pytest.mark.parametrize("slice_rows", [None, 2])
+@pytest.mark.parametrize("slice_rows", [MANY, 2])
 def test_repeated_offset_fails(spark, slice_rows):
     rows = [("t", 0, 0, o, 1, 0, 0) for o in (1, 2, 2, 3, 9)]
     with pytest.raises(Exception, match="offsets must be unique"):
@@ -117,7 +128,7 @@ def test_repeated_offset_fails(spark, slice_rows):
 def test_long_idle_time_gives_one_chunk(spark):
     rows = [("t", 0, 0, 1, 1, 5, 0), ("t", 0, 0, 2, 1, 1000, 0), ("t", 0, 0, 3, 1, 1001, 0)]
     rule = ChunkRule(None, 10, 0)
-    assert [r[3:] for r in planned(spark, rows, rule, None)] == [
+    assert [r[3:] for r in planned(spark, rows, rule, MANY)] == [
         (0, 1, 1, 1, "interval"),
         (1, 2, 1, 1, "interval"),
         (2, 3, 1, 1, "open"),
@@ -139,7 +150,7 @@ def test_chunk_properties(spark):
 
 def test_closed_open_and_chained(spark):
     rows = make_log(6, partitions=2)
-    chunks = plan_chunks(spark.createDataFrame(rows, SIZES), ChunkRule(100, None), None).cache()
+    chunks = plan_chunks(spark.createDataFrame(rows, SIZES), ChunkRule(100, None)).cache()
     assert closed_chunks(chunks).filter("close_reason = 'open'").count() == 0
     tails = [c for c in expected(rows, ChunkRule(100, None)) if c[7] == "open"]
     assert sorted(map(tuple, open_tails(chunks).collect())) == tails
