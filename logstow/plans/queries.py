@@ -36,8 +36,7 @@ from logstow.sources.archive import (
     objects_between,
     parse_objects,
     read_catalog,
-    read_objects,
-    read_topics,
+    read_catalog_objects,
 )
 from logstow.sources.tables import message_stream
 from logstow.streaming.archive_stream import start_archive
@@ -225,7 +224,8 @@ def _archived_documents(spark, sf_dir) -> tuple[str, list[str]]:
 
 def archive_roundtrip(spark, sf_dir):
     base, topics = _archived_documents(spark, sf_dir)
-    return archived_messages(read_topics(spark, base, topics)).select(
+    records = read_catalog_objects(read_catalog(spark, base, topics))
+    return archived_messages(records).select(
         *PARTITION_KEY, "offset", payload_size().alias("payload_bytes"), F.md5("value").alias("md5")
     )
 
@@ -240,8 +240,7 @@ def offset_pruned_read(spark, sf_dir):
     """Records of the objects that reach beyond an offset; the rest stay closed."""
     base, topics = _archived_documents(spark, sf_dir)
     catalog = objects_between(read_catalog(spark, base, topics), low=200_000)
-    paths = [r.path for r in catalog.select("path").toLocalIterator()]
-    return archived_messages(read_objects(spark, paths)).select(*PARTITION_KEY, "offset")
+    return archived_messages(read_catalog_objects(catalog)).select(*PARTITION_KEY, "offset")
 
 
 def incremental_runs(spark, sf_dir):

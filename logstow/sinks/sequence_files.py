@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from logstow.functions.names import object_path, record_key
 from logstow.hadoop import Folder
 from logstow.model import KEY_CLASS, PARTITION_KEY, VALUE_CLASS
+from logstow.shared_dir import shared_dir
 
 # The archive's file format.
 OUTPUT_FORMAT = "org.apache.hadoop.mapreduce.lib.output.SequenceFileOutputFormat"
@@ -176,6 +177,39 @@ def recover(spark: SparkSession, base: str, owner: str, threads: int = 32) -> in
     return published
 
 
+def _windows(chunks: DataFrame, chunks_per_job: int) -> Iterator[list[tuple]]:
+    """The chunk rows in partition and offset order, so many at a time."""
+    rows = (
+        chunks.select(*PARTITION_KEY, "start_offset", "end_offset", "message_count")
+        .orderBy(*PARTITION_KEY, "start_offset")
+        .toLocalIterator()
+    )
+    while window := [tuple(r) for r in islice(rows, chunks_per_job)]:
+        yield window
+
+
+def _split_by_window(
+    messages: DataFrame, windows: list[list[Range]], path: str
+) -> Callable[[int], DataFrame]:
+    """Write the messages once, by window, so that no window scans the whole log.
+
+    The rebalance hint lets Spark cut large windows into several tasks and files.
+    """
+    numbered = [(r, no) for no, ranges in enumerate(windows) for r in ranges]
+    window_of = messages.sparkSession.createDataFrame(
+        [(i, no) for i, (_, no) in enumerate(numbered)], "chunk_no int, window int"
+    )
+    (
+        assign_chunks(messages, [r for r, _ in numbered])
+        .join(F.broadcast(window_of), "chunk_no")
+        .select(*PARTITION_KEY, "offset", "value", "window")
+        .hint("rebalance", "window")
+        .write.partitionBy("window")
+        .parquet(path)
+    )
+    return lambda no: messages.sparkSession.read.parquet(f"{path}/window={no}")
+
+
 def write_chunks(
     messages: Messages,
     chunks: DataFrame,
@@ -183,6 +217,7 @@ def write_chunks(
     owner: str = "default",
     chunks_per_job: int = CHUNKS_PER_JOB,
     threads: int = 32,
+    scans: int = 2,
 ) -> int:
     """Archive the given chunks; returns how many objects were published.
 
@@ -192,28 +227,37 @@ def write_chunks(
         order, a window at a time, so they should come from a written table.
     owner: names the staging folder; writers that run at the same time on the
         same archive must differ in it.
+    scans: with more windows than this, a log without a range reader is first
+        split by window, instead of being scanned once for each.
     """
     spark = chunks.sparkSession
     archive = Folder(spark, base)
-    todo = (
-        chunks.select(*PARTITION_KEY, "start_offset", "end_offset", "message_count")
-        .orderBy(*PARTITION_KEY, "start_offset")
-        .toLocalIterator()
-    )
-    published = 0
-    for number in range(2**31):
-        window = [tuple(r) for r in islice(todo, chunks_per_job)]
-        if not window:
-            return published
-        stage = f"{STAGING}/{owner}/w{number:08d}"
-        archive.delete(stage)
-        spark.createDataFrame(
-            [(*c[:5], i) for i, c in enumerate(window)],
-            "topic string, broker_id int, partition_id int, start_offset long, "
-            "end_offset long, chunk_no int",
-        ).write.parquet(f"{archive.path}/{stage}/names")
-        ranges = partition_ranges(window)
-        source = messages(ranges) if callable(messages) else messages.filter(range_filter(ranges))
-        _write_window(source, window, f"{archive.path}/{stage}/data")
-        published += _publish_window(spark, archive, stage, threads)
+    windows, split = [], None
+    if not callable(messages):
+        windows = [partition_ranges(w) for w in _windows(chunks, chunks_per_job)]
+        if len(windows) > scans:
+            split = _split_by_window(messages, windows, shared_dir(spark, "windows"))
+
+    def source_of(no: int, window: list[tuple]) -> DataFrame:
+        if callable(messages):
+            return messages(partition_ranges(window))
+        return split(no) if split else messages.filter(range_filter(windows[no]))
+
+    published, publishing = 0, None
+    with ThreadPoolExecutor(1) as publisher:
+        for no, window in enumerate(_windows(chunks, chunks_per_job)):
+            stage = f"{STAGING}/{owner}/w{no:08d}"
+            archive.delete(stage)
+            spark.createDataFrame(
+                [(*c[:5], i) for i, c in enumerate(window)],
+                "topic string, broker_id int, partition_id int, start_offset long, "
+                "end_offset long, chunk_no int",
+            ).write.parquet(f"{archive.path}/{stage}/names")
+            _write_window(source_of(no, window), window, f"{archive.path}/{stage}/data")
+            # One window is renamed while the next one is being written.
+            if publishing is not None:
+                published += publishing.result()
+            publishing = publisher.submit(_publish_window, spark, archive, stage, threads)
+        if publishing is not None:
+            published += publishing.result()
     return published

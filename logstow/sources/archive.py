@@ -16,6 +16,8 @@ from logstow.model import CATALOG_SCHEMA, KEY_CLASS, RECORD_SCHEMA, VALUE_CLASS
 LISTING_TASKS = 256
 # Paths joined into one input specification.
 PATHS_PER_READ = 4096
+# Compressed bytes a read task takes on.
+TASK_BYTES = 128 << 20
 
 
 def list_objects(spark: SparkSession, base: str, topics: Iterable[str]) -> DataFrame:
@@ -89,8 +91,13 @@ def objects_between(catalog: DataFrame, low: int | None = None, high: int | None
     return catalog
 
 
-def read_objects(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """Records of the given objects: key and value, byte for byte."""
+def read_objects(
+    spark: SparkSession, paths: Iterable[str], tasks: int | None = None
+) -> DataFrame:
+    """Records of the given objects: key and value, byte for byte.
+
+    tasks: read with no more tasks than this.
+    """
     sc = spark.sparkContext
     rest = iter(paths)
     parts = []
@@ -99,6 +106,8 @@ def read_objects(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
     if not parts:
         return spark.createDataFrame([], RECORD_SCHEMA)
     records = parts[0] if len(parts) == 1 else sc.union(parts)
+    if tasks is not None and records.getNumPartitions() > tasks:
+        records = records.coalesce(tasks)
     return spark.createDataFrame(records, RECORD_SCHEMA, verifySchema=False)
 
 
@@ -109,6 +118,15 @@ def read_topics(spark: SparkSession, base: str, topics: Iterable[str]) -> DataFr
     return read_objects(spark, [f"{archive.path}/{t}/[0-9]*_*" for t in found])
 
 
+def read_catalog_objects(catalog: DataFrame) -> DataFrame:
+    """Records of all objects in a catalog; small objects share tasks."""
+    spark = catalog.sparkSession
+    named = catalog.select("path", "length").collect()
+    bytes_total = sum(r.length for r in named)
+    tasks = max(4 * spark.sparkContext.defaultParallelism, bytes_total // TASK_BYTES)
+    return read_objects(spark, [r.path for r in named], tasks)
+
+
 def archived_messages(records: DataFrame) -> DataFrame:
     """Records with their key split into topic, broker, partition and offset."""
     fields = record_key_fields(F.col("key"))

@@ -18,6 +18,7 @@ from logstow.sources.archive import (
     list_objects,
     objects_between,
     read_catalog,
+    read_catalog_objects,
     read_objects,
     read_topics,
     rejected_objects,
@@ -194,6 +195,19 @@ def test_source_may_be_a_range_reader(spark, tmp_path):
     assert {r[:3] for r in asked} == {r[:3] for r in rows}
 
 
+@pytest.mark.parametrize("scans", [1, 100])
+def test_windows_of_a_log_without_range_reader(spark, tmp_path, scans):
+    rows = sample_log()
+    messages = messages_of(spark, rows)
+    chunks = closed_chunks(plan_chunks(messages, ChunkRule(40, None))).cache()
+    n = write_chunks(messages, chunks, str(tmp_path), chunks_per_job=4, scans=scans)
+    assert n == chunks.count() > 8
+    got = everything(spark, str(tmp_path))
+    assert len(got) == chunks.agg(F.sum("message_count")).first()[0]
+    records = read_catalog_objects(read_catalog(spark, str(tmp_path), ["a.b_c", "_hidden"]))
+    assert records.count() == len(got)
+
+
 def test_assign_chunks_against_brute_force(spark):
     rows = sample_log(80)
     chunks = [
