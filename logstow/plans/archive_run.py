@@ -13,11 +13,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logstow.model import ChunkRule
-from logstow.operators.chunking import DEFAULT_SLICE_ROWS, closed_chunks, open_tails, plan_chunks
+from logstow.operators.chunking import (
+    DEFAULT_SLICE_ROWS,
+    closed_chunks,
+    message_sizes,
+    open_tails,
+    plan_chunks,
+)
 from logstow.operators.integrity import require_no_chunk_gaps, require_no_lost_data
 from logstow.operators.positions import resume_scan, start_positions
 from logstow.shared_dir import shared_dir
-from logstow.sinks.sequence_files import CHUNKS_PER_JOB, recover, write_chunks
+from logstow.sinks.sequence_files import CHUNKS_PER_JOB, Messages, recover, write_chunks
 from logstow.sources.archive import read_catalog
 
 
@@ -72,20 +78,26 @@ def run_archive(
     base: str,
     rule: ChunkRule,
     owner: str = "default",
-    slice_rows: int | None = DEFAULT_SLICE_ROWS,
+    slice_rows: int = DEFAULT_SLICE_ROWS,
     chunks_per_job: int = CHUNKS_PER_JOB,
     check: bool = True,
+    log: Messages | None = None,
+    land_sizes: bool = False,
 ) -> ArchiveRun:
     """Archive all chunks that have closed.
 
     partitions: one row per topic partition with `log_start` and `ignore_gaps`.
+    log: how to read payloads when chunks are written, if not from `messages`.
+    land_sizes: write the messages' sizes to a table first and plan from it;
+        for sources that cannot read single columns, such as Kafka.
     """
     spark = messages.sparkSession
     recover(spark, base, owner)
     starts = current_starts(partitions, base, check)
     unread = unread_messages(messages, starts)
-    chunks = written(
-        plan_chunks(unread, rule, slice_rows), f"{shared_dir(spark, 'run')}/chunks"
-    )
-    published = write_chunks(messages, closed_chunks(chunks), base, owner, chunks_per_job)
+    path = shared_dir(spark, "run")
+    if land_sizes:
+        unread = written(message_sizes(unread, rule), f"{path}/sizes")
+    chunks = written(plan_chunks(unread, rule, slice_rows), f"{path}/chunks")
+    published = write_chunks(log or messages, closed_chunks(chunks), base, owner, chunks_per_job)
     return ArchiveRun(starts, chunks, published)

@@ -208,6 +208,21 @@ def test_windows_of_a_log_without_range_reader(spark, tmp_path, scans):
     assert records.count() == len(got)
 
 
+def test_run_with_landed_sizes_and_a_range_reader(spark, tmp_path):
+    rows, rule = sample_log(), ChunkRule(40, 500, 1000)
+    base, whole = str(tmp_path / "base"), str(tmp_path / "whole")
+
+    def log(ranges):
+        return messages_of(spark, rows).filter(sequence_files.range_filter(ranges))
+
+    run = run_archive(
+        messages_of(spark, rows), parts_for(spark), base, rule, log=log, land_sizes=True
+    )
+    assert run.published > 0
+    run_archive(messages_of(spark, rows), parts_for(spark), whole, rule)
+    assert object_names(base) == object_names(whole)
+
+
 def test_assign_chunks_against_brute_force(spark):
     rows = sample_log(80)
     chunks = [
