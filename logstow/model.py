@@ -84,3 +84,18 @@ class ChunkRule:
     interval_ms: int | None = 86400000
     run_start_ms: int = 0
     now_ms: int | None = None
+
+
+@dataclass(frozen=True)
+class Slicing:
+    """How topic partitions too long for one task are cut.
+
+    rows: partitions with more messages are cut into slices of about so many.
+    chunks: but a slice holds at least so many full chunks, since its summary
+        is as long as the messages of one.
+    group: slices that are followed one after the other in a task.
+    """
+
+    rows: int = 64_000_000
+    chunks: int = 16
+    group: int = 64

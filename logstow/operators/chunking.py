@@ -5,7 +5,7 @@ end of the one before it; a window sum cannot express that. Messages are
 therefore sorted within their partition and folded batch by batch in
 `mapInArrow`, with nothing but offsets, sizes and arrival times in flight.
 
-A partition with more than `slice_rows` messages is not left to a single task:
+A partition with more messages than `Slicing.rows` is not left to a single task:
 `logstow.operators.slices` cuts it into offset ranges that are worked on in
 parallel, with the same result.
 """
@@ -20,11 +20,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logstow.functions.names import payload_size
-from logstow.model import CHUNK_SCHEMA, PARTITION_KEY, ChunkRule
+from logstow.model import CHUNK_SCHEMA, PARTITION_KEY, ChunkRule, Slicing
 from logstow.operators.open_chunk import OpenChunk, feed, finish
 
-DEFAULT_SLICE_ROWS = 64_000_000
-DEFAULT_GROUP_SLICES = 64
 MAPPED_PARTITIONS = 200_000
 
 
@@ -159,8 +157,7 @@ def _numbered(spark: SparkSession, rows: list) -> DataFrame:
 def plan_chunks(
     messages: DataFrame,
     rule: ChunkRule,
-    slice_rows: int = DEFAULT_SLICE_ROWS,
-    group_slices: int = DEFAULT_GROUP_SLICES,
+    slicing: Slicing = Slicing(),
     mapped_partitions: int = MAPPED_PARTITIONS,
 ) -> DataFrame:
     """Chunks of all partitions: offset range, messages, bytes, close reason.
@@ -169,8 +166,7 @@ def plan_chunks(
     uncommitted. Offsets must be unique within a partition; a repeated one
     fails the job.
 
-    slice_rows: partitions with more messages than this are planned in slices.
-    group_slices: how many slices are followed one after the other in a task.
+    slicing: which partitions are planned in slices, and how.
     mapped_partitions: up to so many topic partitions are replaced by numbers,
         which keeps topic names out of the shuffle; the map is broadcast.
     """
@@ -185,11 +181,11 @@ def plan_chunks(
     listed = counts.limit(mapped_partitions + 1).collect()
     whole = len(listed) <= mapped_partitions
     if not whole:
-        # There are at most (all messages / slice_rows) hot partitions.
-        listed = counts.filter(F.col("n") > slice_rows).collect()
+        # There are at most (all messages / slicing.rows) hot partitions.
+        listed = counts.filter(F.col("n") > slicing.rows).collect()
     table = _numbered(spark, listed)
     starts = {i: r.start_offset for i, r in enumerate(listed)}
-    hot = {i: r.n for i, r in enumerate(listed) if r.n > slice_rows}
+    hot = {i: r.n for i, r in enumerate(listed) if r.n > slicing.rows}
 
     numbered = sizes.join(F.broadcast(table), PARTITION_KEY).drop(*PARTITION_KEY, "start_offset")
     planned = []
@@ -198,7 +194,7 @@ def plan_chunks(
         planned.append(fold_partitions(cold, rule, ["id"], starts))
     if hot:
         busy = numbered.filter(F.col("id").isin(list(hot)))
-        planned.append(plan_hot_chunks(busy, hot, starts, rule, slice_rows, group_slices))
+        planned.append(plan_hot_chunks(busy, hot, starts, rule, slicing))
     columns = [f.name for f in CHUNK_SCHEMA]
     if planned:
         named = planned[0] if len(planned) == 1 else planned[0].unionByName(planned[1])

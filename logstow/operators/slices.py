@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logstow.model import ChunkRule
+from logstow.model import ChunkRule, Slicing
 from logstow.operators.chunking import (
     CLOSED_ARROW,
     CLOSED_SQL,
@@ -77,16 +77,24 @@ class SliceStats:
 
 
 def measure_hot_partitions(
-    sizes: DataFrame, counts: dict[int, int], starts: dict[int, int], slice_rows: int
+    sizes: DataFrame,
+    counts: dict[int, int],
+    starts: dict[int, int],
+    rule: ChunkRule,
+    slicing: Slicing,
 ) -> dict[int, HotPartition]:
-    """Offset ranges and slice widths, for about `slice_rows` messages per slice."""
-    rows = sizes.groupBy("id").agg(F.min("offset").alias("low"), F.max("offset").alias("high"))
-    return {
-        r.id: HotPartition(
-            starts[r.id], r.low, max(1, (r.high - r.low + 1) * slice_rows // counts[r.id])
-        )
-        for r in rows.collect()
-    }
+    """Offset ranges and slice widths of the partitions."""
+    measured = sizes.groupBy("id").agg(
+        F.min("offset").alias("low"), F.max("offset").alias("high"), F.sum("size").alias("bytes")
+    )
+    hot = {}
+    for r in measured.collect():
+        rows = slicing.rows
+        if rule.max_bytes is not None and r.bytes > 0:
+            rows = max(rows, slicing.chunks * rule.max_bytes * counts[r.id] // r.bytes)
+        width = max(1, (r.high - r.low + 1) * rows // counts[r.id])
+        hot[r.id] = HotPartition(starts[r.id], r.low, width)
+    return hot
 
 
 def _write_slices(
@@ -606,8 +614,7 @@ def plan_hot_chunks(
     counts: dict[int, int],
     starts: dict[int, int],
     rule: ChunkRule,
-    slice_rows: int,
-    group_slices: int,
+    slicing: Slicing,
 ) -> DataFrame:
     """Chunks of hot partitions, planned slice by slice.
 
@@ -615,7 +622,7 @@ def plan_hot_chunks(
     """
     spark = sizes.sparkSession
     path = shared_dir(spark, "chunk-plan")
-    hot = measure_hot_partitions(sizes, counts, starts, slice_rows)
+    hot = measure_hot_partitions(sizes, counts, starts, rule, slicing)
     slices = _write_slices(sizes, hot, rule, f"{path}/slices")
     stats = _slice_stats(slices, hot, rule)
     by_slice = {(h, s.slice): s for h, parts in stats.items() for s in parts}
@@ -625,7 +632,7 @@ def plan_hot_chunks(
         .write.parquet(f"{path}/summaries")
     )
     summaries = spark.read.schema(SUMMARY_SCHEMA).parquet(f"{path}/summaries")
-    entries = resolve_entries(slices, summaries, hot, stats, rule, group_slices, path)
+    entries = resolve_entries(slices, summaries, hot, stats, rule, slicing.group, path)
     last = {h: parts[-1].slice for h, parts in stats.items()}
     return (
         _per_slice(slices)

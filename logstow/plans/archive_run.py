@@ -12,9 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logstow.model import ChunkRule
+from logstow.model import ChunkRule, Slicing
 from logstow.operators.chunking import (
-    DEFAULT_SLICE_ROWS,
     closed_chunks,
     message_sizes,
     open_tails,
@@ -22,6 +21,7 @@ from logstow.operators.chunking import (
 )
 from logstow.operators.integrity import require_no_chunk_gaps, require_no_lost_data
 from logstow.operators.positions import resume_scan, start_positions
+from logstow.operators.topics import select_topics
 from logstow.shared_dir import shared_dir
 from logstow.sinks.sequence_files import CHUNKS_PER_JOB, Messages, recover, write_chunks
 from logstow.sources.archive import read_catalog
@@ -65,10 +65,12 @@ def current_starts(partitions: DataFrame, base: str, check: bool = True) -> Data
 
 
 def unread_messages(messages: DataFrame, starts: DataFrame) -> DataFrame:
-    """Resume scan with the lowest start position pushed into the scan."""
-    lowest = starts.agg(F.min("start_offset")).first()[0]
-    if lowest is not None:
-        messages = messages.filter(F.col("offset") > lowest)
+    """Resume scan; topics and the lowest start position are pushed into the scan."""
+    lowest = starts.groupBy("topic").agg(F.min("start_offset").alias("low")).collect()
+    if lowest:
+        messages = select_topics(messages, [r.topic for r in lowest]).filter(
+            F.col("offset") > min(r.low for r in lowest)
+        )
     return resume_scan(messages, starts)
 
 
@@ -78,7 +80,7 @@ def run_archive(
     base: str,
     rule: ChunkRule,
     owner: str = "default",
-    slice_rows: int = DEFAULT_SLICE_ROWS,
+    slicing: Slicing = Slicing(),
     chunks_per_job: int = CHUNKS_PER_JOB,
     check: bool = True,
     log: Messages | None = None,
@@ -98,6 +100,6 @@ def run_archive(
     path = shared_dir(spark, "run")
     if land_sizes:
         unread = written(message_sizes(unread, rule), f"{path}/sizes")
-    chunks = written(plan_chunks(unread, rule, slice_rows), f"{path}/chunks")
+    chunks = written(plan_chunks(unread, rule, slicing), f"{path}/chunks")
     published = write_chunks(log or messages, closed_chunks(chunks), base, owner, chunks_per_job)
     return ArchiveRun(starts, chunks, published)

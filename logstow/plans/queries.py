@@ -14,7 +14,7 @@ from logstow.functions.names import (
     payload_size,
     record_key,
 )
-from logstow.model import MESSAGE_SCHEMA, PARTITION_KEY, ChunkRule
+from logstow.model import MESSAGE_SCHEMA, PARTITION_KEY, ChunkRule, Slicing
 from logstow.operators.chunking import chain_chunks, closed_chunks, open_tails, plan_chunks
 from logstow.operators.integrity import chunk_gaps, lost_data_gaps
 from logstow.operators.metrics import archive_gauges, partition_counters
@@ -57,7 +57,7 @@ EVENT_RULE = ChunkRule(100, 8 * HOUR_MS, RUN_START_MS)
 DOCUMENT_RULE = ChunkRule(65_536, None)
 CONVERSATION_RULE = ChunkRule(16_384, None)
 # Far below the default, so that these tables have partitions to slice.
-SLICE_ROWS = 250
+SLICING = Slicing(rows=250, chunks=4, group=8)
 
 
 def topic_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,15 +126,15 @@ def combined_chunks(spark, sf_dir):
 
 
 def size_chunks_sliced(spark, sf_dir):
-    return plan_chunks(events_log(spark, sf_dir), EVENT_SIZE_RULE, SLICE_ROWS)
+    return plan_chunks(events_log(spark, sf_dir), EVENT_SIZE_RULE, SLICING)
 
 
 def interval_chunks_sliced(spark, sf_dir):
-    return plan_chunks(events_log(spark, sf_dir), EVENT_INTERVAL_RULE, SLICE_ROWS)
+    return plan_chunks(events_log(spark, sf_dir), EVENT_INTERVAL_RULE, SLICING)
 
 
 def combined_chunks_sliced(spark, sf_dir):
-    return plan_chunks(events_log(spark, sf_dir), EVENT_RULE, SLICE_ROWS)
+    return plan_chunks(events_log(spark, sf_dir), EVENT_RULE, SLICING)
 
 
 def timer_at_end(spark, sf_dir):

@@ -328,4 +328,5 @@ def test_lowest_start_reaches_the_scan(spark, tmp_path):
     log = spark.read.parquet(str(tmp_path / "log"))
     starts = start_positions(parts_for(spark), catalog_of(spark, ("a.b_c", 3, 1, 0, 40)))
     plan = archive_run.unread_messages(log, starts)._jdf.queryExecution().toString()
-    assert "PushedFilters: [IsNotNull(offset), GreaterThan(offset,0)" in plan
+    for pushed in ("GreaterThan(offset,0)", "In(topic, [_hidden,a.b_c])"):
+        assert pushed in plan.split("PushedFilters: ")[1]

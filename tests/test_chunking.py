@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from brute import chunks_of
-from logstow.model import ChunkRule
+from logstow.model import ChunkRule, Slicing
 from logstow.operators.chunking import chain_chunks, closed_chunks, open_tails, plan_chunks
+from logstow.operators.slices import measure_hot_partitions
 
 SIZES = "topic string, broker_id int, partition_id int, offset long, size long, arrival_ms long, start_offset long"
 
@@ -55,7 +56,7 @@ MANY = 10**9
 
 def planned(spark, rows, rule, slice_rows, group_slices=64, mapped=1000):
     df = spark.createDataFrame(rows, SIZES)
-    chunks = plan_chunks(df, rule, slice_rows, group_slices, mapped)
+    chunks = plan_chunks(df, rule, Slicing(slice_rows, 0, group_slices), mapped)
     return sorted(tuple(r) for r in chunks.collect())
 
 
@@ -91,6 +92,17 @@ def test_more_partitions_than_are_mapped(spark, slice_rows):
     assert planned(spark, rows, rule, slice_rows, 2, mapped=3) == expected(rows, rule)
 
 
+def test_slices_hold_whole_chunks(spark):
+    rows = [("t", 0, 0, i, 10, 1000, 0) for i in range(1, 900)]
+    sizes = spark.createDataFrame([(0, r[3], r[4]) for r in rows], "id int, offset long, size int")
+    rule = ChunkRule(500, None, 1000)
+    hot = measure_hot_partitions(sizes, {0: 899}, {0: 0}, rule, Slicing(20, 4, 64))
+    assert hot[0].slice_width == 200
+    df = spark.createDataFrame(rows, SIZES)
+    chunks = plan_chunks(df, rule, Slicing(20, 4, 2)).collect()
+    assert sorted(map(tuple, chunks)) == expected(rows, rule)
+
+
 def test_equal_sizes_never_fall_into_step(spark):
     rows = [("t", 0, 0, i, 7, 1000 + i // 4, 0) for i in range(1, 900)]
     rule = ChunkRule(100, 5000, 1000)
