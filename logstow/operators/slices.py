@@ -15,7 +15,8 @@ the state of the open chunk: its start, its bytes, and the commit timer.
    all groups at once. A summary cannot tell what happens where the timer is
    due before the first chunk is full, unless it still runs from the start of
    the run. Such a slice is folded with its real state, and the pass goes on
-   behind it.
+   behind it. If the next slice is another one, the rest of its group is
+   summarised once more for the timer as it runs now.
 4. Now that every slice's entry state is known, all slices are folded in
    parallel, and the pieces of chunks that span slices are added up.
 
@@ -174,10 +175,12 @@ class SliceSummary:
     for the timer running undisturbed since the start of the run.
     """
 
-    def __init__(self, stats: SliceStats, rule: ChunkRule):
+    def __init__(self, stats: SliceStats, rule: ChunkRule, anchor: int | None = None):
+        """anchor: summarise only for the timer, running from this commit time."""
+        self.timer_only = anchor is not None
         self.limit = FAR if rule.max_bytes is None else min(rule.max_bytes, FAR)
         self.interval = FAR if rule.interval_ms is None else rule.interval_ms
-        tick = rule.run_start_ms
+        tick = rule.run_start_ms if anchor is None else anchor
         if stats.previous_clock > tick:
             tick = ticks_before(stats.previous_clock, tick, self.interval)
         self.total = np.array([TIMER_ROW])
@@ -192,7 +195,7 @@ class SliceSummary:
     def feed(self, offsets, sizes, arrivals) -> None:
         total = self.seen + np.cumsum(sizes, dtype=np.int64)
         clock = running_clock(arrivals, len(total), self.last_clock)
-        if self.seen <= self.limit:
+        if self.seen <= self.limit and not self.timer_only:
             new = np.flatnonzero((sizes > 0) & (total - sizes <= self.limit))
             self.total = np.concatenate([self.total, total[new]])
             self.clock = np.concatenate([self.clock, clock[new]])
@@ -243,14 +246,20 @@ class SliceSummary:
         )
 
 
-def _summarise(stats: dict[tuple[int, int], SliceStats], rule: ChunkRule):
+def _summarise(
+    stats: dict[tuple[int, int], SliceStats],
+    rule: ChunkRule,
+    anchors: dict[tuple[int, int], int] | None = None,
+):
+    anchors = anchors or {}
+
     def run(batches):
         key, summary = None, None
         for run_key, offsets, sizes, arrivals in _slice_runs(batches, rule):
             if run_key != key:
                 if summary is not None:
                     yield summary.rows(key)
-                key, summary = run_key, SliceSummary(stats[run_key], rule)
+                key, summary = run_key, SliceSummary(stats[run_key], rule, anchors.get(run_key))
             summary.feed(offsets, sizes, arrivals)
         if summary is not None:
             yield summary.rows(key)
@@ -307,7 +316,11 @@ def pass_unit(start, size, commit, stats: SliceStats, summary, rule: ChunkRule):
     in_time = np.where(listed, clock[at], stats.first_clock) <= deadline
     at = np.where(in_time, at, 0)
     none_closed = in_time & ~listed
-    by_timer = ~in_time & (clock[0] == commit)
+    by_timer = np.zeros(len(commit), dtype=bool)
+    for row in range(int(np.searchsorted(total, 0))):
+        same = ~in_time & ~by_timer & (clock[row] == commit)
+        at = np.where(same, row, at)
+        by_timer |= same
     known = (by_timer | (in_time & listed)) & (summary["exit_size"][at] >= 0)
     if stats.bytes is not None:
         known |= none_closed
@@ -439,22 +452,27 @@ def walk_lines(units: dict[Line, list[int]], states: dict[Line, OpenChunk], exac
     """Entry state of every unit, and the state behind every line.
 
     states: entry state of each line. exact: entry states of some units -> the
-    states behind them. follow: states behind some units -> entry states of the
-    units after them, as far as the summaries tell.
+    states behind them. follow: states behind some units, and the lines that
+    needed two such units in a row -> entry states of the units after them, as
+    far as the summaries tell.
     """
-    entries, exits = {}, {}
+    entries, exits, folded = {}, {}, {}
     pending = {(*line, units[line][0]): state for line, state in states.items()}
     while pending:
         entries.update(pending)
-        behind = {}
+        behind, slow = {}, set()
         for (*line, unit), state in exact(pending).items():
             line = tuple(line)
             if unit == units[line][-1]:
                 exits[line] = state
-            else:
-                behind[line] = (unit, state)
+                continue
+            behind[line] = (unit, state)
+            place = units[line].index(unit)
+            if place > 0 and folded.get(line) == units[line][place - 1]:
+                slow.add(line)
+            folded[line] = unit
         reached: dict[Line, dict[int, OpenChunk]] = defaultdict(dict)
-        for (*line, unit), state in follow(behind).items():
+        for (*line, unit), state in follow(behind, slow).items():
             reached[tuple(line)][unit] = state
         pending = {}
         for line, got in reached.items():
@@ -514,19 +532,40 @@ def resolve_entries(
             members[(hot_id, s.slice // group_slices)].append(s)
     units = {line: [s.slice for s in parts] for line, parts in members.items()}
     slice_stats = {(*line, s.slice): s for line, parts in members.items() for s in parts}
-    lined = summaries.select(
-        "hot_id",
-        F.expr(f"slice div {group_slices}").alias("line"),
-        F.col("slice").alias("unit"),
-        *SUMMARY_ARROW.names[2:],
-    )
+    by_slice = {(h, s.slice): s for h, parts in stats.items() for s in parts}
+
+    def in_lines(table: DataFrame) -> DataFrame:
+        return table.select(
+            "hot_id",
+            F.expr(f"slice div {group_slices}").alias("line"),
+            F.col("slice").alias("unit"),
+            *SUMMARY_ARROW.names[2:],
+        )
+
+    lined = in_lines(summaries)
+
+    def follow_slices(behind: dict[Line, tuple[int, OpenChunk]], slow: set[Line]):
+        """Where only the timer closes chunks, summarise once more for its ticks."""
+        anchors = {
+            (line[0], unit): behind[line][1].last_commit
+            for line in slow
+            for unit in units[line]
+            if unit > behind[line][0]
+        }
+        table = lined
+        if anchors:
+            ids = [h * SLICES + unit for h, unit in sorted(anchors)]
+            again = _per_slice(slices.filter(F.col("slice_id").isin(ids)))
+            ticks = again.mapInArrow(_summarise(by_slice, rule, anchors), SUMMARY_SCHEMA)
+            table = lined.unionByName(in_lines(ticks))
+        return _follow_lines(table, behind, slice_stats, rule)
 
     def within_groups(states: dict[Line, OpenChunk]):
         return walk_lines(
             units,
             states,
             lambda pending: fold_slices(slices, pending, rule),
-            lambda behind: _follow_lines(lined, behind, slice_stats, rule),
+            follow_slices,
         )
 
     groups: dict[Line, list[int]] = defaultdict(list)
@@ -562,7 +601,7 @@ def resolve_entries(
             groups,
             begins,
             whole_groups,
-            lambda behind: _follow_lines(combined, behind, group_stats, rule),
+            lambda behind, slow: _follow_lines(combined, behind, group_stats, rule),
         )
         entries, _ = within_groups({(h, g): c for (h, _, g), c in group_entries.items()})
     return {(h, s): chunk for (h, _, s), chunk in entries.items()}

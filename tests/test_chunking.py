@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from brute import chunks_of
 from logstow.model import ChunkRule, Slicing
 from logstow.operators.chunking import chain_chunks, closed_chunks, open_tails, plan_chunks
+from logstow.operators import slices
 from logstow.operators.slices import measure_hot_partitions
 
 SIZES = "topic string, broker_id int, partition_id int, offset long, size long, arrival_ms long, start_offset long"
@@ -92,6 +93,28 @@ def test_more_partitions_than_are_mapped(spark, slice_rows):
     assert planned(spark, rows, rule, slice_rows, 2, mapped=3) == expected(rows, rule)
 
 
+def test_timer_alone_does_not_cost_a_job_per_slice(spark, monkeypatch):
+    # One burst moves the timer off the ticks of the run's start; from then on
+    # only the timer closes chunks.
+    rows, now = [], 1000
+    for i in range(1, 1200):
+        now += 0 if 30 < i < 60 else 5
+        rows.append(("t", 0, 0, i * 3, 10, now, 0))
+    rule, jobs = ChunkRule(150, 53, 1000), []
+    fold = slices.fold_slices
+
+    def counted(*args):
+        jobs.append(args)
+        return fold(*args)
+
+    monkeypatch.setattr(slices, "fold_slices", counted)
+    assert planned(spark, rows, rule, 40) == expected(rows, rule)
+    assert len(jobs) <= 4
+    jobs.clear()
+    assert planned(spark, rows, rule, 40, 8) == expected(rows, rule)
+    assert len(jobs) <= 4 * 3 + 2
+
+
 def test_slices_hold_whole_chunks(spark):
     rows = [("t", 0, 0, i, 10, 1000, 0) for i in range(1, 900)]
     sizes = spark.createDataFrame([(0, r[3], r[4]) for r in rows], "id int, offset long, size int")
@@ -109,7 +132,7 @@ def test_equal_sizes_never_fall_into_step(spark):
     assert planned(spark, rows, rule, 90, 3) == expected(rows, rule)
 
 
-def test_reference_points(spark):
+def test_crossing_and_equality(spark):
     rule = ChunkRule(10, None)
     rows = [("t", 0, 0, o, s, 0, 0) for o, s in [(1, 10), (2, 0), (3, 1), (4, 50), (5, 10)]]
     assert [r[3:] for r in planned(spark, rows, rule, MANY)] == [

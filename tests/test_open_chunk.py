@@ -1,6 +1,7 @@
 """Folding in batches and slice summaries against brute force, without Spark."""
 
 import numpy as np
+import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -70,3 +71,30 @@ def test_summary_tells_the_state_behind_a_slice(before, inside, rule, width):
         assert state == [chunk.start, chunk.size, chunk.last_commit]
     else:
         assert rule.interval_ms is not None and rule.max_bytes is not None
+
+
+@settings(max_examples=400, deadline=None)
+@given(messages, messages, rules, st.integers(1, 9))
+def test_second_summary_knows_the_timer(before, inside, rule, width):
+    rows = placed(before + inside)
+    cut = len(before)
+    chunk = OpenChunk.at(7, rule)
+    feed(chunk, *arrays(rows[:cut]), rule)
+    offsets, sizes, arrivals = arrays(rows[cut:])
+    latest = max(int(arrivals.max()), chunk.clock)
+    stats = SliceStats(
+        1, int(sizes.sum()), int(offsets[-1]), latest, latest, chunk.end, chunk.clock
+    )
+    both = [SliceSummary(stats, rule), SliceSummary(stats, rule, chunk.last_commit)]
+    for summary in both:
+        for i in range(0, len(offsets), width):
+            summary.feed(*(x[i : i + width] for x in (offsets, sizes, arrivals)))
+    batch = pd.concat([x.rows((0, 1)).to_pandas() for x in both]).sort_values(
+        "total", kind="stable"
+    )
+    columns = {c: batch[c].to_numpy() for c in batch.columns[2:]}
+    entry = [np.array([x]) for x in (chunk.start, chunk.size, chunk.last_commit)]
+    *state, known = (x[0] for x in pass_unit(*entry, stats, columns, rule))
+    feed(chunk, offsets, sizes, arrivals, rule)
+    assert known
+    assert state == [chunk.start, chunk.size, chunk.last_commit]
