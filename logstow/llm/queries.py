@@ -4,14 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from logstow.llm.language_id import language_id
 from logstow.llm.quality_rules import quality_rules
+from logstow.llm.sentencepiece_codec import digest_documents
 from logstow.llm.simhash import simhash_near_dedup
 from logstow.llm.sql import QUALITY_RULES
 from logstow.llm.tables import documents
 
 
+def piece_model() -> str:
+    """Where the tokenizer's file lies on every machine."""
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_documents(documents(spark, sf_dir), piece_model())
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir))
 
@@ -20,9 +32,15 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_dedup(documents(spark, sf_dir))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(documents(spark, sf_dir))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op8_language_id": op8_language_id,
 }
 
 LLM_ORACLE: dict[str, str] = {"op3_quality_rules": QUALITY_RULES}
