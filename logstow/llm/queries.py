@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from logstow.llm.language_id import language_id
+from logstow.llm.pii import pii
 from logstow.llm.quality_rules import quality_rules
 from logstow.llm.sentencepiece_codec import digest_documents
 from logstow.llm.simhash import simhash_near_dedup
@@ -32,6 +33,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_dedup(documents(spark, sf_dir))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii(documents(spark, sf_dir))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(documents(spark, sf_dir))
 
@@ -40,6 +45,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op7_pii": op7_pii,
     "op8_language_id": op8_language_id,
 }
 
