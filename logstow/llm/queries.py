@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from logstow.llm.language_id import language_id
 from logstow.llm.pii import pii
+from logstow.llm.quality_classifier import quality_classifier
 from logstow.llm.quality_rules import quality_rules
 from logstow.llm.sentencepiece_codec import digest_documents
 from logstow.llm.simhash import simhash_near_dedup
@@ -21,6 +22,11 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_classifier(documents(spark, sf_dir), labels)
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_documents(documents(spark, sf_dir), piece_model())
 
@@ -42,6 +48,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
