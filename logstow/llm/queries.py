@@ -11,6 +11,7 @@ from logstow.llm.language_id import language_id
 from logstow.llm.pii import pii
 from logstow.llm.quality_classifier import quality_classifier
 from logstow.llm.quality_rules import quality_rules
+from logstow.llm.secrets import secret_scan
 from logstow.llm.sentencepiece_codec import digest_documents
 from logstow.llm.simhash import simhash_near_dedup
 from logstow.llm.sql import QUALITY_RULES
@@ -47,6 +48,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(documents(spark, sf_dir))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(documents(spark, sf_dir))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_sentencepiece": op2_sentencepiece,
@@ -54,6 +59,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op7_pii": op7_pii,
     "op8_language_id": op8_language_id,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 LLM_ORACLE: dict[str, str] = {"op3_quality_rules": QUALITY_RULES}
