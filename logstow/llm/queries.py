@@ -15,6 +15,7 @@ from logstow.llm.secrets import secret_scan
 from logstow.llm.sentencepiece_codec import digest_documents
 from logstow.llm.simhash import simhash_near_dedup
 from logstow.llm.sql import QUALITY_RULES
+from logstow.llm.suffix_dedup import suffix_dedup
 from logstow.llm.tables import documents
 
 
@@ -48,6 +49,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(documents(spark, sf_dir))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(documents(spark, sf_dir))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(documents(spark, sf_dir))
 
@@ -59,6 +64,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op7_pii": op7_pii,
     "op8_language_id": op8_language_id,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_secret_scan": op10_secret_scan,
 }
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop shuffle files of finished jobs now.
+
+    It does so once the driver's collector finds their plans unused, which on a
+    driver with much memory may be long after the disk is needed.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_of(column: str = "text") -> Column:
     """The text, where null counts as empty."""
     return F.coalesce(F.col(column), F.lit(""))
