@@ -14,9 +14,10 @@ from logstow.llm.quality_rules import quality_rules
 from logstow.llm.secrets import secret_scan
 from logstow.llm.sentencepiece_codec import digest_documents
 from logstow.llm.simhash import simhash_near_dedup
-from logstow.llm.sql import QUALITY_RULES
+from logstow.llm.sql import QUALITY_RULES, TOP_K
 from logstow.llm.suffix_dedup import suffix_dedup
 from logstow.llm.tables import documents
+from logstow.llm.topk_search import is_query, top_k
 
 
 def piece_model() -> str:
@@ -41,6 +42,11 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_dedup(documents(spark, sf_dir))
 
 
+def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return top_k(vectors, vectors.filter(is_query()))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii(documents(spark, sf_dir))
 
@@ -62,10 +68,14 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op6_topk_search": op6_topk_search,
     "op7_pii": op7_pii,
     "op8_language_id": op8_language_id,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_secret_scan": op10_secret_scan,
 }
 
-LLM_ORACLE: dict[str, str] = {"op3_quality_rules": QUALITY_RULES}
+LLM_ORACLE: dict[str, str] = {
+    "op3_quality_rules": QUALITY_RULES,
+    "op6_topk_search": TOP_K,
+}

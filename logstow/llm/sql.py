@@ -47,3 +47,20 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        n_lines, n_exclamations, n_stop_words
 FROM b
 """
+
+TOP_K = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)::BIGINT) AS c
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, d.vec_id,
+         list_inner_product(q.c::DOUBLE[], d.c::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v d ON q.vec_id <> d.vec_id AND len(q.c) = len(d.c)
+  WHERE q.vec_id % 100 = 0),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+  FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
