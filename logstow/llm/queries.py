@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from logstow.llm.language_id import language_id
+from logstow.llm.mixing import mixing
 from logstow.llm.pii import pii
 from logstow.llm.quality_classifier import quality_classifier
 from logstow.llm.quality_rules import quality_rules
@@ -42,6 +43,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_dedup(documents(spark, sf_dir))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing(documents(spark, sf_dir))
+
+
 def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return top_k(vectors, vectors.filter(is_query()))
@@ -68,6 +73,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_mixing": op5_mixing,
     "op6_topk_search": op6_topk_search,
     "op7_pii": op7_pii,
     "op8_language_id": op8_language_id,

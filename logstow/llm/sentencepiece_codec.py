@@ -359,9 +359,8 @@ def encode_documents(docs: DataFrame, model: str) -> DataFrame:
                 found = [codec.encode(t or "") for t in small.column(at).to_pylist()]
                 counts = [len(x[1]) for x in found]
                 offsets = pa.array(np.cumsum([0, *counts]), pa.int32())
-                ids = np.array(
-                    [int(i) for x in found if x[0] for i in x[0].split(",")], dtype=np.int32
-                )
+                joined = ",".join([x[0] for x in found if x[0]])
+                ids = np.fromstring(joined, dtype=np.int32, sep=",")
                 lists = [ids] + [
                     np.concatenate([x[k] for x in found]).astype(np.int64) for k in (1, 2)
                 ]
