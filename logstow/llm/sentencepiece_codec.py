@@ -5,9 +5,10 @@ text is normalised by longest prefixes of that map, noting for every normalised
 byte the original byte it comes from; the merges of byte pair encoding run on
 the normalised text, and every piece is projected back to original bytes.
 
-No piece continues past a space, so merging works on stretches that begin with a
-space, and the same stretch always gives the same pieces. Each task keeps those
-it has seen, in two generations of bounded size.
+No piece continues past a space, or from other characters to certain marks, so
+merging works on stretches between such places, and the same stretch always gives
+the same pieces. Each worker keeps those it has seen, in two generations of
+bounded size.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+import string
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
@@ -138,25 +140,41 @@ class Codec:
         self.trim = bool(normaliser.get(4, 1))
         self.escape = bool(normaliser.get(5, 1))
         self.charmap = CharacterMap(normaliser.get(2, b""))
-        self.rank = {
-            p: (-scores[i], i)
-            for i, p in enumerate(self.pieces)
-            if self.types[i] == NORMAL
-        }
+        self.id = {p: i for i, p in enumerate(self.pieces) if self.types[i] == NORMAL}
+        self.rank = {p: -scores[i] for p, i in self.id.items()}
         self.byte_id = {
             int(p[3:5], 16): i for i, p in enumerate(self.pieces) if self.types[i] == BYTE
         }
         if any(SPACE in p.lstrip(SPACE) for p in self.rank):
             raise ValueError("pieces that go on past a space are not served")
-        # A line feed stands alone if no piece holds one together with others.
-        alone = "" if any("\n" in p and len(p) > 1 for p in self.rank) else "\n"
-        self.stretch = re.compile(
-            (f"{alone}|" if alone else "") + f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+"
-        )
+        self.stretch = self._stretches()
         self.remembered = remembered
         self.young: dict[str, tuple] = {}
         self.old: dict[str, tuple] = {}
 
+    def _stretches(self) -> re.Pattern:
+        """Stretches across whose borders no piece reaches.
+
+        A mark is ASCII punctuation that no piece holds right after an ASCII letter;
+        letters are all but those some piece holds before a mark. So letters that
+        end before a mark, a space or the text's end are a stretch, and so are marks
+        before a space or the end. A line feed is one if no longer piece has it.
+        """
+        before: dict[str, set[str]] = {}
+        for piece in self.id:
+            for a, b in zip(piece, piece[1:], strict=False):
+                before.setdefault(b, set()).add(a)
+        letters = set(string.ascii_letters)
+        marks = [c for c in string.punctuation if not before.get(c, set()) & letters]
+        odd = {a for c in marks for a in before.get(c, ()) if re.match(r"[^\W\d_]", a)}
+        alone = "" if any("\n" in p and len(p) > 1 for p in self.id) else "\n"
+        mark = re.escape("".join(marks))
+        letter = rf"[^\W\d_{re.escape(''.join(sorted(odd)))}]"
+        parts = [f"{SPACE}*+{letter}++(?=[{SPACE}{alone}{mark}]|\\Z)"] if marks else []
+        parts += [f"{SPACE}*+[{mark}]++(?=[{SPACE}{alone}]|\\Z)"] if marks else []
+        parts += [alone] if alone else []
+        return re.compile("|".join([*parts, f"{SPACE}*+[^{SPACE}{alone}]++", f"{SPACE}++"]))
+
     def normalise(self, text: str) -> tuple[str, np.ndarray | None]:
         """Normalised text, and the original byte at which each of its bytes begins.
 
@@ -212,6 +230,26 @@ class Codec:
 
     def _merge(self, stretch: str) -> list[str]:
         """Symbols left when no neighbours make a piece; best score first, then leftmost."""
+        if len(stretch) > 64:
+            return self._merge_long(stretch)
+        get, none = self.rank.get, float("inf")
+        parts = list(stretch)
+        ranks = [get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
+        while ranks:
+            best = min(ranks)
+            if best == none:
+                break
+            i = ranks.index(best)
+            parts[i] += parts.pop(i + 1)
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = get(parts[i] + parts[i + 1], none)
+            if i:
+                ranks[i - 1] = get(parts[i - 1] + parts[i], none)
+        return parts
+
+    def _merge_long(self, stretch: str) -> list[str]:
+        """The same by a queue, which is faster for long stretches."""
         symbols: list[str | None] = list(stretch)
         n = len(symbols)
         left, right = list(range(-1, n - 1)), [*range(1, n), -1]
@@ -220,7 +258,7 @@ class Codec:
         def offer(i: int, j: int) -> None:
             both = symbols[i] + symbols[j]
             if both in rank:
-                heapq.heappush(heap, (rank[both][0], i, j, both))
+                heapq.heappush(heap, (rank[both], i, j, both))
 
         for i in range(n - 1):
             offer(i, i + 1)
@@ -243,22 +281,19 @@ class Codec:
         """ids as text, normalised and plain byte lengths of the pieces, decoded text."""
         ids, wide, plain = [], [], []
         for symbol in self._merge(stretch):
-            data = symbol.encode()
-            if symbol in self.rank:
-                ids.append(self.rank[symbol][1])
-                wide.append(len(data))
-                plain.append(len(data) - 2 * symbol.count(SPACE))
-                continue
-            # The bytes of an unknown character; all but the last cover nothing.
-            ids.extend(self.byte_id[b] for b in data)
-            wide.extend([0] * (len(data) - 1) + [len(data)])
-            plain.extend([0] * (len(data) - 1) + [len(data) - 2 * symbol.count(SPACE)])
-        return (
-            ",".join(map(str, ids)),
-            np.array(wide, dtype=np.uint8).tobytes(),
-            np.array(plain, dtype=np.uint8).tobytes(),
-            self._surface(ids),
-        )
+            size = len(symbol.encode())
+            spaces = 2 * symbol.count(SPACE)
+            known = self.id.get(symbol)
+            if known is None:
+                # The bytes of an unknown character; all but the last cover nothing.
+                ids.extend(self.byte_id[b] for b in symbol.encode())
+                wide.extend([0] * (size - 1))
+                plain.extend([0] * (size - 1))
+            else:
+                ids.append(known)
+            wide.append(size)
+            plain.append(size - spaces)
+        return ",".join(map(str, ids)), bytes(wide), bytes(plain), self._surface(ids)
 
     def _surface(self, ids: list[int]) -> str:
         """Text of pieces, without treating the first one specially."""
@@ -288,20 +323,20 @@ class Codec:
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
     def _known(self, stretch: str) -> tuple:
-        entry = self.young.get(stretch)
-        if entry is None:
-            entry = self.old.get(stretch) or self._learn(stretch)
-            if len(self.young) >= self.remembered:
-                self.old, self.young = self.young, {}
-            if len(stretch) <= 64:
-                self.young[stretch] = entry
+        """Entry of a stretch that the young generation lacks."""
+        entry = self.old.get(stretch) or self._learn(stretch)
+        if len(self.young) >= self.remembered:
+            self.old, self.young = self.young, {}
+        if len(stretch) <= 64:
+            self.young[stretch] = entry
         return entry
 
     def encode(self, text: str) -> tuple[str, np.ndarray, np.ndarray, str]:
         """ids joined by commas, first and last original byte (exclusive) per piece,
         and the text that decoding the ids gives."""
         normalised, source = self.normalise(text)
-        rows = [self._known(s) for s in self.stretch.findall(normalised)]
+        get, known = self.young.get, self._known
+        rows = [get(s) or known(s) for s in self.stretch.findall(normalised)]
         ids = ",".join([r[0] for r in rows])
         lengths = b"".join([r[1 if source is not None else 2] for r in rows])
         ends = np.cumsum(np.frombuffer(lengths, dtype=np.uint8), dtype=np.int64)
