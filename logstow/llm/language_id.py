@@ -14,11 +14,11 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructType
 
-from logstow.llm.tables import id_remainder
+from logstow.llm.tables import id_remainder, least_of_each
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
@@ -66,14 +66,9 @@ def learn_languages(labelled: DataFrame, training: Training = Training()) -> Lan
         raise ValueError(f"more than {training.languages} languages")
     names = [r["lang"] for r in sorted(counts, key=lambda r: (-r["count"], r["lang"]))]
     fit = F.length("text").between(training.shortest, training.longest)
-    first = Window.partitionBy("lang").orderBy("order", "doc_id")
-    # A rank limit is applied in every task before the shuffle.
-    chosen = (
-        known.filter(fit)
-        .select("lang", "doc_id", F.xxhash64("doc_id").alias("order"))
-        .withColumn("rank", F.row_number().over(first))
-        .filter(F.col("rank") <= training.texts)
-        .select("lang", "doc_id", "rank")
+    ids = known.filter(fit).select("lang", "doc_id", F.xxhash64("doc_id").alias("order"))
+    chosen = least_of_each(ids, "lang", ["order", "doc_id"], training.texts).select(
+        "lang", "doc_id", "rank"
     )
     rows = (
         known.filter(fit)

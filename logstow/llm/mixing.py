@@ -16,6 +16,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructType
 
 from logstow.llm.tables import text_of, written
 
@@ -48,7 +49,7 @@ class Mix:
     seed: int = 1
 
 
-@F.pandas_udf("tokens long, topic int")
+@F.pandas_udf(StructType().add("tokens", LongType()).add("topic", IntegerType()))
 def _described(texts: pd.Series) -> pd.DataFrame:
     """Words of a text, and the group of words it uses most.
 

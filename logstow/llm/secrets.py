@@ -17,10 +17,10 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logstow.llm.tables import text_of
+from logstow.llm.tables import least_of_each, text_of
 
 # Kinds in the order of the digest, their patterns and least lengths.
 KINDS = ("assign", "access", "hex")
@@ -267,14 +267,8 @@ def learn_grammars(docs: DataFrame, how: Inference = Inference()) -> Grammars:
         .mapInArrow(run, "kind string, value string")
         .distinct()
     )
-    first = Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value")
-    # A rank limit is applied in every task before the shuffle.
-    rows = (
-        values.withColumn("rank", F.row_number().over(first))
-        .filter(F.col("rank") <= how.values)
-        .select("kind", "value")
-        .collect()
-    )
+    hashed = values.withColumn("order", F.xxhash64("value"))
+    rows = least_of_each(hashed, "kind", ["order", "value"], how.values).collect()
     by_kind = {k: [r["value"] for r in rows if r["kind"] == k] for k in names}
     formats = {k: infer(by_kind[k], how.alpha) for k in KINDS if by_kind[k]}
     ordinary = {k: infer(by_kind[k], how.alpha) for k in ORDINARY if by_kind[k]}

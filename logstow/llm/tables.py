@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gc
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logstow.shared_dir import shared_dir
@@ -34,6 +34,25 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def least_of_each(df: DataFrame, group: str, order: list[str], k: int, salts: int = 64) -> DataFrame:
+    """The k first rows of every group, with their `rank`, by a total order of columns.
+
+    Every task keeps k of a group, then every salted part of it, then the group; so a
+    group of very many rows meets in one task only as `salts` times k rows.
+    """
+    salt = F.pmod(F.xxhash64(F.lit(salts), *order), F.lit(salts))
+    part = Window.partitionBy(group, "_salt").orderBy(*order)
+    whole = Window.partitionBy(group).orderBy(*order)
+    return (
+        df.withColumn("_salt", salt)
+        .withColumn("rank", F.row_number().over(part))
+        .filter(F.col("rank") <= k)
+        .drop("_salt")
+        .withColumn("rank", F.row_number().over(whole))
+        .filter(F.col("rank") <= k)
+    )
+
+
 def text_of(column: str = "text") -> Column:
     """The text, where null counts as empty."""
     return F.coalesce(F.col(column), F.lit(""))
