@@ -37,29 +37,33 @@ RULES: tuple[tuple[str, str, float], ...] = (
 )
 
 
-def _per(part: Column, whole: Column) -> Column:
-    """Ratio; nothing of nothing is 0."""
-    return F.when(whole > 0, part.cast("double") / whole).otherwise(F.lit(0.0))
-
-
-#: What the table may speak about, in terms of the counts below.
-MEASURES = {
-    "n_words": F.col("n_words"),
-    "mean_word_chars": _per(F.col("word_chars"), F.col("n_words")),
-    "symbols_per_word": _per(F.col("n_symbols"), F.col("n_words")),
-    "exclamations_per_word": _per(F.col("n_exclamations"), F.col("n_words")),
-    "stop_word_share": _per(F.col("n_stop_words"), F.col("n_words")),
-    "duplicate_line_share": _per(F.col("n_dup_lines"), F.col("n_lines")),
-    "repeated_word_share": _per(F.col("n_repeat_words"), F.col("n_words")),
+#: What the table may speak about: a count below, or the ratio of two.
+MEASURES: dict[str, tuple[str, str | None]] = {
+    "n_words": ("n_words", None),
+    "mean_word_chars": ("word_chars", "n_words"),
+    "symbols_per_word": ("n_symbols", "n_words"),
+    "exclamations_per_word": ("n_exclamations", "n_words"),
+    "stop_word_share": ("n_stop_words", "n_words"),
+    "duplicate_line_share": ("n_dup_lines", "n_lines"),
+    "repeated_word_share": ("n_repeat_words", "n_words"),
 }
 
 
+def _measure(name: str) -> Column:
+    """The measure as a number; nothing of nothing is 0."""
+    part, whole = MEASURES[name]
+    value = F.col(part).cast("double")
+    if whole is None:
+        return value
+    return F.when(F.col(whole) > 0, value / F.col(whole)).otherwise(F.lit(0.0))
+
+
 def verdict(rules: tuple[tuple[str, str, float], ...] = RULES) -> Column:
     """The table as one boolean expression."""
     return reduce(
         and_,
         [
-            MEASURES[name] >= F.lit(limit) if bound == "min" else MEASURES[name] <= F.lit(limit)
+            _measure(name) >= limit if bound == "min" else _measure(name) <= limit
             for name, bound, limit in rules
         ],
         F.lit(True),
