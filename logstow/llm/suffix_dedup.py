@@ -33,8 +33,10 @@ from logstow.llm.tables import release, text_of, written
 LENGTH, REACH = 200, 152
 WINDOW = 16  # bytes of the rolling hash
 BLOCK = 1 << 20  # starts parsed at a time, so that long texts take little memory
-#: Entries of one seed that are sorted together; seeds with more go by string hash.
+#: Entries of one seed that are sorted together; seeds with more go by hash.
 TOGETHER = 500
+#: Starts in a run of those, level by level.
+RUNS = (8, 1)
 
 _SEED_BYTES = LENGTH - REACH + 1
 _FACTOR = 0x9E3779B97F4A7C15
@@ -95,19 +97,23 @@ def _key() -> list[Column]:
 
 
 def phrases(docs: DataFrame) -> DataFrame:
-    """The parse: seed, entry (hashes), doc, text_hash, first and starts of each phrase."""
-    names = ["seed", "entry", "doc", "text_hash", "first", "starts"]
+    """The parse: seed, entry (hashes), doc, text_hash, first and shape of each phrase.
+
+    shape holds the trigger's distance from the first start times 256, and the
+    number of starts.
+    """
+    names = ["seed", "entry", "doc", "text_hash", "first", "shape"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
         for batch in batches:
-            seeds, entries, firsts, starts, counts = [], [], [], [], []
+            seeds, entries, firsts, shapes, counts = [], [], [], [], []
             for text in batch.column(2):
                 data = text.as_py().encode("utf-8", "surrogatepass")
                 first, last, trigger = parse(data)
                 counts.append(len(first))
                 firsts.append(first)
-                starts.append(last - first + 1)
+                shapes.append((trigger - first) * 256 + last - first + 1)
                 seeds += [digest(data[t : t + _SEED_BYTES]) for t in trigger.tolist()]
                 # The distance of the trigger is part of what an entry is.
                 entries += [
@@ -125,32 +131,29 @@ def phrases(docs: DataFrame) -> DataFrame:
                     pa.array(np.repeat(batch.column(0).to_numpy(), counts)),
                     pa.array(np.repeat(batch.column(1).to_numpy(), counts)),
                     pa.array(np.concatenate(firsts).astype(np.int64)),
-                    pa.array(np.concatenate(starts).astype(np.int32)),
+                    pa.array(np.concatenate(shapes).astype(np.int32)),
                 ],
                 names=names,
             )
 
     return docs.select(*_key(), text_of()).mapInArrow(
-        run, "seed long, entry long, doc long, text_hash long, first long, starts int"
+        run, "seed long, entry long, doc long, text_hash long, first long, shape int"
     )
 
 
 def _contexts(docs: DataFrame, entries: DataFrame) -> DataFrame:
     """Entries with their bytes, cut from the one text each was seen in."""
     by_text = entries.groupBy("doc", "text_hash").agg(
-        F.collect_list(F.struct("seed", "n", "classes", "first", "starts")).alias("wanted")
-    )
-    schema = (
-        "seed long, n long, classes long, doc long, text_hash long, first long, data binary"
+        F.collect_list(F.struct("seed", "n", "classes", "first", "shape")).alias("wanted")
     )
-
-    names = ["seed", "n", "classes", "doc", "text_hash", "first", "data"]
+    names = ["seed", "n", "classes", "doc", "text_hash", "first", "distance", "data"]
+    schema = ", ".join(f"{c} long" for c in names[:-1]) + ", data binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple] = []
 
         def flush() -> pa.RecordBatch:
-            kinds = [pa.int64()] * 6 + [pa.binary()]
+            kinds = [pa.int64()] * 7 + [pa.binary()]
             columns = [pa.array([r[i] for r in found], k) for i, k in enumerate(kinds)]
             found.clear()
             return pa.RecordBatch.from_arrays(columns, names=names)
@@ -160,9 +163,10 @@ def _contexts(docs: DataFrame, entries: DataFrame) -> DataFrame:
                 doc, text_hash = doc.as_py(), text_hash.as_py()
                 data = text.as_py().encode("utf-8", "surrogatepass")
                 for w in wanted.as_py():
-                    first = w["first"]
-                    piece = data[first : first + w["starts"] - 1 + LENGTH]
-                    found.append((w["seed"], w["n"], w["classes"], doc, text_hash, first, piece))
+                    first, (distance, starts) = w["first"], divmod(w["shape"], 256)
+                    where = (doc, text_hash, first, distance)
+                    piece = data[first : first + starts - 1 + LENGTH]
+                    found.append((w["seed"], w["n"], w["classes"], *where, piece))
                 if len(found) >= 4096:
                     yield flush()
         if found:
@@ -252,45 +256,77 @@ def _span(rows: list[tuple], run_of: list[int]) -> tuple[int, int, int, int]:
     return doc, text_hash, first + begin, first + end
 
 
-def _hashed_strings(entries: DataFrame) -> DataFrame:
-    """The same for seeds with many entries: strings meet by a hash of 128 bits."""
-    names = ["high", "low", "n", "doc", "text_hash", "first"]
+def _runs(entries: DataFrame, size: int) -> DataFrame:
+    """Entries cut into runs of `size` starts, counted back from the trigger, with a
+    hash of 128 bits of what the run's strings can see."""
+    names = ["seed", "slot", "high", "low", "n", "doc", "text_hash", "first", "distance", "data"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_128_digest
+        digest = xxhash.xxh3_128_intdigest
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
+                found = []
                 part = batch.slice(at, 512)
-                texts = part.column(4).to_pylist()
-                counts = [len(d) - LENGTH + 1 for d in texts]
-                both = np.frombuffer(
-                    b"".join(digest(d[i : i + LENGTH]) for d, n in zip(texts, counts, strict=True) for i in range(n)),
-                    dtype=np.int64,
-                ).reshape(-1, 2)
-                first = np.repeat(part.column(3).to_numpy(), counts)
-                first = first + np.concatenate([np.arange(n) for n in counts])
+                for seed, n, doc, text_hash, first, distance, data in zip(
+                    *(c.to_pylist() for c in part.columns), strict=True
+                ):
+                    i, starts = 0, len(data) - LENGTH + 1
+                    while i < starts:
+                        slot = (distance - i) // size
+                        stop = min(starts, distance - slot * size + 1)
+                        piece = data[i : stop - 1 + LENGTH]
+                        both = digest(piece, distance - i)
+                        high, low = (x - (1 << 63) for x in divmod(both, 1 << 64))
+                        where = (doc, text_hash, first + i, distance - i)
+                        found.append((seed, slot, high, low, n, *where, piece))
+                        i = stop
+                kinds = [pa.int64()] * 9 + [pa.binary()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())]
-                    + [pa.array(np.repeat(part.column(i).to_numpy(), counts)) for i in range(3)]
-                    + [pa.array(first)],
+                    [pa.array([r[i] for r in found], k) for i, k in enumerate(kinds)],
                     names=names,
                 )
 
-    strings = written(
-        entries.select("n", "doc", "text_hash", "first", "data").mapInArrow(
-            run, "high long, low long, n long, doc long, text_hash long, first long"
+    columns = ["seed", "n", "doc", "text_hash", "first", "distance", "data"]
+    schema = ", ".join(f"{c} long" for c in names[:-1]) + ", data binary"
+    return entries.select(*columns).mapInArrow(run, schema)
+
+
+def _hashed_runs(entries: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
+    """The same as `_sorted_groups` for seeds with many entries.
+
+    Runs of several starts are looked up first, and only one of each kind is cut
+    further, where its slot has a run that was seen once. Nothing of a seed needs
+    to be in one task.
+    """
+    runs = written(_runs(entries, sizes[0]), "suffix-runs")
+    seen = F.struct("n", "doc", "text_hash", "first", "distance", "data")
+    kinds = written(
+        runs.groupBy("seed", "slot", "high", "low").agg(
+            F.count(F.lit(1)).alias("found"), F.min(seen).alias("seen")
         ),
-        "suffix-strings",
+        "suffix-kinds",
     )
-    repeated = written(
-        strings.groupBy("high", "low").count().filter("count > 1").select("high", "low"),
-        "suffix-repeated",
+    spans = (
+        runs.filter("n = 1")
+        .join(kinds.filter("found > 1").select("seed", "high", "low"), ["seed", "high", "low"])
+        .select(
+            "doc",
+            "text_hash",
+            "first",
+            (F.col("first") + F.octet_length("data") - LENGTH).alias("last"),
+        )
     )
-    return (
-        strings.filter("n = 1")
-        .join(repeated, ["high", "low"])
-        .select("doc", "text_hash", "first", F.col("first").alias("last"))
+    if len(sizes) == 1:
+        return spans
+    single = F.when(F.col("found") == 1, F.col("seen.n")).otherwise(F.lit(2))
+    open_slots = written(
+        kinds.groupBy("seed", "slot").agg(F.min(single).alias("least")).filter("least = 1"),
+        "suffix-slots",
+    )
+    rest = kinds.join(open_slots.select("seed", "slot"), ["seed", "slot"]).select(
+        "seed", single.alias("n"), *(f"seen.{c}" for c in ("doc", "text_hash", "first", "distance", "data"))
     )
+    return spans.unionByName(_hashed_runs(rest, sizes[1:]))
 
 
 def repeated_starts(docs: DataFrame) -> DataFrame:
@@ -308,12 +344,12 @@ def repeated_starts(docs: DataFrame) -> DataFrame:
     release(docs.sparkSession)
     shared = written(parsed.join(seeds, "seed"), "suffix-phrases")
     release(docs.sparkSession)
-    last = (F.col("first") + F.col("starts") - 1).alias("last")
+    last = (F.col("first") + F.col("shape") % 256 - 1).alias("last")
     span = ["doc", "text_hash", "first", last]
     plain = shared.filter(~F.col("mixed")).select(*span)
 
     mixed = shared.filter("mixed")
-    seen_in = F.struct("doc", "text_hash", "first", "starts")
+    seen_in = F.struct("doc", "text_hash", "first", "shape")
     entries = written(
         mixed.groupBy("seed", "entry").agg(
             F.count(F.lit(1)).alias("n"), F.min(seen_in).alias("seen")
@@ -338,7 +374,7 @@ def repeated_starts(docs: DataFrame) -> DataFrame:
     )
     release(docs.sparkSession)
     few = _sorted_groups(contexts.filter(F.col("classes") <= TOGETHER))
-    many = _hashed_strings(contexts.filter(F.col("classes") > TOGETHER))
+    many = _hashed_runs(contexts.filter(F.col("classes") > TOGETHER), RUNS)
     return plain.unionByName(twice).unionByName(few).unionByName(many)
 
 
