@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructType
 
-from logstow.llm.tables import id_remainder, least_of_each
+from logstow.llm.tables import id_remainder, least_of_each, slices
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
@@ -151,7 +151,7 @@ def identify(docs: DataFrame, languages: Languages, narrow: float = 0.002) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classifier = Classifier(shared.value, narrow)
-        for batch in batches:
+        for batch in slices(batches):
             found = [classifier.classify(t) for t in batch.column(at).to_pylist()]
             columns = [
                 pa.array([x[0] for x in found], pa.string()),

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logstow.llm.tables import id_remainder, text_of
+from logstow.llm.tables import id_remainder, slices, text_of
 
 SYMBOLS = b"#*$%&|<>"
 FEATURES = (
@@ -192,7 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, how: Boosting = Boosting()) -> For
     sample = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(kept * (1 << 20)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0)] + [pa.array(c) for c in features_of(batch.column(1)).T],
                 names=["quality", *FEATURES],
@@ -227,7 +227,7 @@ def quality_classifier(
     shared = docs.sparkSession.sparkContext.broadcast(forest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             score = shared.value.score(features_of(batch.column(2)))
             yield pa.RecordBatch.from_arrays(
                 [

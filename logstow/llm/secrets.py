@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logstow.llm.tables import least_of_each, text_of
+from logstow.llm.tables import least_of_each, slices, text_of
 
 # Kinds in the order of the digest, their patterns and least lengths.
 KINDS = ("assign", "access", "hex")
@@ -243,7 +243,7 @@ def learn_grammars(docs: DataFrame, how: Inference = Inference()) -> Grammars:
     names = (*KINDS, *ORDINARY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             seen = set()
             for text, words in zip(batch.column(0), batch.column(1), strict=True):
                 text = text.as_py()
@@ -306,7 +306,7 @@ def secret_scan(docs: DataFrame, how: Inference = Inference()) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grammars = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             counts: list[list[int]] = [[] for _ in names]
             digests, lists, scores = [], [], []
             for text in batch.column(1):

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 
-from logstow.llm.tables import text_of
+from logstow.llm.tables import slices, text_of
 
 SPACE = "▁"
 SPACE_BYTES = SPACE.encode()
@@ -35,7 +35,7 @@ REPLACEMENT = "�".encode()
 # Piece types of the model format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 # Stretches remembered by each of the two generations of a task's memory.
-REMEMBERED = 150_000
+REMEMBERED = 80_000
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -389,21 +389,20 @@ def encode_documents(docs: DataFrame, model: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(model)
-        for batch in batches:
-            for small in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
-                found = [codec.encode(t or "") for t in small.column(at).to_pylist()]
-                counts = [len(x[1]) for x in found]
-                offsets = pa.array(np.cumsum([0, *counts]), pa.int32())
-                joined = ",".join([x[0] for x in found if x[0]])
-                ids = np.fromstring(joined, dtype=np.int32, sep=",")
-                lists = [ids] + [
-                    np.concatenate([x[k] for x in found]).astype(np.int64) for k in (1, 2)
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [*small.columns]
-                    + [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in lists],
-                    names=[*small.schema.names, *added],
-                )
+        for small in slices(batches):
+            found = [codec.encode(t or "") for t in small.column(at).to_pylist()]
+            counts = [len(x[1]) for x in found]
+            offsets = pa.array(np.cumsum([0, *counts]), pa.int32())
+            joined = ",".join([x[0] for x in found if x[0]])
+            ids = np.fromstring(joined, dtype=np.int32, sep=",")
+            lists = [ids] + [
+                np.concatenate([x[k] for x in found]).astype(np.int64) for k in (1, 2)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [*small.columns]
+                + [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in lists],
+                names=[*small.schema.names, *added],
+            )
 
     return kept.mapInArrow(run, schema)
 
@@ -423,7 +422,7 @@ def digest_documents(docs: DataFrame, model: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(model)
-        for batch in batches:
+        for batch in slices(batches):
             counts, ids, decoded, spans = [], [], [], []
             for text in batch.column(1):
                 joined, begins, ends, plain = codec.encode(text.as_py())

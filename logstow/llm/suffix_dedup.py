@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logstow.llm.tables import release, text_of, written
+from logstow.llm.tables import release, slices, text_of, written
 
 #: Bytes of a string that must not repeat, and start positions a trigger reaches.
 LENGTH, REACH = 200, 152
@@ -106,7 +106,7 @@ def phrases(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
-        for batch in batches:
+        for batch in slices(batches):
             seeds, entries, firsts, shapes, counts = [], [], [], [], []
             for text in batch.column(2):
                 data = text.as_py().encode("utf-8", "surrogatepass")
@@ -158,7 +158,7 @@ def _contexts(docs: DataFrame, entries: DataFrame) -> DataFrame:
             found.clear()
             return pa.RecordBatch.from_arrays(columns, names=names)
 
-        for batch in batches:
+        for batch in slices(batches):
             for doc, text_hash, text, wanted in zip(*batch.columns, strict=True):
                 doc, text_hash = doc.as_py(), text_hash.as_py()
                 data = text.as_py().encode("utf-8", "surrogatepass")
@@ -206,7 +206,7 @@ def _sorted_groups(entries: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def groups() -> Iterator[list[tuple]]:
             current, rows = None, []
-            for batch in batches:
+            for batch in slices(batches):
                 for seed, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     if seed != current:
                         if rows:
@@ -263,7 +263,7 @@ def _runs(entries: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_intdigest
-        for batch in batches:
+        for batch in slices(batches):
             for at in range(0, batch.num_rows, 512):
                 found = []
                 part = batch.slice(at, 512)
@@ -392,7 +392,7 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out: list[list] = [[], [], [], []]
             for text, spans in zip(batch.column(1), batch.column(2), strict=True):
                 data = text.as_py().encode("utf-8", "surrogatepass")

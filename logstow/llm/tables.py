@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import gc
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +36,17 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches cut small, so that a worker holds few texts as Python objects at a time.
+
+    At the end, memory that is free goes back to the system; workers live on.
+    """
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def least_of_each(df: DataFrame, group: str, order: list[str], k: int, salts: int = 64) -> DataFrame:
     """The k first rows of every group, with their `rank`, by a total order of columns.
 
