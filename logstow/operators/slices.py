@@ -164,6 +164,9 @@ SUMMARY_ARROW = pa.schema(
     ]
 )
 TIMER_ROW = -1
+# Messages that are folded at a time, or as many as there are candidates if that is
+# more. Every fold looks at all candidates, so this keeps the work in proportion.
+FOLDED_AT_ONCE = 1 << 18
 
 
 class SliceSummary:
@@ -177,7 +180,8 @@ class SliceSummary:
 
     def __init__(self, stats: SliceStats, rule: ChunkRule, anchor: int | None = None):
         """anchor: summarise only for the timer, running from this commit time."""
-        self.timer_only = anchor is not None
+        # Without a size limit no chunk is closed by a message of its own.
+        self.timer_only = anchor is not None or rule.max_bytes is None
         self.limit = FAR if rule.max_bytes is None else min(rule.max_bytes, FAR)
         self.interval = FAR if rule.interval_ms is None else rule.interval_ms
         tick = rule.run_start_ms if anchor is None else anchor
@@ -191,8 +195,28 @@ class SliceSummary:
         self.seen = 0
         self.last_clock = stats.previous_clock
         self.last_offset = stats.previous_offset
+        self.waiting: list[tuple] = []
+        self.waiting_rows = 0
 
     def feed(self, offsets, sizes, arrivals) -> None:
+        """Take messages in order; they are folded when enough have come together."""
+        self.waiting.append((offsets, sizes, arrivals))
+        self.waiting_rows += len(offsets)
+        if self.waiting_rows >= max(FOLDED_AT_ONCE, len(self.total)):
+            self.fold()
+
+    def fold(self) -> None:
+        """Fold what is waiting. To be called before any array is looked at."""
+        if not self.waiting_rows:
+            return
+        offsets, sizes, arrivals = (
+            None if parts[0] is None else np.concatenate(parts)
+            for parts in zip(*self.waiting, strict=True)
+        )
+        self.waiting, self.waiting_rows = [], 0
+        self._fold(offsets, sizes, arrivals)
+
+    def _fold(self, offsets, sizes, arrivals) -> None:
         total = self.seen + np.cumsum(sizes, dtype=np.int64)
         clock = running_clock(arrivals, len(total), self.last_clock)
         if self.seen <= self.limit and not self.timer_only:
@@ -231,6 +255,7 @@ class SliceSummary:
             self.commit[late] = ticks_before(clock[at], self.commit[late], self.interval)
 
     def rows(self, key) -> pa.RecordBatch:
+        self.fold()
         n = len(self.total)
         return pa.RecordBatch.from_arrays(
             [

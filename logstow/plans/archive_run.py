@@ -10,9 +10,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from logstow.model import ChunkRule, Slicing
+from logstow.model import PARTITION_KEY, ChunkRule, Slicing
 from logstow.operators.chunking import (
     closed_chunks,
     message_sizes,
@@ -21,9 +20,14 @@ from logstow.operators.chunking import (
 )
 from logstow.operators.integrity import require_no_chunk_gaps, require_no_lost_data
 from logstow.operators.positions import resume_scan, start_positions
-from logstow.operators.topics import select_topics
 from logstow.shared_dir import shared_dir
-from logstow.sinks.sequence_files import CHUNKS_PER_JOB, Messages, recover, write_chunks
+from logstow.sinks.sequence_files import (
+    CHUNKS_PER_JOB,
+    Messages,
+    range_filter,
+    recover,
+    write_chunks,
+)
 from logstow.sources.archive import read_catalog
 
 
@@ -65,13 +69,10 @@ def current_starts(partitions: DataFrame, base: str, check: bool = True) -> Data
 
 
 def unread_messages(messages: DataFrame, starts: DataFrame) -> DataFrame:
-    """Resume scan; topics and the lowest start position are pushed into the scan."""
-    lowest = starts.groupBy("topic").agg(F.min("start_offset").alias("low")).collect()
-    if lowest:
-        messages = select_topics(messages, [r.topic for r in lowest]).filter(
-            F.col("offset") > min(r.low for r in lowest)
-        )
-    return resume_scan(messages, starts)
+    """Resume scan; every partition's start position is pushed into the scan."""
+    positions = starts.select(*PARTITION_KEY, "start_offset").collect()
+    ranges = [(*r, None) for r in positions]
+    return resume_scan(messages.filter(range_filter(ranges)), starts)
 
 
 def run_archive(

@@ -6,50 +6,108 @@
 
 from __future__ import annotations
 
+import json
 import sys
 import time
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from logstow.config import ArchiveConfig, apply_credentials, read_properties
+from logstow.model import PARTITION_KEY
 from logstow.operators.topics import configured_partitions
 from logstow.plans.archive_run import current_starts
-from logstow.sources.kafka import by_gap_policy, offsets_json, range_reader, stream_messages
-from logstow.streaming.archive_stream import listen, start_archive
+from logstow.sinks.sequence_files import recover
+from logstow.sources.kafka import (
+    by_gap_policy,
+    earliest_offsets,
+    log_starts,
+    offsets_json,
+    range_reader,
+    stream_messages,
+)
+from logstow.streaming.archive_stream import fixed_starts, listen, start_archive
 
+# Between looks at the queries, and lines with the counters.
+CHECK_SECONDS = 60
 USAGE = "usage: daemon <server properties> <archiver properties> <checkpoint folder>"
 
 
-def start_from_kafka(
+def starters(
     spark: SparkSession, config: ArchiveConfig, checkpoint: str
-) -> list[StreamingQuery]:
-    """One query for the topics that ignore gaps, one for the others."""
-    queries = []
-    for part in by_gap_policy(config):
-        ignoring = part.topics <= part.ignore_gaps_topics
-        partitions = configured_partitions(spark, part).withColumn(
-            "log_start", F.lit(0).cast("long")
-        )
-        starts = current_starts(partitions, part.base_uri)
-        positions = [
-            (r.topic, r.partition_id, r.start_offset) for r in starts.toLocalIterator()
-        ]
-        name = "ignoring-gaps" if ignoring else "strict"
-        queries.append(
-            start_archive(
-                stream_messages(spark, part, starting=offsets_json(positions)),
+) -> dict[str, Callable[[], StreamingQuery]]:
+    """By name, how to start each query: one for topics that ignore gaps, one for others.
+
+    A start completes what a dead run left before it looks at the archive.
+    """
+
+    def starter(part: ArchiveConfig, name: str) -> Callable[[], StreamingQuery]:
+        owner = f"broker-{part.broker_id}-{name}"
+        enumerated = configured_partitions(spark, part)
+        rows = [(r.topic, r.broker_id, r.partition_id) for r in enumerated.toLocalIterator()]
+        read = [(t, p) for t, _, p in rows]
+
+        def begin() -> DataFrame:
+            first = log_starts(rows, earliest_offsets(spark, part, read))
+            table = spark.createDataFrame(
+                first, "topic string, broker_id int, partition_id int, log_start long"
+            )
+            return current_starts(enumerated.join(table, PARTITION_KEY), part.base_uri)
+
+        def start() -> StreamingQuery:
+            recover(spark, part.base_uri, owner)
+            starts = fixed_starts(spark, begin, f"{checkpoint}/{name}")
+            positions = [
+                (r.topic, r.partition_id, r.start_offset) for r in starts.toLocalIterator()
+            ]
+            return start_archive(
+                stream_messages(
+                    spark, part, starting=offsets_json(positions), partitions=read
+                ),
                 range_reader(spark, part),
                 starts,
                 part.base_uri,
                 part.chunk_rule(int(time.time() * 1000)),
                 f"{checkpoint}/{name}",
-                owner=f"broker-{part.broker_id}-{name}",
-                jump_to_first=ignoring,
+                owner=owner,
             )
-        )
-    return queries
+
+        return start
+
+    return {
+        name: starter(part, name)
+        for part in by_gap_policy(config)
+        for name in ["ignoring-gaps" if part.topics <= part.ignore_gaps_topics else "strict"]
+    }
+
+
+class Supervisor:
+    """Starts queries, and starts one again by itself when it has failed.
+
+    restarts: by query name, how often that was done.
+    """
+
+    def __init__(self, start: dict[str, Callable[[], StreamingQuery]], most: int = 100):
+        """most: restarts of a query before its failure is raised."""
+        self.start, self.most = start, most
+        self.restarts = dict.fromkeys(start, 0)
+        self.running = {name: begin() for name, begin in start.items()}
+
+    def look(self) -> bool:
+        """Restart what has failed; whether anything is still running."""
+        for name, query in list(self.running.items()):
+            if query.isActive:
+                continue
+            failure = query.exception()
+            if failure is None:
+                del self.running[name]
+                continue
+            if self.restarts[name] >= self.most:
+                raise failure
+            self.restarts[name] += 1
+            self.running[name] = self.start[name]()
+        return bool(self.running)
 
 
 def main(argv: list[str]) -> int:
@@ -61,9 +119,11 @@ def main(argv: list[str]) -> int:
     archive = read_properties(spark, archive_path)
     config = ArchiveConfig.from_properties(archive, read_properties(spark, server_path))
     apply_credentials(spark, archive)
-    listen(spark)
-    start_from_kafka(spark, config, checkpoint)
-    spark.streams.awaitAnyTermination()
+    listener = listen(spark)
+    supervisor = Supervisor(starters(spark, config, checkpoint))
+    while supervisor.look():
+        time.sleep(CHECK_SECONDS)
+        print(json.dumps({"restarts": supervisor.restarts, **listener.committed}), flush=True)
     return 0
 
 

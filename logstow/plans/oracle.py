@@ -238,4 +238,31 @@ ORACLE: dict[str, str] = {
     ),
     "incremental_runs": _query(CONVERSATION_CHUNKS, CLOSED_RANGES),
     "stream_archive": _query(CONVERSATION_CHUNKS, CLOSED_RANGES),
+    "stream_restart": _query(CONVERSATION_CHUNKS, CLOSED_RANGES),
+    "archive_windows": _query(
+        DOCUMENT_CHUNKS,
+        f"""SELECT {KEY}, start_offset, end_offset, {OBJECT_NAME} AS name
+            FROM chunks WHERE close_reason <> 'open'""",
+    ),
+    "object_name_foreign": """
+        SELECT page_id, printf('3_%d_%019d_%019d', page_id % 7, page_id, page_id + 10) AS name,
+               3::INTEGER AS broker_id, (page_id % 7)::INTEGER AS partition_id,
+               page_id AS start_offset, page_id + 10 AS end_offset, false AS rejected
+        FROM pages WHERE page_id % 5 = 0
+        UNION ALL SELECT page_id, 'notes-' || page_id || '.txt', NULL, NULL, NULL, NULL, true
+        FROM pages WHERE page_id % 5 = 1
+        UNION ALL SELECT page_id, '3_' || page_id % 7 || '_x' || page_id || '_5',
+               3, (page_id % 7)::INTEGER, NULL, 5, false FROM pages WHERE page_id % 5 = 2
+        UNION ALL SELECT page_id, '3_1_' || page_id, 3, 1, page_id, NULL, true
+        FROM pages WHERE page_id % 5 = 3
+        UNION ALL SELECT page_id, '3_1_5_' || (page_id + 5) || '_extra', 3, 1, 5, page_id + 5, false
+        FROM pages WHERE page_id % 5 = 4""",
+    "prefix_slashes": """
+        SELECT page_id, CASE WHEN p LIKE '%/' THEN left(p, length(p) - 1) ELSE p END AS prefix
+        FROM (SELECT page_id, url || repeat('/', page_id % 3) AS p FROM pages)""",
+    "partition_zero_counts": """
+        SELECT lang AS topic, 3::INTEGER AS broker_id, i::INTEGER AS partition_id
+        FROM (SELECT lang, max(doc_id % 4) AS top FROM documents
+              WHERE lang NOT IN ('de', 'fr') GROUP BY lang),
+             unnest(generate_series(0, top)) AS g(i)""",
 }

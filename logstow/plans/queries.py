@@ -38,7 +38,7 @@ from logstow.sources.archive import (
     read_catalog,
     read_catalog_objects,
 )
-from logstow.sources.tables import message_stream
+from logstow.sources.tables import file_range_reader, message_stream
 from logstow.streaming.archive_stream import start_archive
 
 PREFIX = "archive"
@@ -113,6 +113,42 @@ def prefix_normalise(spark, sf_dir):
     )
 
 
+def object_name_foreign(spark, sf_dir):
+    """Names of other makes among ours, by page: what is read from them, and which of
+    them a lenient catalog rejects and a strict one fails on."""
+    page, part = F.col("page_id"), F.col("page_id") % 7
+    name = (
+        F.when(page % 5 == 0, F.format_string("3_%d_%019d_%019d", part, page, page + 10))
+        .when(page % 5 == 1, F.concat(F.lit("notes-"), page, F.lit(".txt")))
+        .when(page % 5 == 2, F.concat(F.lit("3_"), part, F.lit("_x"), page, F.lit("_5")))
+        .when(page % 5 == 3, F.concat(F.lit("3_1_"), page))
+        .otherwise(F.concat(F.lit("3_1_5_"), page + 5, F.lit("_extra")))
+    )
+    pages = load(spark, sf_dir, "pages").select("page_id", name.alias("name"))
+    fields = [c.alias(n) for n, c in object_name_fields(F.col("name")).items()]
+    return pages.select("*", *fields).withColumn("rejected", F.col("end_offset").isNull())
+
+
+def prefix_slashes(spark, sf_dir):
+    """Prefixes with none, one or two slashes at their end; one goes."""
+    slashes = F.expr("repeat('/', cast(page_id % 3 as int))")
+    return load(spark, sf_dir, "pages").select(
+        "page_id", normalize_prefix(F.concat("url", slashes)).alias("prefix")
+    )
+
+
+def partition_zero_counts(spark, sf_dir):
+    """Enumeration where settings give some topics no partition, or fewer than none."""
+    docs = load(spark, sf_dir, "documents")
+    overrides = docs.groupBy(F.col("lang").alias("topic")).agg(
+        F.when(F.col("lang") == "de", 0)
+        .when(F.col("lang") == "fr", -2)
+        .otherwise(F.max(F.col("doc_id") % 4) + 1)
+        .alias("partition_count")
+    )
+    return enumerate_partitions(docs.select(F.col("lang").alias("topic")), overrides, 2, 3)
+
+
 def size_chunks(spark, sf_dir):
     return plan_chunks(events_log(spark, sf_dir), EVENT_SIZE_RULE)
 
@@ -222,6 +258,17 @@ def _archived_documents(spark, sf_dir) -> tuple[str, list[str]]:
     return f"{path}/base", topics
 
 
+def archive_windows(spark, sf_dir):
+    """The documents' chunks written in many small windows."""
+    path = shared_dir(spark, "windows")
+    log = written(documents_log(spark, sf_dir), f"{path}/log")
+    chunks = written(closed_chunks(plan_chunks(log, DOCUMENT_RULE)), f"{path}/chunks")
+    write_chunks(log, chunks, f"{path}/base", chunks_per_job=8)
+    topics = [r.topic for r in chunks.select("topic").distinct().collect()]
+    objects = parse_objects(list_objects(spark, f"{path}/base", topics))
+    return objects.select(*PARTITION_KEY, "start_offset", "end_offset", "name")
+
+
 def archive_roundtrip(spark, sf_dir):
     base, topics = _archived_documents(spark, sf_dir)
     records = read_catalog_objects(read_catalog(spark, base, topics))
@@ -261,16 +308,11 @@ def incremental_runs(spark, sf_dir):
     )
 
 
-def stream_archive(spark, sf_dir):
-    """The streaming job over the conversations, until all input is read."""
-    path = shared_dir(spark, "stream")
-    log = written(
-        conversations_log(spark, sf_dir).select(*[f.name for f in MESSAGE_SCHEMA]), f"{path}/log"
-    )
-    starts = log.select(*PARTITION_KEY).distinct().select("*", F.lit(0).alias("start_offset"))
+def _stream_run(spark, path: str, starts, max_bytes: int) -> None:
+    """Stream all files that are in the log's folder by now, then end."""
     query = start_archive(
-        message_stream(spark, f"{path}/log"),
-        log,
+        message_stream(spark, f"{path}/log", max_bytes),
+        file_range_reader(spark, f"{path}/log"),
         starts,
         f"{path}/base",
         CONVERSATION_RULE,
@@ -278,12 +320,38 @@ def stream_archive(spark, sf_dir):
         trigger={"availableNow": True},
     )
     query.awaitTermination()
+
+
+def _streamed_ranges(spark, sf_dir, parts: int) -> DataFrame:
+    """Chunks of the conversations, fed in so many parts, each to a new run."""
+    path = shared_dir(spark, "stream")
+    columns = [f.name for f in MESSAGE_SCHEMA]
+    log = written(conversations_log(spark, sf_dir).select(*columns), f"{path}/all")
+    starts = log.select(*PARTITION_KEY).distinct().select("*", F.lit(0).alias("start_offset"))
+    last = log.groupBy(*PARTITION_KEY).agg(F.max("offset").alias("last"))
+    placed = log.join(last, PARTITION_KEY).withColumn(
+        "part", F.expr(f"least({parts - 1}, offset * {parts} div (last + 1))")
+    )
+    for part in range(parts):
+        some = placed.filter(F.col("part") == part).select(*columns)
+        some.write.mode("append").parquet(f"{path}/log")
+        _stream_run(spark, path, starts, 8 << 30)
     topics = [r.topic for r in log.select("topic").distinct().collect()]
     return read_catalog(spark, f"{path}/base", topics).select(
         *PARTITION_KEY, "start_offset", "end_offset"
     )
 
 
+def stream_archive(spark, sf_dir):
+    """The streaming job over the conversations, until all input is read."""
+    return _streamed_ranges(spark, sf_dir, 1)
+
+
+def stream_restart(spark, sf_dir):
+    """The same, ended in mid-log and gone on with when more files have come."""
+    return _streamed_ranges(spark, sf_dir, 3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topic_filter": topic_filter,
     "partition_enumeration": partition_enumeration,
@@ -316,6 +384,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "offset_pruned_read": offset_pruned_read,
     "incremental_runs": incremental_runs,
     "stream_archive": stream_archive,
+    "object_name_foreign": object_name_foreign,
+    "prefix_slashes": prefix_slashes,
+    "partition_zero_counts": partition_zero_counts,
+    "archive_windows": archive_windows,
+    "stream_restart": stream_restart,
 }
 
 

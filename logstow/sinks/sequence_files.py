@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from itertools import groupby, islice
-from operator import or_
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,8 +38,8 @@ STAGING = "~staging"
 
 # Chunks per write job: its output partitions, and the rows of its broadcast.
 CHUNKS_PER_JOB = 4000
-# Ranges that are spelled out in a scan filter before it becomes too long.
-RANGES_IN_FILTER = 64
+# Ranges that a scan filter spells out; with more it names one range per topic.
+RANGES_IN_FILTER = 2000
 
 Range = tuple[str, int, int, int, int]
 Messages = DataFrame | Callable[[list[Range]], DataFrame]
@@ -54,34 +54,61 @@ def partition_ranges(chunks: list[tuple]) -> list[Range]:
     return out
 
 
-def range_filter(ranges: list[Range]):
-    """Scan filter for the ranges; coarser where there are many."""
-    offset = F.col("offset")
-    if len(ranges) > RANGES_IN_FILTER:
-        return (
-            F.col("topic").isin(sorted({r[0] for r in ranges}))
-            & (offset > min(r[3] for r in ranges))
-            & (offset <= max(r[4] for r in ranges))
-        )
-    return reduce(
-        or_,
-        [
-            (F.col("topic") == topic)
-            & (F.col("broker_id") == broker)
-            & (F.col("partition_id") == partition)
-            & (offset > low)
-            & (offset <= high)
-            for topic, broker, partition, low, high in ranges
-        ],
-    )
+def _any_of(conditions: list):
+    """Disjunction as a balanced tree, so that its depth stays small."""
+    while len(conditions) > 1:
+        pairs = zip(conditions[::2], conditions[1::2], strict=False)
+        odd = conditions[-1:] if len(conditions) % 2 else []
+        conditions = [a | b for a, b in pairs] + odd
+    return conditions[0]
 
 
-def assign_chunks(messages: DataFrame, chunks: list[tuple]) -> DataFrame:
+def range_filter(ranges: list[Range]):
+    """Scan filter for the ranges (topic, broker, partition, low, high].
+
+    Partitions of a topic with equal ranges share a condition. high may be None,
+    for no end. Beyond RANGES_IN_FILTER conditions, each topic has one, from its
+    lowest to its highest offset; the exact ranges are joined later in any case.
+    """
+    grouped: dict[tuple, list[int]] = {}
+    for topic, broker, partition, low, high in ranges:
+        grouped.setdefault((topic, broker, low, high), []).append(partition)
+    if len(grouped) > RANGES_IN_FILTER:
+        by_topic: dict[str, list[tuple]] = {}
+        for topic, _, low, high in grouped:
+            by_topic.setdefault(topic, []).append((low, high))
+        grouped = {
+            (
+                topic,
+                None,
+                min(low for low, _ in own),
+                None if any(h is None for _, h in own) else max(h for _, h in own),
+            ): []
+            for topic, own in by_topic.items()
+        }
+
+    def condition(topic, broker, low, high, partitions):
+        parts = [F.col("topic") == topic, F.col("offset") > low]
+        if partitions:
+            parts += [F.col("broker_id") == broker, F.col("partition_id").isin(partitions)]
+        if high is not None:
+            parts.append(F.col("offset") <= high)
+        return reduce(and_, parts)
+
+    if not grouped:
+        return F.lit(False)
+    return _any_of([condition(*key, sorted(set(p))) for key, p in grouped.items()])
+
+
+def assign_chunks(messages: DataFrame, chunks: list[tuple], few: bool = True) -> DataFrame:
     """Messages with `chunk_no`, the position of their chunk in the list.
 
     A range join: chunks are spread over offset buckets as wide as the average
     chunk, which makes at most three rows per chunk, and messages meet the few
     chunks of their own bucket.
+
+    few: the chunks are those of one window, whose number is bounded, and are
+        broadcast. Else Spark chooses by size.
     """
     spark = messages.sparkSession
     width = max(1, sum(c[4] - c[3] for c in chunks) // len(chunks))
@@ -91,7 +118,7 @@ def assign_chunks(messages: DataFrame, chunks: list[tuple]) -> DataFrame:
     ).withColumn("bucket", F.explode(F.expr(f"sequence((low + 1) div {width}, high div {width})")))
     return (
         messages.withColumn("bucket", F.expr(f"offset div {width}"))
-        .join(F.broadcast(table), [*PARTITION_KEY, "bucket"])
+        .join(F.broadcast(table) if few else table, [*PARTITION_KEY, "bucket"])
         .filter((F.col("offset") > F.col("low")) & (F.col("offset") <= F.col("high")))
         .drop("bucket", "low", "high")
     )
@@ -129,14 +156,15 @@ def _write_window(messages: DataFrame, chunks: list[tuple], path: str) -> None:
 def _publish_window(spark: SparkSession, archive: Folder, window: str, threads: int) -> int:
     """Rename a finished window's files to their object names.
 
-    Renames start in offset order. An object that is already there was
-    published by an earlier attempt.
+    One thread takes a topic partition at a time, in ascending offset order, and
+    stops at its first failure: whatever happens, the archive of a partition has no
+    hole. An object that is already there was published by an earlier attempt.
     """
     named = (
         spark.read.parquet(f"{archive.path}/{window}/names")
         .withColumn("target", object_path())
         .orderBy("chunk_no")
-        .select("chunk_no", "topic", "target")
+        .select("chunk_no", *PARTITION_KEY, "start_offset", "target")
         .collect()
     )
     for topic in sorted({r.topic for r in named}):
@@ -152,8 +180,17 @@ def _publish_window(spark: SparkSession, archive: Folder, window: str, threads:
         if not archive.rename(f"{window}/data/{part}", row.target):
             raise OSError(f"cannot publish {row.target}")
 
+    def move_partition(rows: list) -> None:
+        for row in rows:
+            move(row)
+
+    def partition(row) -> tuple:
+        return (row.topic, row.broker_id, row.partition_id)
+
+    ordered = sorted(named, key=lambda r: (partition(r), r.start_offset))
+    groups = [list(rows) for _, rows in groupby(ordered, key=partition)]
     with ThreadPoolExecutor(threads) as pool:
-        for _ in pool.map(move, named):
+        for _ in pool.map(move_partition, groups):
             pass
     archive.delete(window)
     return len(named)
@@ -200,8 +237,8 @@ def _split_by_window(
         [(i, no) for i, (_, no) in enumerate(numbered)], "chunk_no int, window int"
     )
     (
-        assign_chunks(messages, [r for r, _ in numbered])
-        .join(F.broadcast(window_of), "chunk_no")
+        assign_chunks(messages, [r for r, _ in numbered], few=False)
+        .join(window_of, "chunk_no")
         .select(*PARTITION_KEY, "offset", "value", "window")
         .hint("rebalance", "window")
         .write.partitionBy("window")

@@ -27,13 +27,56 @@ def offsets_json(positions: list[tuple[str, int, int]]) -> str:
     return json.dumps(out, sort_keys=True)
 
 
+def assign_json(partitions: list[tuple[str, int]]) -> str:
+    """(topic, partition) list as the connector's option for exact partitions."""
+    out: dict[str, list[int]] = {}
+    for topic, partition in sorted(set(partitions)):
+        out.setdefault(topic, []).append(int(partition))
+    return json.dumps(out, sort_keys=True)
+
+
+def log_starts(rows: list[tuple[str, int, int]], earliest: dict[tuple[str, int], int]):
+    """(topic, broker, partition) rows with the earliest offset the log still holds.
+
+    Kafka's first position is that of a message, which is the offset before it. A
+    partition that Kafka does not know starts at 0.
+    """
+    return [(t, b, p, int(earliest.get((t, p), 0))) for t, b, p in rows]
+
+
+def earliest_offsets(
+    spark: SparkSession, config: ArchiveConfig, partitions: list[tuple[str, int]]
+) -> dict[tuple[str, int], int]:
+    """First position of each partition, asked from the brokers by the client that
+    comes with Spark's connector."""
+    jvm = spark.sparkContext._jvm
+    properties = jvm.java.util.Properties()
+    decoder = "org.apache.kafka.common.serialization.ByteArrayDeserializer"
+    properties.put("bootstrap.servers", config.bootstrap_servers)
+    properties.put("key.deserializer", decoder)
+    properties.put("value.deserializer", decoder)
+    wanted = jvm.java.util.ArrayList()
+    for topic, partition in partitions:
+        wanted.add(jvm.org.apache.kafka.common.TopicPartition(topic, partition))
+    consumer = jvm.org.apache.kafka.clients.consumer.KafkaConsumer(properties)
+    try:
+        found = consumer.beginningOffsets(wanted)
+        return {(e.getKey().topic(), e.getKey().partition()): e.getValue() for e in found.entrySet()}
+    finally:
+        consumer.close()
+
+
 def reader_options(
     config: ArchiveConfig,
     starting: str = "earliest",
     ending: str | None = None,
     max_offsets_per_trigger: int | None = None,
+    partitions: list[tuple[str, int]] | None = None,
 ) -> dict[str, str]:
-    """Connector options for the configured topics.
+    """Connector options for the configured topics, or for given partitions of them.
+
+    Start positions by partition go with given partitions: for subscribed topics the
+    connector wants one for every partition a topic has, configured or not.
 
     Spark's option holds for the whole query: it fails on lost data unless
     every configured topic ignores gaps. `by_gap_policy` splits mixed settings.
@@ -45,6 +88,9 @@ def reader_options(
         "kafka.max.partition.fetch.bytes": str(config.max_message_bytes),
         "failOnDataLoss": str(not config.topics <= config.ignore_gaps_topics).lower(),
     }
+    if partitions is not None:
+        del options["subscribe"]
+        options["assign"] = assign_json(partitions)
     if ending is not None:
         options["endingOffsets"] = ending
     if max_offsets_per_trigger is not None:
@@ -72,7 +118,7 @@ def read_messages(spark: SparkSession, config: ArchiveConfig, **options) -> Data
 def stream_messages(
     spark: SparkSession,
     config: ArchiveConfig,
-    max_offsets_per_trigger: int = 50_000_000,
+    max_offsets_per_trigger: int = 10_000_000,
     **options,
 ) -> DataFrame:
     options["max_offsets_per_trigger"] = max_offsets_per_trigger
@@ -99,12 +145,8 @@ def range_reader(spark: SparkSession, config: ArchiveConfig):
             replace(config, topics=frozenset(r[0] for r in ranges)),
             starting=offsets_json([(t, p, low) for t, _, p, low, _ in ranges]),
             ending=offsets_json([(t, p, high) for t, _, p, _, high in ranges]),
+            partitions=[(t, p) for t, _, p, _, _ in ranges],
         )
-        del options["subscribe"]
-        wanted: dict[str, list[int]] = {}
-        for topic, _, partition, _, _ in ranges:
-            wanted.setdefault(topic, []).append(partition)
-        options["assign"] = json.dumps(wanted, sort_keys=True)
         records = spark.read.format("kafka").options(**options).load()
         return as_messages(records, config.broker_id)
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logstow.model import MESSAGE_SCHEMA, PARTITION_KEY
+from logstow.sinks.sequence_files import Range, range_filter
 
 
 def message_stream(
@@ -23,6 +24,19 @@ def message_stream(
     )
 
 
+def file_range_reader(spark: SparkSession, path: str):
+    """Reads offset ranges of messages kept as parquet files.
+
+    The folder is listed anew for every read, so files that came after the start of
+    a stream are seen.
+    """
+
+    def read(ranges: list[Range]) -> DataFrame:
+        return spark.read.schema(MESSAGE_SCHEMA).parquet(path).filter(range_filter(ranges))
+
+    return read
+
+
 def running_total(
     df: DataFrame, keys: list[str], bucket: str, order: list[str], value: str, name: str
 ) -> DataFrame:

@@ -8,6 +8,8 @@ written like a planned chunk of the batch job.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +18,12 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from logstow.functions.names import payload_size
+from logstow.hadoop import Folder
 from logstow.model import CHUNK_SCHEMA, PARTITION_KEY, ChunkRule
 from logstow.operators.open_chunk import OpenChunk, feed, ticks_before
 from logstow.operators.positions import resume_scan
-from logstow.sinks.sequence_files import CHUNKS_PER_JOB, Messages, recover, write_chunks
+from logstow.sinks.sequence_files import CHUNKS_PER_JOB, Range, recover, write_chunks
+from logstow.sources.archive import read_catalog
 
 STATE_SCHEMA = (
     "start long, end long, count long, size long, last_commit long, clock long"
@@ -42,6 +46,24 @@ def fire_timer(chunk: OpenChunk, now: int, interval: int):
     return [] if chunk.is_empty() else [chunk.close("interval")]
 
 
+def in_order(batches: Iterable[pd.DataFrame]) -> tuple[int, np.ndarray, np.ndarray]:
+    """Start position, and offsets and sizes in offset order.
+
+    Of each frame only its two numbers per message are kept, not its key columns.
+    """
+    start, offsets, sizes = 0, [], []
+    for frame in batches:
+        if len(frame):
+            start = int(frame["start_offset"].iloc[0])
+            offsets.append(frame["offset"].to_numpy(np.int64))
+            sizes.append(frame["size"].to_numpy(np.int64))
+    offsets, sizes = np.concatenate(offsets), np.concatenate(sizes)
+    if np.any(offsets[1:] < offsets[:-1]):
+        order = np.argsort(offsets, kind="stable")
+        offsets, sizes = offsets[order], sizes[order]
+    return start, offsets, sizes
+
+
 def _advance(rule: ChunkRule, jump_to_first: bool):
     def advance(key, batches, state: GroupState):
         now = state.getCurrentProcessingTimeMs()
@@ -49,19 +71,12 @@ def _advance(rule: ChunkRule, jump_to_first: bool):
         if state.hasTimedOut:
             closed = fire_timer(chunk, now, rule.interval_ms)
         else:
-            messages = pd.concat(list(batches)).sort_values("offset")
+            start, offsets, sizes = in_order(batches)
             if chunk is None:
-                start = int(messages["start_offset"].iloc[0])
                 if jump_to_first:
-                    start = max(start, int(messages["offset"].iloc[0]) - 1)
+                    start = max(start, int(offsets[0]) - 1)
                 chunk = OpenChunk(start, start, 0, 0, now, now)
-            closed = feed(
-                chunk,
-                messages["offset"].to_numpy(),
-                messages["size"].to_numpy(),
-                np.full(len(messages), now, dtype=np.int64),
-                rule,
-            )
+            closed = feed(chunk, offsets, sizes, np.full(len(offsets), now, dtype=np.int64), rule)
         state.update(_state_row(chunk))
         if rule.interval_ms is not None:
             state.setTimeoutDuration(max(1, chunk.last_commit + rule.interval_ms + 1 - now))
@@ -95,10 +110,37 @@ def closing_chunks(
     )
 
 
+def fixed_starts(
+    spark: SparkSession, starts: DataFrame | Callable[[], DataFrame], checkpoint: str
+) -> DataFrame:
+    """The positions a query began with, as its checkpoint has them.
+
+    A replayed batch must drop what its first attempt dropped, although the archive
+    has grown since; so they are stored once, and a restart does not look at
+    `starts`.
+    """
+    folder = Folder(spark, checkpoint)
+    if not folder.exists("starts/_SUCCESS"):
+        first = starts() if callable(starts) else starts
+        first.select(*PARTITION_KEY, "start_offset").write.mode("overwrite").parquet(
+            f"{checkpoint}/starts"
+        )
+    return spark.read.parquet(f"{checkpoint}/starts")
+
+
+def not_archived(spark: SparkSession, chunks: DataFrame, base: str) -> DataFrame:
+    """Chunks whose objects are not there yet."""
+    topics = [r.topic for r in chunks.select("topic").distinct().collect()]
+    if not topics:
+        return chunks
+    there = read_catalog(spark, base, topics).select(*PARTITION_KEY, "start_offset", "end_offset")
+    return chunks.join(there, [*PARTITION_KEY, "start_offset", "end_offset"], "left_anti")
+
+
 def start_archive(
     messages: DataFrame,
-    log: Messages,
-    starts: DataFrame,
+    log: Callable[[list[Range]], DataFrame],
+    starts: DataFrame | Callable[[], DataFrame],
     base: str,
     rule: ChunkRule,
     checkpoint: str,
@@ -107,23 +149,40 @@ def start_archive(
     chunks_per_job: int = CHUNKS_PER_JOB,
     jump_to_first: bool = False,
 ) -> StreamingQuery:
-    """Start the archive job.
+    """Start the archive job, or go on with one that ended or died.
 
-    messages: the stream. log: the same messages for reading ranges again, as
-        `write_chunks` takes them; closed chunks must still be in it.
+    messages: the stream. log: reads given offset ranges of the same messages, as
+        `file_range_reader` or Kafka's `range_reader` do; closed chunks must still be
+        in it. A DataFrame will not do, as its files are fixed when it is made.
+    starts: where each partition begins, or a function for it that is called after
+        what a dead run left has been completed. Only the first start looks at it.
     checkpoint: folder of the query's progress and state. Chunks that a batch
-        closed are kept there by batch number, so that a replayed batch
-        publishes what the first attempt meant to.
+        closed are kept there by batch number until the next batch, so a replayed
+        batch publishes what the first attempt meant to, and nothing twice.
     trigger: arguments of `DataStreamWriter.trigger`.
     """
+    if not callable(log):
+        raise TypeError("log must be a function that reads offset ranges")
     spark = messages.sparkSession
+    # First of all: a half-published window is no state to take positions from.
     recover(spark, base, owner)
+    starts = fixed_starts(spark, starts, checkpoint)
+    folder = Folder(spark, checkpoint)
 
     def publish(closed: DataFrame, batch_id: int) -> None:
-        table = f"{checkpoint}/closed-chunks/batch={batch_id}"
-        closed.write.mode("overwrite").parquet(table)
-        chunks = closed.sparkSession.read.schema(CHUNK_SCHEMA).parquet(table)
+        session = closed.sparkSession
+        table = f"closed-chunks/batch={batch_id}"
+        replayed = folder.exists(f"{table}/_SUCCESS")
+        if replayed:
+            # The states still have to be computed and stored.
+            closed.write.format("noop").mode("overwrite").save()
+        else:
+            closed.write.mode("overwrite").parquet(f"{checkpoint}/{table}")
+        chunks = session.read.schema(CHUNK_SCHEMA).parquet(f"{checkpoint}/{table}")
+        if replayed:
+            chunks = not_archived(session, chunks, base)
         write_chunks(log, chunks, base, owner, chunks_per_job)
+        folder.delete(f"closed-chunks/batch={batch_id - 1}")
 
     closed = closing_chunks(messages, starts, rule, jump_to_first).observe(
         "committed",

@@ -10,6 +10,7 @@ from logstow.operators.integrity import GapError, chunk_gaps, lost_data_gaps
 from logstow.operators.positions import last_committed, start_positions
 from logstow.plans import archive_run
 from logstow.plans.archive_run import current_starts, run_archive
+from logstow.shared_dir import shared_dir
 from logstow.sinks import sequence_files
 from logstow.sinks.sequence_files import assign_chunks, partition_ranges, recover, write_chunks
 from logstow.sources.archive import (
@@ -323,10 +324,65 @@ def test_supplied_time_closes_the_tail(spark, tmp_path):
     assert run.published == 3 and run.open_tails.count() == 0
 
 
-def test_lowest_start_reaches_the_scan(spark, tmp_path):
-    messages_of(spark, sample_log()).write.parquet(str(tmp_path / "log"))
+def test_every_start_reaches_the_scan(spark, tmp_path):
+    rows = [("t", 3, p, 1000 * k, b"x", 0) for p in range(100) for k in (1, 2)]
+    messages_of(spark, rows).write.parquet(str(tmp_path / "log"))
     log = spark.read.parquet(str(tmp_path / "log"))
-    starts = start_positions(parts_for(spark), catalog_of(spark, ("a.b_c", 3, 1, 0, 40)))
-    plan = archive_run.unread_messages(log, starts)._jdf.queryExecution().toString()
-    for pushed in ("GreaterThan(offset,0)", "In(topic, [_hidden,a.b_c])"):
-        assert pushed in plan.split("PushedFilters: ")[1]
+    parts = partitions_of(spark, *[("t", 3, p, 0, False) for p in range(100)])
+    catalog = catalog_of(spark, *[("t", 3, p, 0, 1000 + p) for p in range(1, 100)])
+    unread = archive_run.unread_messages(log, start_positions(parts, catalog))
+    spark.conf.set("spark.sql.maxMetadataStringLength", str(1 << 20))
+    try:
+        pushed = unread._jdf.queryExecution().executedPlan().toString().split("PushedFilters: ")[1]
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert all(f"GreaterThan(offset,{1000 + p})" in pushed for p in range(1, 100))
+    assert "GreaterThan(offset,0)" in pushed
+    got = sorted((r.partition_id, r.offset) for r in unread.collect())
+    assert got == [(0, 1000)] + [(p, 2000) for p in range(100)]
+
+
+def test_more_ranges_than_a_filter_spells_out(spark, monkeypatch):
+    rows = [("t", 3, p, 10 * p + k, b"x", 0) for p in range(9) for k in range(5)]
+    ranges = [("t", 3, p, 10 * p + 1, 10 * p + 3) for p in range(2, 6)]
+    exact = messages_of(spark, rows).filter(sequence_files.range_filter(ranges)).count()
+    assert exact == 8
+    monkeypatch.setattr(sequence_files, "RANGES_IN_FILTER", 2)
+    coarse = messages_of(spark, rows).filter(sequence_files.range_filter(ranges))
+    assert sorted(r.offset for r in coarse.collect()) == [22, 23, 24] + list(range(30, 35)) + list(range(40, 45)) + [50, 51, 52, 53]
+    assert messages_of(spark, rows).filter(sequence_files.range_filter([])).count() == 0
+
+
+def test_objects_of_a_partition_appear_in_order(spark, tmp_path, monkeypatch):
+    seen, real = [], Folder.rename
+
+    def slow(folder, source, target):
+        seen.append(target)
+        return real(folder, source, target)
+
+    monkeypatch.setattr(Folder, "rename", slow)
+    run_archive(messages_of(spark, sample_log()), parts_for(spark), str(tmp_path), ChunkRule(40, None))
+    for part in ("a.b_c/3_1_", "a.b_c/3_11_", "_hidden/3_0_"):
+        own = [t for t in seen if t.startswith(part)]
+        assert own == sorted(own) and len(own) > 3
+
+
+def test_no_folder_of_one_machine_on_a_cluster(spark, tmp_path):
+    class Session:
+        class conf:
+            value = None
+
+            @classmethod
+            def get(cls, *_):
+                return cls.value
+
+        class sparkContext:
+            master = "local[4]"
+
+    assert "logstow-" in shared_dir(Session, "x")
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        Session.sparkContext.master = master
+        with pytest.raises(ValueError):
+            shared_dir(Session, "x")
+    Session.conf.value = str(tmp_path)
+    assert shared_dir(Session, "x").startswith(str(tmp_path))

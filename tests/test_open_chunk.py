@@ -1,5 +1,7 @@
 """Folding in batches and slice summaries against brute force, without Spark."""
 
+import time
+
 import numpy as np
 import pandas as pd
 from hypothesis import given, settings
@@ -98,3 +100,20 @@ def test_second_summary_knows_the_timer(before, inside, rule, width):
     feed(chunk, offsets, sizes, arrivals, rule)
     assert known
     assert state == [chunk.start, chunk.size, chunk.last_commit]
+
+
+def test_summaries_stay_in_proportion():
+    def seconds(rows, rule):
+        stats = SliceStats(1, 10 * rows, rows, rows, rows, 0, 0)
+        summary, begin = SliceSummary(stats, rule), time.process_time()
+        for at in range(0, rows, 10_000):
+            offsets = np.arange(at + 1, at + 10_001)
+            summary.feed(offsets, np.full(10_000, 10), offsets)
+        return len(summary.rows((0, 1))), time.process_time() - begin
+
+    n, _ = seconds(200_000, ChunkRule(None, 10**9))
+    assert n == 1
+    n, short = seconds(1_000_000, ChunkRule(1 << 28, None))
+    m, long = seconds(2_000_000, ChunkRule(1 << 28, None))
+    assert (n, m) == (1_000_001, 2_000_001)
+    assert long < 4 * short + 0.5

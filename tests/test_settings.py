@@ -190,6 +190,17 @@ def test_kafka_options():
     assert positions == {"a": {"0": 3, "1": 7}, "b": {"0": 0}}
 
 
+def test_kafka_partitions_are_assigned_with_their_starts():
+    c = ArchiveConfig.from_properties({**ARCHIVE, "kafka.topics": "b,a"})
+    o = kafka.reader_options(
+        c, starting=kafka.offsets_json([("a", 1, 7)]), partitions=[("a", 1), ("a", 0), ("b", 2)]
+    )
+    assert "subscribe" not in o and json.loads(o["assign"]) == {"a": [0, 1], "b": [2]}
+    rows = [("a", 3, 0), ("a", 3, 1), ("b", 3, 2)]
+    earliest = {("a", 0): 100, ("b", 2): 0}
+    assert kafka.log_starts(rows, earliest) == [("a", 3, 0, 100), ("a", 3, 1, 0), ("b", 3, 2, 0)]
+
+
 def test_kafka_rows_become_messages(spark):
     records = spark.createDataFrame(
         [("t", 4, 41, b"x", 1500), ("t", 4, 42, None, 2500)],

@@ -1,14 +1,19 @@
 import time
 
+import numpy as np
+import pandas as pd
 import pytest
 
-from logstow.model import MESSAGE_SCHEMA, ChunkRule
+from logstow.hadoop import Folder
+from logstow.model import ChunkRule
 from logstow.operators.chunking import closed_chunks, plan_chunks
 from logstow.operators.open_chunk import OpenChunk
+from logstow.operators.integrity import chunk_gaps
 from logstow.plans.archive_run import current_starts
 from logstow.sources.archive import read_catalog
-from logstow.sources.tables import message_stream
-from logstow.streaming.archive_stream import fire_timer, listen, start_archive
+from logstow.plans.daemon import Supervisor
+from logstow.sources.tables import file_range_reader, message_stream
+from logstow.streaming.archive_stream import fire_timer, in_order, listen, start_archive
 from test_archive import everything, messages_of, object_names, parts_for, partitions_of, sample_log
 
 
@@ -35,7 +40,7 @@ def test_stream_publishes_the_chunks_of_the_batch_job(spark, tmp_path):
         messages_of(spark, part).coalesce(1).write.mode("append").parquet(log)
         query = start_archive(
             message_stream(spark, log),
-            spark.read.schema(MESSAGE_SCHEMA).parquet(log),
+            file_range_reader(spark, log),
             current_starts(parts_for(spark), base),
             base,
             rule,
@@ -62,7 +67,7 @@ def test_timer_closes_a_chunk_without_new_messages(spark, tmp_path):
     messages_of(spark, [("t", 3, 0, 20, b"message_1", 0)]).coalesce(1).write.parquet(log)
     query = start_archive(
         message_stream(spark, log),
-        spark.read.schema(MESSAGE_SCHEMA).parquet(log),
+        file_range_reader(spark, log),
         current_starts(partitions_of(spark, ("t", 3, 0, 0, False)), base),
         base,
         ChunkRule(10**6, 3000),
@@ -84,7 +89,7 @@ def test_failed_runs_are_counted(spark, tmp_path):
     listener = listen(spark)
     query = start_archive(
         message_stream(spark, log),
-        spark.read.schema(MESSAGE_SCHEMA).parquet(log),
+        file_range_reader(spark, log),
         current_starts(partitions_of(spark, ("t", 3, 0, 0, False)), str(tmp_path / "base")),
         str(tmp_path / "base"),
         ChunkRule(10, None),
@@ -114,7 +119,7 @@ def test_topics_that_ignore_gaps_start_at_the_first_message(spark, tmp_path):
     messages_of(spark, rows).coalesce(1).write.parquet(log)
     query = start_archive(
         message_stream(spark, log),
-        spark.read.schema(MESSAGE_SCHEMA).parquet(log),
+        file_range_reader(spark, log),
         current_starts(partitions_of(spark, ("t", 3, 0, 0, True)), base),
         base,
         ChunkRule(17, None),
@@ -124,3 +129,116 @@ def test_topics_that_ignore_gaps_start_at_the_first_message(spark, tmp_path):
     )
     assert query.awaitTermination(240)
     assert object_names(base) == ["t/3_0_0000000000000000500_0000000000000000502"]
+
+
+def run_stream(spark, paths, rule):
+    """Through the order of the daemon: complete, list, start."""
+    log, base, state = paths
+    query = start_archive(
+        message_stream(spark, log),
+        file_range_reader(spark, log),
+        lambda: current_starts(parts_for(spark), base),
+        base,
+        rule,
+        state,
+        trigger={"availableNow": True},
+    )
+    query.awaitTermination(240)
+
+
+@pytest.mark.parametrize("batch, survivors", [(1, 0), (1, 1), (2, 1), (2, 2)])
+def test_a_crash_while_publishing_changes_nothing(spark, tmp_path, monkeypatch, batch, survivors):
+    rows, rule = sample_log(30), ChunkRule(60, None)
+    halves = [[r for r in rows if r[3] <= 300], [r for r in rows if r[3] > 300]]
+    paths = [str(tmp_path / d) for d in ("log", "base", "state")]
+    quiet = [str(tmp_path / d) for d in ("log", "quiet", "quiet-state")]
+    real, done = Folder.rename, []
+
+    def failing(folder, source, target):
+        if len(done) >= survivors:
+            raise OSError("lost")
+        done.append(target)
+        return real(folder, source, target)
+
+    for no, part in enumerate(halves, 1):
+        messages_of(spark, part).coalesce(1).write.mode("append").parquet(paths[0])
+        run_stream(spark, quiet, rule)
+        if no == batch:
+            monkeypatch.setattr(Folder, "rename", failing)
+            with pytest.raises(Exception, match="lost"):
+                run_stream(spark, paths, rule)
+            monkeypatch.setattr(Folder, "rename", real)
+            done.sort()
+            # No hole in any partition: what is there chains up.
+            assert chunk_gaps(read_catalog(spark, paths[1], ["a.b_c", "_hidden"])).count() == 0
+        run_stream(spark, paths, rule)
+    assert object_names(paths[1]) == object_names(quiet[1]) != []
+    assert everything(spark, paths[1]) == everything(spark, quiet[1])
+
+
+def test_files_that_come_after_the_start_are_archived(spark, tmp_path):
+    log, base, state = (str(tmp_path / d) for d in ("log", "base", "state"))
+    rows, rule = sample_log(30), ChunkRule(60, None)
+    messages_of(spark, rows[:0]).coalesce(1).write.parquet(log)
+    query = start_archive(
+        message_stream(spark, log),
+        file_range_reader(spark, log),
+        current_starts(parts_for(spark), base),
+        base,
+        rule,
+        state,
+        trigger={"processingTime": "500 milliseconds"},
+    )
+    planned = closed_chunks(plan_chunks(messages_of(spark, rows), rule)).count()
+    try:
+        for half in ([r for r in rows if r[3] <= 300], [r for r in rows if r[3] > 300]):
+            messages_of(spark, half).coalesce(1).write.mode("append").parquet(log)
+            query.processAllAvailable()
+        assert wait_for(lambda: query.exception() or len(object_names(base)) == planned)
+        assert query.exception() is None
+    finally:
+        query.stop()
+    with pytest.raises(TypeError):
+        start_archive(message_stream(spark, log), messages_of(spark, rows), None, base, rule, state)
+
+
+def test_frames_of_a_group_are_put_in_order():
+    def frame(offsets):
+        return pd.DataFrame({"topic": "t", "start_offset": 3, "offset": offsets, "size": offsets})
+
+    start, offsets, sizes = in_order([frame([9, 7]), frame([]), frame([4, 5])])
+    assert start == 3 and offsets.tolist() == sizes.tolist() == [4, 5, 7, 9]
+    assert offsets.dtype == sizes.dtype == np.int64
+
+
+class FakeQuery:
+    def __init__(self, failure, active=False):
+        self.failure, self.isActive = failure, active
+
+    def exception(self):
+        return self.failure
+
+
+def test_only_the_failed_query_is_started_again():
+    begun = []
+
+    def starter(name, *queries):
+        rest = list(queries)
+
+        def start():
+            begun.append(name)
+            return rest.pop(0)
+
+        return start
+
+    broken, well = FakeQuery(OSError("x")), FakeQuery(None, active=True)
+    s = Supervisor(
+        {"a": starter("a", broken, broken, FakeQuery(None)), "b": starter("b", well)}, most=2
+    )
+    assert s.look() and s.look() and s.look()
+    assert s.restarts == {"a": 2, "b": 0} and begun == ["a", "b", "a", "a"]
+    assert list(s.running) == ["b"]
+    well.isActive = False
+    assert not s.look()
+    with pytest.raises(OSError):
+        Supervisor({"a": starter("a", broken)}, most=0).look()
