@@ -35,7 +35,7 @@ REPLACEMENT = "�".encode()
 # Piece types of the model format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 # Stretches remembered by each of the two generations of a task's memory.
-REMEMBERED = 80_000
+REMEMBERED = 70_000
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -278,8 +278,9 @@ class Codec:
         return [s for s in symbols if s is not None]
 
     def _learn(self, stretch: str) -> tuple:
-        """ids as text, normalised and plain byte lengths of the pieces, decoded text."""
-        ids, wide, plain = [], [], []
+        """ids as text, original byte lengths of the pieces if spaces stand for spaces,
+        and the decoded text where it is not the stretch itself."""
+        ids, plain = [], []
         for symbol in self._merge(stretch):
             size = len(symbol.encode())
             spaces = 2 * symbol.count(SPACE)
@@ -287,13 +288,21 @@ class Codec:
             if known is None:
                 # The bytes of an unknown character; all but the last cover nothing.
                 ids.extend(self.byte_id[b] for b in symbol.encode())
-                wide.extend([0] * (size - 1))
                 plain.extend([0] * (size - 1))
             else:
                 ids.append(known)
-            wide.append(size)
             plain.append(size - spaces)
-        return ",".join(map(str, ids)), bytes(wide), bytes(plain), self._surface(ids)
+        text = self._surface(ids)
+        text = None if text == stretch.replace(SPACE, " ") else text
+        return ",".join(map(str, ids)), bytes(plain), text
+
+    def _wide(self, stretch: str) -> bytes:
+        """Normalised byte lengths of the pieces, spaces being three bytes."""
+        lengths = []
+        for symbol in self._merge(stretch):
+            size = len(symbol.encode())
+            lengths += [size] if symbol in self.id else [0] * (size - 1) + [size]
+        return bytes(lengths)
 
     def _surface(self, ids: list[int]) -> str:
         """Text of pieces, without treating the first one specially."""
@@ -336,9 +345,13 @@ class Codec:
         and the text that decoding the ids gives."""
         normalised, source = self.normalise(text)
         get, known = self.young.get, self._known
-        rows = [get(s) or known(s) for s in self.stretch.findall(normalised)]
+        stretches = self.stretch.findall(normalised)
+        rows = [get(s) or known(s) for s in stretches]
         ids = ",".join([r[0] for r in rows])
-        lengths = b"".join([r[1 if source is not None else 2] for r in rows])
+        if source is None:
+            lengths = b"".join([r[1] for r in rows])
+        else:
+            lengths = b"".join(map(self._wide, stretches))
         ends = np.cumsum(np.frombuffer(lengths, dtype=np.uint8), dtype=np.int64)
         if source is not None:
             begins = source[np.concatenate(([0], ends[:-1]))] if len(ends) else ends
@@ -347,7 +360,14 @@ class Codec:
             # The model's own leading space covers no original byte.
             ends = np.maximum(ends - self.dummy_prefix, 0)
             begins = np.concatenate(([0], ends[:-1])) if len(ends) else ends
-        return ids, begins, ends, self._without_prefix("".join([r[3] for r in rows]))
+        if all([r[2] is None for r in rows]):
+            decoded = normalised.replace(SPACE, " ")
+        else:
+            decoded = "".join(
+                [s.replace(SPACE, " ") if r[2] is None else r[2]
+                 for s, r in zip(stretches, rows, strict=True)]
+            )
+        return ids, begins, ends, self._without_prefix(decoded)
 
 
 def _replaced(run: bytes) -> str:

@@ -15,7 +15,24 @@ from logstow.shared_dir import shared_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows of an Arrow batch of documents.
+BATCH_ROWS = 512
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Set the session's Arrow batches to a size fit for rows that hold texts.
+
+    The default of 10,000 rows makes batches of tens of megabytes, which the
+    executor and its Python workers hold several times outside the heap.
+    """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(setting))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(setting, str(BATCH_ROWS))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
