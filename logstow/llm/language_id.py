@@ -51,7 +51,14 @@ class Languages:
 
 
 def letters_only(text: str) -> bytes:
-    return " ".join(LETTERS.findall(text.lower())).encode("utf-8", "surrogatepass")
+    """Runs of letters, lower-cased, with one space between; empty without a letter.
+
+    The pattern also takes signs such as superscript digits, which are no letters.
+    """
+    runs = LETTERS.findall(text.lower())
+    if not any(c.isalpha() for run in runs for c in run):
+        return b""
+    return " ".join(runs).encode("utf-8", "surrogatepass")
 
 
 def learn_languages(labelled: DataFrame, training: Training = Training()) -> Languages:

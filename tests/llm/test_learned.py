@@ -8,7 +8,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from logstow.llm.language_id import Training, identify, language_id, learn_languages
+from logstow.llm.language_id import (
+    Training, identify, language_id, learn_languages, letters_only,
+)
 from logstow.llm.queries import LLM_QUERIES
 from logstow.llm.quality_classifier import (
     FEATURES, Boosting, Forest, grow, quality_classifier, statistics,
@@ -46,6 +48,10 @@ def test_language_of_awkward_rows(awkward, nothing):
     assert {r.lang_pred for r in language_id(unlabelled).collect()} == {"und"}
 
 
+def test_signs_are_no_letters():
+    assert letters_only("12² ⅷ _ -") == b"" and letters_only("5² Äb1c") == "² äb c".encode()
+
+
 def test_identify_keeps_columns_and_too_many_labels_fail(awkward, small):
     languages = learn_languages(small)
     assert identify(awkward, languages).columns[: len(awkward.columns)] == awkward.columns
