@@ -86,6 +86,7 @@ def run_archive(
     check: bool = True,
     log: Messages | None = None,
     land_sizes: bool = False,
+    in_tasks: bool = False,
 ) -> ArchiveRun:
     """Archive all chunks that have closed.
 
@@ -93,14 +94,17 @@ def run_archive(
     log: how to read payloads when chunks are written, if not from `messages`.
     land_sizes: write the messages' sizes to a table first and plan from it;
         for sources that cannot read single columns, such as Kafka.
+    in_tasks: rename objects in Spark tasks, as `write_chunks` has it.
     """
     spark = messages.sparkSession
-    recover(spark, base, owner)
+    recover(spark, base, owner, in_tasks=in_tasks)
     starts = current_starts(partitions, base, check)
     unread = unread_messages(messages, starts)
     path = shared_dir(spark, "run")
     if land_sizes:
         unread = written(message_sizes(unread, rule), f"{path}/sizes")
     chunks = written(plan_chunks(unread, rule, slicing), f"{path}/chunks")
-    published = write_chunks(log or messages, closed_chunks(chunks), base, owner, chunks_per_job)
+    published = write_chunks(
+        log or messages, closed_chunks(chunks), base, owner, chunks_per_job, in_tasks=in_tasks
+    )
     return ArchiveRun(starts, chunks, published)

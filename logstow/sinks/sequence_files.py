@@ -8,12 +8,15 @@ rename, so a run that dies in between is completed by `recover`.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from itertools import groupby, islice
 from operator import and_
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -153,50 +156,100 @@ def _write_window(messages: DataFrame, chunks: list[tuple], path: str) -> None:
     )
 
 
-def _publish_window(spark: SparkSession, archive: Folder, window: str, threads: int) -> int:
+def _publish_window(
+    spark: SparkSession, archive: Folder, window: str, threads: int, in_tasks: bool = False
+) -> int:
     """Rename a finished window's files to their object names.
 
-    One thread takes a topic partition at a time, in ascending offset order, and
-    stops at its first failure: whatever happens, the archive of a partition has no
-    hole. An object that is already there was published by an earlier attempt.
+    A topic partition is renamed in ascending offset order by one thread, or one
+    task, which stops at its first failure: whatever happens, the archive of a
+    partition has no hole. An object that is already there was published by an
+    earlier attempt.
     """
     named = (
         spark.read.parquet(f"{archive.path}/{window}/names")
         .withColumn("target", object_path())
-        .orderBy("chunk_no")
         .select("chunk_no", *PARTITION_KEY, "start_offset", "target")
-        .collect()
     )
-    for topic in sorted({r.topic for r in named}):
-        archive.make(topic)
-    staged = set(Folder(spark, f"{archive.path}/{window}/data").names())
+    for row in named.select("topic").distinct().collect():
+        archive.make(row.topic)
+    if in_tasks:
+        n = _rename_in_tasks(named, archive.path, window)
+    else:
+        n = _rename_here(spark, named, archive, window, threads)
+    archive.delete(window)
+    return n
 
-    def move(row) -> None:
-        part = f"part-r-{row.chunk_no:05d}"
-        if archive.exists(row.target):
-            return
-        if part not in staged:
-            raise FileNotFoundError(f"{window}/data/{part} for {row.target}")
-        if not archive.rename(f"{window}/data/{part}", row.target):
-            raise OSError(f"cannot publish {row.target}")
 
-    def move_partition(rows: list) -> None:
-        for row in rows:
-            move(row)
+def _part_file(chunk_no: int) -> str:
+    return f"part-r-{chunk_no:05d}"
+
+
+def _rename_here(
+    spark: SparkSession, named: DataFrame, archive: Folder, window: str, threads: int
+) -> int:
+    rows = named.collect()
+    staged = set(Folder(spark, f"{archive.path}/{window}/data").names())
+
+    def move_partition(group: list) -> None:
+        for row in group:
+            part = _part_file(row.chunk_no)
+            if archive.exists(row.target):
+                continue
+            if part not in staged:
+                raise FileNotFoundError(f"{window}/data/{part} for {row.target}")
+            if not archive.rename(f"{window}/data/{part}", row.target):
+                raise OSError(f"cannot publish {row.target}")
 
     def partition(row) -> tuple:
         return (row.topic, row.broker_id, row.partition_id)
 
-    ordered = sorted(named, key=lambda r: (partition(r), r.start_offset))
-    groups = [list(rows) for _, rows in groupby(ordered, key=partition)]
+    ordered = sorted(rows, key=lambda r: (partition(r), r.start_offset))
+    groups = [list(own) for _, own in groupby(ordered, key=partition)]
     with ThreadPoolExecutor(threads) as pool:
         for _ in pool.map(move_partition, groups):
             pass
-    archive.delete(window)
-    return len(named)
+    return len(rows)
 
 
-def recover(spark: SparkSession, base: str, owner: str, threads: int = 32) -> int:
+def _rename_in_tasks(named: DataFrame, base: str, window: str) -> int:
+    """The same in Spark tasks, for stores where a rename copies the object.
+
+    Tasks reach the store through pyarrow, so its file systems must know the base.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = filesystem_of(base)
+        for batch in batches:
+            for chunk_no, target in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                source = f"{root}/{window}/data/{_part_file(chunk_no)}"
+                there, staged = store.get_file_info([f"{root}/{target}", source])
+                if there.type == fs.FileType.NotFound:
+                    if staged.type == fs.FileType.NotFound:
+                        raise FileNotFoundError(f"{source} for {target}")
+                    store.move(source, f"{root}/{target}")
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    moved = (
+        named.repartition(*PARTITION_KEY)
+        .sortWithinPartitions(*PARTITION_KEY, "start_offset")
+        .select("chunk_no", "target")
+        .mapInArrow(run, "n long")
+    )
+    return moved.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def filesystem_of(base: str) -> tuple[fs.FileSystem, str]:
+    """The store of a base folder, and the folder's path in it."""
+    if "://" not in base and not base.startswith("file:"):
+        return fs.LocalFileSystem(), base.rstrip("/")
+    store, root = fs.FileSystem.from_uri(re.sub("^s3a:", "s3:", base))
+    return store, root.rstrip("/")
+
+
+def recover(
+    spark: SparkSession, base: str, owner: str, threads: int = 32, in_tasks: bool = False
+) -> int:
     """Finish what an interrupted run of the same owner left in staging.
 
     Windows that were completely written are published; others are dropped,
@@ -208,7 +261,7 @@ def recover(spark: SparkSession, base: str, owner: str, threads: int = 32) -> in
     for name in Folder(spark, f"{archive.path}/{staging}").names():
         window = f"{staging}/{name}"
         if archive.exists(f"{window}/data/_SUCCESS"):
-            published += _publish_window(spark, archive, window, threads)
+            published += _publish_window(spark, archive, window, threads, in_tasks)
         else:
             archive.delete(window)
     return published
@@ -255,6 +308,7 @@ def write_chunks(
     chunks_per_job: int = CHUNKS_PER_JOB,
     threads: int = 32,
     scans: int = 2,
+    in_tasks: bool = False,
 ) -> int:
     """Archive the given chunks; returns how many objects were published.
 
@@ -266,6 +320,8 @@ def write_chunks(
         same archive must differ in it.
     scans: with more windows than this, a log without a range reader is first
         split by window, instead of being scanned once for each.
+    in_tasks: rename in Spark tasks, for object stores, where a rename is a copy; else
+        the driver does, which is right where a rename only touches metadata.
     """
     spark = chunks.sparkSession
     archive = Folder(spark, base)
@@ -294,7 +350,9 @@ def write_chunks(
             # One window is renamed while the next one is being written.
             if publishing is not None:
                 published += publishing.result()
-            publishing = publisher.submit(_publish_window, spark, archive, stage, threads)
+            publishing = publisher.submit(
+                _publish_window, spark, archive, stage, threads, in_tasks
+            )
         if publishing is not None:
             published += publishing.result()
     return published

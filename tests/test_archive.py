@@ -386,3 +386,32 @@ def test_no_folder_of_one_machine_on_a_cluster(spark, tmp_path):
             shared_dir(Session, "x")
     Session.conf.value = str(tmp_path)
     assert shared_dir(Session, "x").startswith(str(tmp_path))
+
+
+def test_renames_in_tasks(spark, tmp_path):
+    rows, rule = sample_log(), ChunkRule(40, None)
+    base, whole = str(tmp_path / "base"), str(tmp_path / "whole")
+    first = [r for r in rows if r[3] <= 600]
+    run_archive(messages_of(spark, first), parts_for(spark), f"file://{base}", rule, in_tasks=True)
+    run = run_archive(messages_of(spark, rows), parts_for(spark), base, rule, in_tasks=True)
+    assert run.published > 0
+    run_archive(messages_of(spark, rows), parts_for(spark), whole, rule)
+    assert object_names(base) == object_names(whole)
+    assert everything(spark, base) == everything(spark, whole)
+
+
+def test_renames_in_tasks_stop_at_a_hole(spark, tmp_path):
+    rows = sample_log()
+    chunks = closed_chunks(plan_chunks(messages_of(spark, rows), ChunkRule(40, None)))
+    archive, window = Folder(spark, str(tmp_path)), "~staging/default/w00000000"
+    some = [tuple(c)[:5] for c in chunks.filter("topic = '_hidden'").orderBy("start_offset").collect()]
+    spark.createDataFrame(
+        [(*c, i) for i, c in enumerate(some)],
+        "topic string, broker_id int, partition_id int, start_offset long, end_offset long, chunk_no int",
+    ).write.parquet(f"{tmp_path}/{window}/names")
+    for i in range(len(some)):
+        if i != 2:
+            archive.make(f"{window}/data/part-r-{i:05d}")
+    with pytest.raises(Exception, match="part-r-00002"):
+        sequence_files._publish_window(spark, archive, window, 4, in_tasks=True)
+    assert len(object_names(str(tmp_path))) == 2
