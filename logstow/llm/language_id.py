@@ -4,6 +4,10 @@ Each language is a raw-content zstandard dictionary made of a few labelled
 documents. A text belongs to the language whose dictionary makes it smallest.
 Where that margin is narrow, a finer compressor, which also finds matches of
 three bytes, decides; where it is narrow again, the document is rejected.
+
+A dictionary saves a bounded number of bytes each time it is used. So a text is
+compressed in blocks, each with the dictionary anew, and sizes are summed over all
+of them: the margin is a share of the text that does not depend on its length.
 """
 
 from __future__ import annotations
@@ -22,6 +26,8 @@ from logstow.llm.tables import id_remainder, least_of_each, slices
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
+#: Bytes of letters that are compressed with the dictionary at a time.
+BLOCK = 16 * 1024
 
 
 @dataclass(frozen=True)
@@ -118,7 +124,8 @@ class Classifier:
             self.fine.append(zstandard.ZstdCompressor(dict_data=d, compression_params=fine))
 
     def _smallest(self, compressors: list, text: bytes) -> tuple[int, int, int]:
-        sizes = [len(c.compress(text)) for c in compressors]
+        blocks = [text[at : at + BLOCK] for at in range(0, len(text), BLOCK)]
+        sizes = [sum(len(c.compress(b)) for b in blocks) for c in compressors]
         best = min(range(len(sizes)), key=sizes.__getitem__)
         rest = [s for i, s in enumerate(sizes) if i != best]
         return best, sizes[best], min(rest, default=len(text) + 1 + sizes[best])

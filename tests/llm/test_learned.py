@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logstow.llm.language_id import (
-    Training, identify, language_id, learn_languages, letters_only,
+    Classifier, Training, identify, language_id, learn_languages, letters_only,
 )
 from logstow.llm.queries import LLM_QUERIES
 from logstow.llm.quality_classifier import (
@@ -48,6 +48,26 @@ def test_language_of_awkward_rows(awkward, nothing):
     assert {r.lang_pred for r in language_id(unlabelled).collect()} == {"und"}
 
 
+def test_clean_texts_of_any_length_are_not_rejected(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    classifier = Classifier(learn_languages(docs.filter(id_remainder(3) != 1)), 0.002)
+    rows = docs.filter(id_remainder(3) == 1).filter("length(text) > 1000").orderBy("doc_id")
+    prose = {}
+    for r in rows.select("lang", "text").collect():
+        prose.setdefault(r.lang, []).append(r.text)
+    assert len(prose) == 4
+    for lang, texts in prose.items():
+        words = " ".join(texts).split()
+        rng = np.random.default_rng(3)
+        for size in (1_000_000, 5_000_000, 20_000_000):
+            # Lines of 60 words that stand together somewhere, none in its place.
+            starts = rng.integers(0, len(words) - 60, size // 200)
+            text = "\n".join(" ".join(words[a : a + 60]) for a in starts)[:size]
+            assert len(text) == size
+            label, score, rejected = classifier.classify(text)
+            assert (label, rejected) == (lang, False) and score > 0.99
+
+
 def test_signs_are_no_letters():
     assert letters_only("12² ⅷ _ -") == b"" and letters_only("5² Äb1c") == "² äb c".encode()
 
