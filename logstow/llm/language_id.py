@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructType
 
@@ -35,7 +35,10 @@ class Training:
     """Bounds of the labelled sample, which is all that is learned from.
 
     texts: documents taken per language, least hash of the id first.
-    shortest, longest: characters of a text that may be taken (whole).
+    shortest, longest: characters of a text that is taken first, and whole.
+    others: a language with fewer such texts, and a dictionary that is not full,
+        also learns from so many of its other texts that hold a letter, as far as
+        the dictionary goes: shorter ones whole, of longer ones the beginning.
     dictionary: bytes kept per language.
     languages: more labels than this are an error, since all dictionaries are
         sent to every task.
@@ -44,6 +47,7 @@ class Training:
     texts: int = 40
     shortest: int = 200
     longest: int = 4000
+    others: int = 1000
     dictionary: int = 32 * 1024
     languages: int = 256
 
@@ -90,12 +94,48 @@ def learn_languages(labelled: DataFrame, training: Training = Training()) -> Lan
         .agg(F.min("text").alias("text"))
         .collect()
     )
-    dictionaries = []
+    joined: dict[str, bytes] = {}
+    open_ones = []
     for name in names:
         texts = sorted((r["rank"], r["text"]) for r in rows if r["lang"] == name)
-        joined = b" ".join(letters_only(t) for _, t in texts)
-        dictionaries.append(joined[: training.dictionary])
-    return Languages(tuple(names), tuple(dictionaries))
+        joined[name] = b" ".join(letters_only(t) for _, t in texts)
+        if len(texts) < training.texts and len(joined[name]) < training.dictionary:
+            open_ones.append(name)
+    if open_ones:
+        rest = known.filter(F.col("lang").isin(open_ones) & ~fit)
+        more = sorted((r["rank"], r["lang"], r["text"]) for r in _others(rest, training))
+        for _, name, text in more:
+            joined[name] += (b" " if joined[name] else b"") + letters_only(text)
+    return Languages(tuple(names), tuple(joined[n][: training.dictionary] for n in names))
+
+
+def _others(known: DataFrame, training: Training) -> list[Row]:
+    """Texts (lang, rank, text) that fill a dictionary, each language's about twice.
+
+    A long text gives an even part of the dictionary, at least `longest` characters.
+    """
+    size = F.least(F.length("text"), F.lit(training.longest))
+    ids = (
+        known.filter(F.col("text").rlike(r"\p{L}"))
+        .groupBy("lang", "doc_id")
+        .agg(F.min(size).alias("size"))
+        .withColumn("order", F.xxhash64("doc_id"))
+    )
+    so_far = Window.partitionBy("lang").orderBy("rank")
+    chosen = (
+        least_of_each(ids, "lang", ["order", "doc_id"], training.others, salts=8)
+        .withColumn("before", F.sum("size").over(so_far) - F.col("size"))
+        .filter(F.col("before") < 2 * training.dictionary)
+        .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("lang")))
+    )
+    part = F.greatest(F.lit(training.longest), (F.lit(training.dictionary) / F.col("n")).cast("int"))
+    return (
+        known.filter(F.col("text").rlike(r"\p{L}"))
+        .join(F.broadcast(chosen), ["lang", "doc_id"])
+        .groupBy("lang", "doc_id", "rank")
+        .agg(F.min(F.substring(F.col("text"), F.lit(1), part)).alias("text"))
+        .collect()
+    )
 
 
 class Classifier:

@@ -68,6 +68,30 @@ def test_clean_texts_of_any_length_are_not_rejected(spark):
             assert (label, rejected) == (lang, False) and score > 0.99
 
 
+def test_languages_of_only_short_or_only_long_texts_are_learned(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").filter("length(text) > 1000")
+    rows = docs.orderBy("doc_id").select("lang", "text").collect()
+    prose = {}
+    for r in rows:
+        prose[r.lang] = f"{prose.get(r.lang, '')} {r.text}"
+    made, held = [], []
+    for lang, text in sorted(prose.items()):
+        size = {"de": 120, "fr": 20_000}.get(lang, 1000)
+        assert len(text) > 7 * size
+        text = text[:200_000]
+        for k, at in enumerate(range(0, len(text) - size, size)):
+            (held if k % 4 == 3 else made).append((lang, text[at : at + size]))
+    table = [(i, t, lang) for i, (lang, t) in enumerate(made)]
+    df = spark.createDataFrame(table, "doc_id long, text string, lang string")
+    languages = learn_languages(df)
+    assert all(len(d) > 30_000 for d in languages.dictionaries)
+    classifier = Classifier(languages, 0.002)
+    found = [(lang, *classifier.classify(t)) for lang, t in held]
+    for name in ("de", "fr"):
+        own = [f for f in found if f[0] == name]
+        assert sum(f[1] == name and not f[3] for f in own) > 0.97 * len(own)
+
+
 def test_signs_are_no_letters():
     assert letters_only("12² ⅷ _ -") == b"" and letters_only("5² Äb1c") == "² äb c".encode()
 
