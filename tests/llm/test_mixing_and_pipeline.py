@@ -7,7 +7,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from logstow.llm.mixing import Mix, draw, mixing, rake, sample
+from logstow.llm.mixing import Mix, distances, draw, mixing, rake, sample
 from logstow.llm.queries import LLM_QUERIES
 
 from .test_pii import PLAIN, holds
@@ -67,6 +67,23 @@ def test_share_is_met_with_probabilities_of_one(small):
     assert max(r.probability for r in rows) == 1
 
 
+def test_a_tiny_cell_does_not_decide_the_size_of_the_sample(spark):
+    names = "source string, lang string, topic int, tokens long"
+    big = [(s, l, t, 1000 * (3 + i + 2 * j + t)) for i, s in enumerate("abc") for j, l in enumerate("xy") for t in (0, 1)]
+    whole = sum(c[3] for c in big) + 10
+    for lang in ("x", "own"):
+        df = spark.createDataFrame([*big, ("own", lang, 0, 10)], names)
+        rows = distances(df, Mix()).collect()
+        for m in ("source", "lang", "topic"):
+            drawn = sum(r.expected for r in rows if r.marginal == m)
+            assert drawn == pytest.approx(0.5 * whole, rel=1e-3)
+        for r in rows:
+            if r.value == "own":
+                assert r.expected == pytest.approx(10, rel=2e-3) and r.target > 10 and r.off < 0
+            else:
+                assert abs(r.off) < 5e-3
+
+
 def test_awkward_rows(awkward, nothing):
     out = draw(awkward)
     assert out.columns[: len(awkward.columns)] == awkward.columns and out.count() == awkward.count()
