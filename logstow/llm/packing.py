@@ -11,7 +11,8 @@ pieces of every length, and a piece's number tells its place in the patterns.
 
 from __future__ import annotations
 
-import re
+import os
+import struct
 from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
@@ -21,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
+from tokenizers import Tokenizer
 
 from logstow.llm.ranking import ranked
 from logstow.llm.tables import slices, text_of, written
@@ -28,10 +30,15 @@ from logstow.llm.tables import slices, text_of, written
 CAPACITY = 2048
 #: Id that ends a document.
 END = 0
-#: Characters after which a long text is cut for the tokenizer at the next safe place.
-STRETCH = 1 << 16
-#: White space between characters of ASCII is dropped and joins nothing.
-SAFE = re.compile(r"(?<=[A-Za-z0-9.,;:!?])[ \n](?=[A-Za-z0-9])")
+# White space that the tokenizer drops and nothing joins across: it may be fed words.
+_SPACE = np.zeros(256, bool)
+_SPACE[list(b"\t\n\v\f\r ")] = True
+# Nor does it take a letter or digit of ASCII and one of these marks after it together.
+_ALNUM, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_ALNUM[[b for b in range(128) if chr(b).isalnum()]] = True
+_MARK[list(b".,;:!?")] = True
+#: Words that a Python worker remembers the ids of.
+REMEMBERED = 1 << 18
 
 PIECE_FIELDS = [
     StructField("piece", IntegerType()),
@@ -41,43 +48,87 @@ PIECE_FIELDS = [
 ]
 
 
-def stretches(text: str, size: int = STRETCH) -> list[str]:
-    """The text in parts whose ids, one after the other, are those of the whole."""
-    parts, at = [], 0
-    while len(text) - at > size and (cut := SAFE.search(text, at + size)):
-        parts.append(text[at : cut.start()])
-        at = cut.end()
-    parts.append(text[at:])
-    return parts
-
-
-_encoders: dict = {}
-
-
-def _encoder(path: str):
-    """The tokenizer of a file, once per Python worker."""
-    if path not in _encoders:
-        import os
+class WordEncoder:
+    """Ids of texts by those of their words, each different one encoded once."""
 
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        self.tokenizer = Tokenizer.from_file(path)
+        self.known: dict[bytes, bytes] = {}
+
+    def _learn(self, words: list[bytes]) -> None:
+        # Letters of ASCII alone are one word of the model, in lower case.
+        model = self.tokenizer.model
+        plain = [w for w in words if w.isalpha()]
+        for word in plain:
+            ids = [token.id for token in model.tokenize(word.lower().decode())]
+            self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
+        others = [w for w in words if not w.isalpha()]
+        for at in range(0, len(others), 4096):
+            some = [w.decode() for w in others[at : at + 4096]]
+            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ids = np.array(found.ids, "<u4").tobytes()
+            begins = np.cumsum([0, *(len(w) + 1 for w in some)])
+            starts = np.array(found.offsets, np.int64).reshape(-1, 2)[:, 0]
+            bounds = (4 * np.searchsorted(starts, begins)).tolist()
+            self.known.update(
+                (w, ids[a:b])
+                for w, a, b in zip(others[at : at + 4096], bounds[:-1], bounds[1:], strict=True)
+            )
 
-        _encoders[path] = Tokenizer.from_file(path)
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text of a string array without nulls."""
+        texts = texts.cast(pa.large_binary())
+        bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset :][: len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+        bounds = bounds - bounds[0]
+        is_word = ~_SPACE[data]
+        starting = is_word.copy()
+        starting[1:] &= ~is_word[:-1]
+        inside = bounds[:-1][bounds[:-1] < len(data)]
+        starting[inside] |= is_word[inside]
+        starting[1:] |= _MARK[data[1:]] & _ALNUM[data[:-1]]
+        starts = np.flatnonzero(starting)
+        if not len(starts):
+            return [np.zeros(0, "<u4")] * len(texts)
+        letters = data[is_word]
+        ends = np.append((np.cumsum(is_word) - 1)[starts], len(letters))
+        words = pa.Array.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(letters)]
+        ).dictionary_encode()
+        distinct = words.dictionary.to_pylist()
+        new = [w for w in distinct if w not in self.known]
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known, new = {}, distinct
+        self._learn(new)
+        ids = [self.known[w] for w in distinct]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, begins = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
+        which = words.indices.to_numpy()
+        own = sizes[which]
+        upto = np.concatenate(([0], np.cumsum(own)))
+        tokens = flat[np.repeat(begins[which] - upto[:-1], own) + np.arange(upto[-1])]
+        at = upto[np.searchsorted(starts, bounds)]
+        return [tokens[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+_encoders: dict[str, WordEncoder] = {}
+
+
+def word_encoder(path: str) -> WordEncoder:
+    """The encoder of a file, once per Python worker."""
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
     return _encoders[path]
 
 
 def _cut(path: str, capacity: int, others: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
-        for batch in slices(batches, 64):
+        encode, end = word_encoder(path), np.array([END], "<u4")
+        for batch in slices(batches, 512):
             rows, numbers, starts, lengths, ids = [], [], [], [], []
-            for row, text in enumerate(batch.column("_text").to_pylist()):
-                found = []
-                # One stretch at a time: the encoder's own result is many times its ids.
-                for part in stretches(text):
-                    one = encoder.encode_batch_fast([part], add_special_tokens=False)[0]
-                    found.append(np.asarray(one.ids, "<u4"))
-                tokens = np.concatenate([*found, np.array([END], "<u4")])
+            for row, found in enumerate(encode(batch.column("_text"))):
+                tokens = np.concatenate([found, end])
                 for start in range(0, len(tokens), capacity):
                     own = tokens[start : start + capacity]
                     rows.append(row)

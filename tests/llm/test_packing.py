@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -13,8 +14,8 @@ from logstow.llm.packing import (
     best_two_fit_patterns,
     pack,
     sequences,
-    stretches,
     token_pieces,
+    word_encoder,
 )
 from logstow.llm.queries import word_tokenizer
 from logstow.llm.tables import written
@@ -64,20 +65,23 @@ def test_awkward_rows(awkward, nothing, encode):
     assert best_fit_packing(nothing, word_tokenizer()).collect() == []
 
 
-def test_long_texts_are_cut_where_nothing_changes(encode, texts):
+def test_words_have_the_ids_of_the_whole_text(encode, texts, monkeypatch):
     rng = random.Random(3)
     words = [w for t in texts.values() if t for w in t.split()][:20000]
-    long = [
-        " ".join(rng.choices([*words, "naïve", "é", "́x", "'s", "  ", "\n", "7", "Σ"], k=3000)),
+    odd = ["naïve", "é", "\u0301x", "e\u0301", "'s", "7", "Σ", "<|endoftext|>", "\x1f", "\xa0", "\u2003"]
+    made = [
+        "".join(w + rng.choice([" ", "  ", "\n", "\t\v\f\r"]) for w in rng.choices([*words, *odd * 99], k=3000)),
         "漢字、" * 2000,
         "x" * 5000,
-        "a ́b " * 800,
+        "",
+        " \n ",
+        "a \u0301b " * 800,
     ]
-    for text in long:
-        parts = stretches(text, 50)
-        whole = [i for part in parts for i in encode(part)[:-1]]
-        assert whole == encode(text)[:-1]
-    assert len(stretches(long[0], 50)) > 50
+    monkeypatch.setattr("logstow.llm.packing.REMEMBERED", 500)
+    got = word_encoder(word_tokenizer())
+    for texts in (made, made[3:5], made[:1], []):
+        sliced = pa.array(["before", *texts], pa.string())[1:]
+        assert [ids.tolist() for ids in got(sliced)] == [encode(t)[:-1] for t in texts]
 
 
 def test_sequences_hold_their_pieces_ids(small, encode):
