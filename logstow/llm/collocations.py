@@ -1,16 +1,16 @@
 """Phrases that stand out, by dynamic itemset counting.
 
-The corpus is dealt into shards that are scanned one after the other, round and
-round. Words are counted from the first shard on. A longer phrase is counted from
-the shard after the one in which both phrases it is made of, without its last and
-without its first word, have reached the threshold, and for one full cycle: so
-lengths are counted side by side, and every count is of the whole corpus. Counting
+Every word becomes a number of 32 bits once, and the texts of numbers are dealt into
+shards that are scanned one after the other, round and round. Words are counted from
+the first shard on. A longer phrase is counted from the shard after the one in which
+both phrases it is made of, without its last and without its first word, have reached
+the threshold, and for one full cycle: so lengths are counted side by side. Counting
 ends when no phrase that has come up is short of its cycle.
 
-A shard's phrases are counted in tasks, block by block in numpy. What may be counted
-is told by bit arrays of bounded size over the phrases that have reached the
-threshold; where they say yes too often, the join with the phrases themselves
-decides.
+Counters are kept by a hash of the phrase. What may be counted is told to the tasks by
+bit arrays of bounded size over the hashes that have reached the threshold. Hashes
+that meet and bits that say yes too often make counts larger, never smaller, so what
+falls short is rightly left out; a last scan counts the words of what remains exactly.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logstow.hadoop import Folder
@@ -45,8 +45,7 @@ _KIND[list(ENDS)] = PIECE_END
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-STEP = np.uint64(0x9E3779B97F4A7C15)
-
+STEP, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD)
 
 @dataclass(frozen=True)
 class Mining:
@@ -64,26 +63,18 @@ class Mining:
     longest: int = 4
     cover: int = 80
     top: int = 2000
-    shards: int = 4
+    shards: int = 2
     filter_bits: int = 1 << 26
 
 
-def word_hash(lang: str, word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word, seed=xxhash.xxh3_64_intdigest(lang) >> 1)
+def _scattered(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * SPREAD
+    return x ^ (x >> np.uint64(29))
 
 
 def _mixed(first: np.ndarray, then: np.ndarray) -> np.ndarray:
-    """Hashes of phrases from those of all words but the last, and of the last."""
-    x = (first ^ (first >> np.uint64(29))) * STEP + then
-    return x ^ (x >> np.uint64(32))
-
-
-def phrase_hash(lang: str, phrase: str) -> int:
-    words = [np.array([word_hash(lang, w.encode())], np.uint64) for w in phrase.split(" ")]
-    out = words[0]
-    for word in words[1:]:
-        out = _mixed(out, word)
-    return int(out[0])
+    """Hashes of phrases from those of all words but the last, and the last's numbers."""
+    return _scattered(first * STEP + then)
 
 
 def _bits_of(hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -102,12 +93,18 @@ def _holds(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return is_set(first) & is_set(second)
 
 
-class Block:
-    """The words of some texts, as numbers that tell language and word."""
+class Words:
+    """The words of some texts.
+
+    code: their numbers, the same for a word wherever a language has it, with a 0
+        where a piece or a text ends.
+    at: where in code each word is.
+    letters, bounds: the words' bytes, one after the other.
+    """
 
     def __init__(self, texts: list[np.ndarray], langs: list[str]):
         data = _LOWER[np.concatenate(texts)]
-        begins = np.cumsum([0, *(len(t) for t in texts)])[:-1]
+        begins = np.cumsum([0, *(len(t) for t in texts)])
         kind = _KIND[data]
         is_word = kind == WORD_BYTE
         starting = is_word.copy()
@@ -115,75 +112,53 @@ class Block:
         inside = begins[begins < len(data)]
         starting[inside] |= is_word[inside]
         starts = np.flatnonzero(starting)
-        self.n = len(starts)
-        if not self.n:
-            return
-        letters = data[is_word]
-        ends = np.append((np.cumsum(is_word, dtype=np.int32) - 1)[starts], len(letters)).astype(np.int32)
-        spelled = pa.Array.from_buffers(
-            pa.binary(), self.n, [None, pa.py_buffer(ends), pa.py_buffer(letters)]
-        ).dictionary_encode()
+        self.letters = data[is_word]
+        self.bounds = np.append((np.cumsum(is_word, dtype=np.int32) - 1)[starts], len(self.letters))
         doc = np.searchsorted(begins, starts, "right") - 1
-        pieces = np.cumsum(kind == PIECE_END, dtype=np.int32)[starts]
-        #: Whether a word goes on with the piece of the word before it.
-        self.joined = np.zeros(self.n, bool)
-        self.joined[1:] = (pieces[1:] == pieces[:-1]) & (doc[1:] == doc[:-1])
-        names, lang_of_doc = np.unique(np.array(langs, object).astype(str), return_inverse=True)
-        vocabulary = spelled.dictionary
-        both = lang_of_doc[doc] * len(vocabulary) + spelled.indices.to_numpy()
-        distinct, self.token = np.unique(both, return_inverse=True)
-        self.lang = pa.array(names[distinct // len(vocabulary)], pa.string())
-        self.word = vocabulary.take(pa.array(distinct % len(vocabulary)))
-        self.hash = np.array(
-            [
-                word_hash(lang, word)
-                for lang, word in zip(self.lang.to_pylist(), self.word.to_pylist(), strict=True)
-            ],
-            np.uint64,
+        ends = np.cumsum(kind == PIECE_END, dtype=np.int32)[starts] + doc.astype(np.int32)
+        # One 0 wherever something ends between two words, and after each text.
+        breaks = np.diff(ends, prepend=ends[:1]) > 0
+        self.at = np.arange(len(starts)) + np.cumsum(breaks)
+        self.code = np.zeros(len(starts) + int(breaks.sum()) + 1, np.uint32)
+        self.code[self.at] = self._numbers(np.array([_seed(lang) for lang in langs], np.uint64)[doc])
+        #: Where in code each text begins.
+        first = np.searchsorted(doc, np.arange(len(texts)))
+        self.begins = np.append(self.at, len(self.code))[first]
+        self.words = np.bincount(doc, minlength=len(texts))
+        self.doc = doc
+
+    def _numbers(self, seeds: np.ndarray) -> np.ndarray:
+        if not len(seeds):
+            return np.zeros(0, np.uint32)
+        sizes = np.diff(self.bounds)
+        place = np.arange(len(self.letters)) - np.repeat(self.bounds[:-1], sizes)
+        powers = np.cumprod(np.full(int(sizes.max()) + 1, STEP))
+        sums = np.add.reduceat((self.letters.astype(np.uint64) + np.uint64(1)) * powers[place], self.bounds[:-1])
+        return np.maximum(_scattered(sums ^ seeds) >> np.uint64(32), np.uint64(1)).astype(np.uint32)
+
+    def spelled(self) -> pa.Array:
+        return pa.Array.from_buffers(
+            pa.binary(), len(self.at), [None, pa.py_buffer(self.bounds.astype(np.int32)), pa.py_buffer(self.letters)]
         )
 
-    def counted(self, at: np.ndarray, size: int) -> pa.RecordBatch:
-        """The different phrases of this size that begin at these words, with their number."""
-        ids = self.token[at]
-        for k in range(1, size):
-            _, ids = np.unique(ids * len(self.hash) + self.token[at + k], return_inverse=True)
-        _, first, n = np.unique(ids, return_index=True, return_counts=True)
-        begin = at[first]
-        words = [self.word.take(pa.array(self.token[begin + k])) for k in range(size)]
-        phrase = pc.binary_join_element_wise(*words, b" ") if size > 1 else words[0]
-        return pa.RecordBatch.from_arrays(
-            [
-                self.lang.take(pa.array(self.token[begin])),
-                pa.array(np.full(len(begin), size, np.int32)),
-                phrase.cast(pa.string()),
-                pa.array(n.astype(np.int64)),
-            ],
-            names=["lang", "size", "phrase", "n"],
-        )
 
-    def active(self, reached: np.ndarray, recent: np.ndarray, longest: int):
-        """(size, words at which phrases begin that may be counted now), by size.
-
-        reached, recent: bits of the phrases that have reached the threshold, and of
-            those that did so within a cycle. A phrase is counted if both of its parts
-            are among the former and one among the latter.
-        """
-        at, hashes = np.arange(self.n), self.hash[self.token]
-        had, new = _holds(reached, self.hash)[self.token], _holds(recent, self.hash)[self.token]
-        for size in range(2, longest + 1):
-            # Phrases of one word less that have the next word after them, and begin
-            # where those one word on are known, too.
-            following = np.searchsorted(at, at + 1)
-            there = np.minimum(following, max(len(at) - 1, 0))
-            goes_on = (at[there] == at + 1) if len(at) else np.zeros(0, bool)
-            last = np.minimum(at + size - 1, self.n - 1)
-            whole = goes_on & (at + size - 1 < self.n) & self.joined[last]
-            whole &= had & had[there]
-            counted = whole & (new | new[there])
-            yield size, at[counted]
-            hashes = _mixed(hashes[whole], self.hash[self.token[at[whole] + size - 1]])
-            at = at[whole]
-            had, new = _holds(reached, hashes), _holds(recent, hashes)
+def _seed(lang: str) -> int:
+    return xxhash.xxh3_64_intdigest(lang)
+
+
+def phrases(code: np.ndarray, longest: int, extends):
+    """(size, where phrases begin, their hashes), by size, of all phrases whose parts
+    `extends(hashes)` holds for."""
+    at = np.flatnonzero(code)
+    hashes = _scattered(code[at].astype(np.uint64) * STEP)
+    yield 1, at, hashes
+    for size in range(2, longest + 1):
+        good = extends(hashes)
+        # The part without the first word is the one that begins a word further on.
+        whole = np.flatnonzero((at[1:] == at[:-1] + 1) & good[1:] & good[:-1])
+        at = at[whole]
+        hashes = _mixed(hashes[whole], code[at + size - 1].astype(np.uint64))
+        yield size, at, hashes
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray], list[str]]]:
@@ -213,33 +188,123 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray]
     pa.default_memory_pool().release_unused()
 
 
-COUNTED = "lang string, size int, phrase string, n long"
+def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (lang, words, code): the number of words and their numbers, by text."""
+    for texts, langs in _texts(batches):
+        found = Words(texts, langs)
+        ends = np.append(found.begins[1:], len(found.code))
+        for some in range(0, len(texts), 256):
+            own = slice(some, some + 256)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(langs[own], pa.string()),
+                    pa.array(found.words[own].astype(np.int64)),
+                    pa.array(
+                        [found.code[a:b].tobytes() for a, b in zip(found.begins[own], ends[own], strict=True)],
+                        pa.binary(),
+                    ),
+                ],
+                names=["lang", "words", "code"],
+            )
+
+
+#: Words whose phrases are counted together before they are shuffled.
+BLOCK_WORDS = 1 << 21
+
+
+def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    held, n = [], 0
+    for batch in batches:
+        for value in batch.column("code"):
+            held.append(np.frombuffer(value.as_buffer(), np.uint32))
+            n += len(held[-1])
+            if n >= BLOCK_WORDS:
+                yield np.concatenate(held)
+                held, n = [], 0
+    if n:
+        yield np.concatenate(held)
 
 
 def _count_shard(words: bool, filters, longest: int):
+    def counted(size: int, hashes: np.ndarray) -> pa.RecordBatch:
+        distinct, n = np.unique(hashes, return_counts=True)
+        sizes = np.full(len(distinct), size, np.int32)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(distinct.view(np.int64)), pa.array(sizes), pa.array(n.astype(np.int64))],
+            names=["hash", "size", "n"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for texts, langs in _texts(batches):
-            block = Block(texts, langs)
-            if not block.n:
-                continue
-            if words:
-                yield block.counted(np.arange(block.n), 1)
+        for code in _codes(batches):
             if filters is None:
+                hashes = next(phrases(code, 1, None))[2]
+                if len(hashes):
+                    yield counted(1, hashes)
                 continue
-            for size, at in block.active(*filters.value, longest):
-                if len(at):
-                    yield block.counted(at, size)
+            reached, recent = filters.value
+            before = None
+            for size, at, hashes in phrases(code, longest, lambda h: _holds(reached, h)):
+                if size == 1:
+                    chosen = hashes if words else hashes[:0]
+                else:
+                    # Counted from when the later of both parts has come up, for a cycle.
+                    new = _holds(recent, before[1])
+                    first = np.searchsorted(before[0], at)
+                    chosen = hashes[new[first] | new[np.minimum(first + 1, len(new) - 1)]]
+                before = (at, hashes)
+                if len(chosen):
+                    yield counted(size, chosen)
+
+    return run
+
+
+def _spell(filters, longest: int):
+    """Rows (lang, size, phrase, n) of the phrases whose hashes are among the bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (bits, _) = filters.value
+        for texts, langs in _texts(batches):
+            found = Words(texts, langs)
+            spelled, lang = found.spelled(), pa.array(langs, pa.string())
+            # From a place in code to the number of the word there.
+            number = np.zeros(len(found.code), np.int64)
+            number[found.at] = np.arange(len(found.at))
+            for size, at, hashes in phrases(found.code, longest, lambda h: _holds(bits, h)):
+                # Words are told apart by language and bytes, not by their numbers.
+                mine = number[at[_holds(bits, hashes)]]
+                if not len(mine):
+                    break
+                if size == 1:
+                    words = spelled.dictionary_encode()
+                    names, of_lang = np.unique(np.array(langs, str), return_inverse=True)
+                    token = of_lang[found.doc] * len(words.dictionary) + words.indices.to_numpy()
+                    _, token = np.unique(token, return_inverse=True)
+                ids = token[mine]
+                for k in range(1, size):
+                    _, ids = np.unique(ids * (len(token) + 1) + token[mine + k], return_inverse=True)
+                _, first, n = np.unique(ids, return_index=True, return_counts=True)
+                begin = mine[first]
+                parts = [spelled.take(pa.array(begin + k)) for k in range(size)]
+                phrase = pc.binary_join_element_wise(*parts, b" ") if size > 1 else parts[0]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        lang.take(pa.array(found.doc[begin])),
+                        pa.array(np.full(len(begin), size, np.int32)),
+                        phrase.cast(pa.string()),
+                        pa.array(n.astype(np.int64)),
+                    ],
+                    names=["lang", "size", "phrase", "n"],
+                )
 
     return run
 
 
 def _set_bits(n: int, since: int):
-    """Rows (recent, slot, bits) that set the bits of some phrases."""
+    """Rows (recent, slot, bits) that set the bits of some hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("lang", "phrase")), strict=True)
-            hashes = np.array([phrase_hash(*row) for row in rows], np.uint64)
+            hashes = batch.column("hash").to_numpy().view(np.uint64)
             new = batch.column("reach").to_numpy() >= since
             for recent, chosen in ((False, hashes), (True, hashes[new])):
                 at = np.concatenate(_bits_of(chosen, n))
@@ -252,11 +317,12 @@ def _set_bits(n: int, since: int):
     return run
 
 
-def _filters(spark: SparkSession, reached: DataFrame, count: int, since: int, most: int):
+def _filters(reached: DataFrame, count: int, since: int, most: int):
     """Both bit arrays, for the tasks: 16 bits a phrase, but a bounded number of all."""
     n = min(most, max(1 << 10, 1 << (16 * count - 1).bit_length()))
     rows = (
-        reached.mapInArrow(_set_bits(n, since), "recent boolean, slot long, bits long")
+        reached.select("hash", "reach")
+        .mapInArrow(_set_bits(n, since), "recent boolean, slot long, bits long")
         .groupBy("recent", "slot")
         .agg(F.bit_or("bits").alias("bits"))
     )
@@ -265,15 +331,10 @@ def _filters(spark: SparkSession, reached: DataFrame, count: int, since: int, mo
         recent, slot, bits = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
         for which, array in arrays.items():
             array[slot[recent == which]] = bits[recent == which].view(np.uint64)
-    return spark.sparkContext.broadcast((arrays[False], arrays[True]))
+    return reached.sparkSession.sparkContext.broadcast((arrays[False], arrays[True]))
 
 
-def _without_last(phrase: str, size: str) -> F.Column:
-    return F.expr(f"substring_index({phrase}, ' ', {size} - 1)")
-
-
-def _without_first(phrase: str, size: str) -> F.Column:
-    return F.expr(f"substring_index({phrase}, ' ', 1 - {size})")
+STATE = "hash long, size int, n long, seen int, reach int"
 
 
 def count_phrases(docs: DataFrame, rule: Mining = Mining()) -> tuple[DataFrame, DataFrame]:
@@ -282,57 +343,43 @@ def count_phrases(docs: DataFrame, rule: Mining = Mining()) -> tuple[DataFrame,
     spark, cycle = docs.sparkSession, rule.shards
     folder = shared_dir(spark, "phrases")
     scratch = Folder(spark, folder)
+    texts = docs.select(
+        F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang"), text_of().alias("text")
+    )
     (
-        docs.select(
-            F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang"),
-            text_of().alias("text"),
-        )
+        texts.mapInArrow(_encode, "lang string, words long, code binary")
         .withColumn("shard", (F.monotonically_increasing_id() % cycle).cast("int"))
         .write.partitionBy("shard")
-        .parquet(f"{folder}/texts")
+        .parquet(f"{folder}/codes")
+    )
+    codes = spark.read.schema("lang string, words long, code binary, shard int").parquet(
+        f"{folder}/codes"
     )
-    texts = spark.read.schema("lang string, text string, shard int").parquet(f"{folder}/texts")
-    schema = "lang string, size int, phrase string, n long, act int, reach int"
-    state = spark.createDataFrame([], schema)
-    totals, filters, step = None, None, 0
+    totals = written(codes.groupBy("lang").agg(F.sum("words").alias("n")), "phrase-words")
+    state, filters, step = spark.createDataFrame([], STATE), None, 0
     while True:
         counted = (
-            texts.filter(F.col("shard") == step % cycle)
-            .select("lang", "text")
-            .mapInArrow(_count_shard(step < cycle, filters, rule.longest), COUNTED)
-            .groupBy("lang", "size", "phrase")
-            .agg(F.sum("n").alias("n"))
+            codes.filter(F.col("shard") == step % cycle)
+            .select("code")
+            .mapInArrow(_count_shard(step < cycle, filters, rule.longest), "hash long, size int, n long")
+            .select("*", F.lit(step).alias("seen"), F.lit(None).cast("int").alias("reach"))
         )
-        new = counted.filter("size = 1").withColumn("act", F.lit(0))
-        if step:
-            reached = state.filter(F.col("reach").isNotNull() & (F.col("size") < rule.longest))
-            left = reached.selectExpr("lang", "phrase AS head", "reach AS head_reach")
-            right = reached.selectExpr("lang", "phrase AS tail", "reach AS tail_reach")
-            longer = (
-                counted.filter("size > 1")
-                .withColumn("head", _without_last("phrase", "size"))
-                .withColumn("tail", _without_first("phrase", "size"))
-                .join(left, ["lang", "head"])
-                .join(right, ["lang", "tail"])
-                .withColumn("act", F.greatest("head_reach", "tail_reach") + 1)
-                .filter((F.col("act") <= step) & (F.col("act") + cycle > step))
-            )
-            new = new.unionByName(longer.select(*new.columns))
         # Counters that have had their cycle without reaching the threshold go.
-        kept = state.filter((F.col("n") >= rule.least) | (F.col("act") + cycle > step))
+        kept = state.filter((F.col("n") >= rule.least) | (F.col("seen") + cycle > step))
         updated = (
-            kept.unionByName(new.withColumn("reach", F.lit(None).cast("int")))
-            .groupBy("lang", "size", "phrase")
-            .agg(F.sum("n").alias("n"), F.min("act").alias("act"), F.min("reach").alias("reach"))
+            kept.unionByName(counted)
+            .groupBy("hash")
+            .agg(
+                F.min("size").alias("size"),
+                F.sum("n").alias("n"),
+                F.min("seen").alias("seen"),
+                F.min("reach").alias("reach"),
+            )
             .withColumn("reach", F.coalesce("reach", F.when(F.col("n") >= rule.least, F.lit(step))))
         )
         updated.write.parquet(f"{folder}/state-{step}")
-        state = spark.read.schema(schema).parquet(f"{folder}/state-{step}")
+        state = spark.read.schema(STATE).parquet(f"{folder}/state-{step}")
         scratch.delete(f"state-{step - 1}")
-        if step == cycle - 1:
-            totals = written(
-                state.filter("size = 1").groupBy("lang").agg(F.sum("n").alias("n")), "phrase-words"
-            )
         parts = state.filter(F.col("reach").isNotNull() & (F.col("size") < rule.longest))
         seen = parts.agg(F.count(F.lit(1)).alias("n"), F.max("reach").alias("last")).first()
         # What the latest to reach the threshold can be part of has had its cycle then.
@@ -341,10 +388,17 @@ def count_phrases(docs: DataFrame, rule: Mining = Mining()) -> tuple[DataFrame,
         if filters is not None:
             filters.unpersist()
         step += 1
-        filters = _filters(spark, parts, seen.n, step - cycle, rule.filter_bits) if seen.n else None
-    scratch.delete("texts")
-    frequent = state.filter(F.col("n") >= rule.least).select("lang", "size", "phrase", "n")
-    return frequent, totals
+        filters = _filters(parts, seen.n, step - cycle, rule.filter_bits) if seen.n else None
+    scratch.delete("codes")
+    frequent = state.filter(F.col("n") >= rule.least)
+    bits = _filters(frequent, max(1, frequent.count()), 0, rule.filter_bits)
+    spelled = (
+        texts.mapInArrow(_spell(bits, rule.longest), "lang string, size int, phrase string, n long")
+        .groupBy("lang", "size", "phrase")
+        .agg(F.sum("n").alias("n"))
+        .filter(F.col("n") >= rule.least)
+    )
+    return written(spelled, "phrase-counts"), totals
 
 
 def score_phrases(frequent: DataFrame, rule: Mining = Mining()) -> DataFrame:

@@ -3,6 +3,7 @@
 import random
 import re
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -69,14 +70,14 @@ def test_texts_beyond_a_block_and_pieces_without_end(spark, monkeypatch):
     docs = spark.createDataFrame(rows, DOCUMENTS)
     batches = docs.select("lang", "text").toArrow().to_batches()
     total, blocks = Counter(), 0
+    everywhere = SimpleNamespace(value=(np.full(1, 2**64 - 1, np.uint64),) * 2)
     for texts, langs in collocations._texts(iter(batches)):
-        block = collocations.Block(texts, langs)
+        words = collocations.Words(texts, langs)
+        assert words.words.sum() == np.count_nonzero(words.code) == len(words.at)
         blocks += 1
-        everywhere = np.full(1, 2**64 - 1, np.uint64)
-        sizes = {1: np.arange(block.n)} | dict(block.active(everywhere, everywhere, 4))
-        for size, at in sizes.items():
-            for lang, _, phrase, n in zip(*block.counted(at, size).to_pydict().values(), strict=True):
-                total[lang, phrase] += n
+    for found in collocations._spell(everywhere, 4)(iter(batches)):
+        for lang, _, phrase, n in zip(*found.to_pydict().values(), strict=True):
+            total[lang, phrase] += n
     want = Counter()
     for row in rows:
         for piece in re.split(r"[.,;:!?\n]", row[1].lower()):
