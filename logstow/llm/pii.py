@@ -203,10 +203,11 @@ def disclosing_terms(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFr
     )
     worded = lines.filter(F.col("line").rlike(WORD))
     counted = written(
+        # Counted first: what is joined is a row for each term, not for each occurrence.
         worded.select(F.explode(_terms(F.col("line"))).alias("term"))
-        .join(pairs.select("term").distinct(), "term", "left_semi")
         .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("n_t")),
+        .agg(F.count(F.lit(1)).alias("n_t"))
+        .join(pairs.select("term").distinct(), "term", "left_semi"),
         "pii-terms",
     )
     n = worded.count()
