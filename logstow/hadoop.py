@@ -9,6 +9,7 @@ class Folder:
     """A folder on whatever file system its path names."""
 
     def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
         self.path = path.rstrip("/")
         self._path_class = spark._jvm.org.apache.hadoop.fs.Path
         conf = spark.sparkContext._jsc.hadoopConfiguration()

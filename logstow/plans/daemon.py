@@ -12,6 +12,7 @@ import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logstow.config import ArchiveConfig, apply_credentials, read_properties
@@ -27,7 +28,9 @@ from logstow.sources.kafka import (
     range_reader,
     stream_messages,
 )
-from logstow.streaming.archive_stream import fixed_starts, listen, start_archive
+from logstow.streaming.archive_stream import start_archive
+from logstow.streaming.counters import COUNTERS, stream_counters
+from logstow.streaming.starts import grow_starts
 
 # Between looks at the queries, and lines with the counters.
 CHECK_SECONDS = 60
@@ -57,7 +60,7 @@ def starters(
 
         def start() -> StreamingQuery:
             recover(spark, part.base_uri, owner)
-            starts = fixed_starts(spark, begin, f"{checkpoint}/{name}")
+            starts = grow_starts(spark, begin, f"{checkpoint}/{name}")
             positions = [
                 (r.topic, r.partition_id, r.start_offset) for r in starts.toLocalIterator()
             ]
@@ -82,6 +85,16 @@ def starters(
     }
 
 
+def committed(spark: SparkSession, checkpoints: list[str]) -> dict[str, int]:
+    """What queries have committed since they were first started, in this process or not."""
+    totals = dict.fromkeys(COUNTERS, 0)
+    for checkpoint in checkpoints:
+        found = stream_counters(spark, checkpoint).agg(*[F.sum(c).alias(c) for c in COUNTERS]).first()
+        for name in COUNTERS:
+            totals[name] += found[name] or 0
+    return totals
+
+
 class Supervisor:
     """Starts queries, and starts one again by itself when it has failed.
 
@@ -119,11 +132,12 @@ def main(argv: list[str]) -> int:
     archive = read_properties(spark, archive_path)
     config = ArchiveConfig.from_properties(archive, read_properties(spark, server_path))
     apply_credentials(spark, archive)
-    listener = listen(spark)
-    supervisor = Supervisor(starters(spark, config, checkpoint))
+    queries = starters(spark, config, checkpoint)
+    supervisor = Supervisor(queries)
     while supervisor.look():
         time.sleep(CHECK_SECONDS)
-        print(json.dumps({"restarts": supervisor.restarts, **listener.committed}), flush=True)
+        counted = committed(spark, [f"{checkpoint}/{name}" for name in queries])
+        print(json.dumps({"restarts": supervisor.restarts, **counted}), flush=True)
     return 0
 
 

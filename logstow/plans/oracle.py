@@ -239,6 +239,14 @@ ORACLE: dict[str, str] = {
     "incremental_runs": _query(CONVERSATION_CHUNKS, CLOSED_RANGES),
     "stream_archive": _query(CONVERSATION_CHUNKS, CLOSED_RANGES),
     "stream_restart": _query(CONVERSATION_CHUNKS, CLOSED_RANGES),
+    "stream_new_partition": _query(CONVERSATION_CHUNKS, CLOSED_RANGES),
+    "stream_counters": _query(
+        CONVERSATION_CHUNKS,
+        f"""SELECT {KEY}, count(*) AS committed_chunks,
+                   CAST(sum(message_count) AS BIGINT) AS committed_count,
+                   CAST(sum(message_bytes) AS BIGINT) AS committed_bytes
+            FROM chunks WHERE close_reason <> 'open' GROUP BY {KEY}""",
+    ),
     "archive_windows": _query(
         DOCUMENT_CHUNKS,
         f"""SELECT {KEY}, start_offset, end_offset, {OBJECT_NAME} AS name

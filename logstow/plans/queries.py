@@ -40,6 +40,7 @@ from logstow.sources.archive import (
 )
 from logstow.sources.tables import file_range_reader, message_stream
 from logstow.streaming.archive_stream import start_archive
+from logstow.streaming.counters import stream_counters
 
 PREFIX = "archive"
 # 2024-01-01T00:00Z, when the events begin.
@@ -322,12 +323,16 @@ def _stream_run(spark, path: str, starts, max_bytes: int) -> None:
     query.awaitTermination()
 
 
-def _streamed_ranges(spark, sf_dir, parts: int) -> DataFrame:
-    """Chunks of the conversations, fed in so many parts, each to a new run."""
+def _partition_starts(log: DataFrame) -> DataFrame:
+    return log.select(*PARTITION_KEY).distinct().select("*", F.lit(0).alias("start_offset"))
+
+
+def _streamed(spark, sf_dir, parts: int) -> str:
+    """Archive the conversations, fed in so many parts, each to a new run."""
     path = shared_dir(spark, "stream")
     columns = [f.name for f in MESSAGE_SCHEMA]
     log = written(conversations_log(spark, sf_dir).select(*columns), f"{path}/all")
-    starts = log.select(*PARTITION_KEY).distinct().select("*", F.lit(0).alias("start_offset"))
+    starts = _partition_starts(log)
     last = log.groupBy(*PARTITION_KEY).agg(F.max("offset").alias("last"))
     placed = log.join(last, PARTITION_KEY).withColumn(
         "part", F.expr(f"least({parts - 1}, offset * {parts} div (last + 1))")
@@ -336,7 +341,11 @@ def _streamed_ranges(spark, sf_dir, parts: int) -> DataFrame:
         some = placed.filter(F.col("part") == part).select(*columns)
         some.write.mode("append").parquet(f"{path}/log")
         _stream_run(spark, path, starts, 8 << 30)
-    topics = [r.topic for r in log.select("topic").distinct().collect()]
+    return path
+
+
+def _streamed_ranges(spark, path: str) -> DataFrame:
+    topics = [r.topic for r in spark.read.parquet(f"{path}/log").select("topic").distinct().collect()]
     return read_catalog(spark, f"{path}/base", topics).select(
         *PARTITION_KEY, "start_offset", "end_offset"
     )
@@ -344,12 +353,37 @@ def _streamed_ranges(spark, sf_dir, parts: int) -> DataFrame:
 
 def stream_archive(spark, sf_dir):
     """The streaming job over the conversations, until all input is read."""
-    return _streamed_ranges(spark, sf_dir, 1)
+    return _streamed_ranges(spark, _streamed(spark, sf_dir, 1))
 
 
 def stream_restart(spark, sf_dir):
     """The same, ended in mid-log and gone on with when more files have come."""
-    return _streamed_ranges(spark, sf_dir, 3)
+    return _streamed_ranges(spark, _streamed(spark, sf_dir, 3))
+
+
+def stream_counter_totals(spark, sf_dir):
+    """What three runs of one stream have committed, by partition."""
+    return stream_counters(spark, f"{_streamed(spark, sf_dir, 3)}/state")
+
+
+def stream_new_partition(spark, sf_dir):
+    """A topic and partitions that appear after the first run of the stream."""
+    path = shared_dir(spark, "stream")
+    columns = [f.name for f in MESSAGE_SCHEMA]
+    log = written(conversations_log(spark, sf_dir).select(*columns), f"{path}/all")
+    last = log.groupBy(*PARTITION_KEY).agg((F.max("offset") / 2).alias("half"))
+    placed = log.join(last, PARTITION_KEY)
+    first_topic = log.agg(F.min("topic")).first()[0]
+    early = (F.col("topic") == first_topic) & (F.col("partition_id") == 0)
+    for arriving in (
+        early & (F.col("offset") <= F.col("half")),
+        (F.col("topic") == first_topic) & ~early,
+        (F.col("topic") != first_topic) | (early & (F.col("offset") > F.col("half"))),
+    ):
+        placed.filter(arriving).select(*columns).write.mode("append").parquet(f"{path}/log")
+        known = spark.read.parquet(f"{path}/log")
+        _stream_run(spark, path, _partition_starts(known), 8 << 30)
+    return _streamed_ranges(spark, path)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -389,6 +423,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partition_zero_counts": partition_zero_counts,
     "archive_windows": archive_windows,
     "stream_restart": stream_restart,
+    "stream_new_partition": stream_new_partition,
+    "stream_counters": stream_counter_totals,
 }
 
 

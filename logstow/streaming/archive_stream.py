@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -21,14 +22,24 @@ from logstow.functions.names import payload_size
 from logstow.hadoop import Folder
 from logstow.model import CHUNK_SCHEMA, PARTITION_KEY, ChunkRule
 from logstow.operators.open_chunk import OpenChunk, feed, ticks_before
-from logstow.operators.positions import resume_scan
 from logstow.sinks.sequence_files import CHUNKS_PER_JOB, Range, recover, write_chunks
 from logstow.sources.archive import read_catalog
+from logstow.streaming.counters import add_batch
+from logstow.streaming.starts import grow_starts, stored_starts, with_start
 
 STATE_SCHEMA = (
     "start long, end long, count long, size long, last_commit long, clock long"
 )
-CHUNK_COLUMNS = [f.name for f in CHUNK_SCHEMA]
+# The state of a partition is that of one generation of its start position.
+STATE_KEY = [*PARTITION_KEY, "generation"]
+CLOSED_SCHEMA = T.StructType(
+    [
+        *CHUNK_SCHEMA.fields[: len(PARTITION_KEY)],
+        T.StructField("generation", T.IntegerType()),
+        *CHUNK_SCHEMA.fields[len(PARTITION_KEY) :],
+    ]
+)
+CLOSED_COLUMNS = [f.name for f in CLOSED_SCHEMA]
 
 
 def _state_row(chunk: OpenChunk) -> tuple:
@@ -80,7 +91,7 @@ def _advance(rule: ChunkRule, jump_to_first: bool):
         state.update(_state_row(chunk))
         if rule.interval_ms is not None:
             state.setTimeoutDuration(max(1, chunk.last_commit + rule.interval_ms + 1 - now))
-        yield pd.DataFrame([(*key, *row) for row in closed], columns=CHUNK_COLUMNS)
+        yield pd.DataFrame([(*key, *row) for row in closed], columns=CLOSED_COLUMNS)
 
     return advance
 
@@ -90,7 +101,8 @@ def closing_chunks(
 ) -> DataFrame:
     """Stream of chunks as they close, by size or by the processing-time timer.
 
-    starts: start position of each partition, as the archive has it.
+    starts: generation and start position of each partition, as `grow_starts` has
+        them. A message of any other partition fails the query.
     jump_to_first: for topics that ignore gaps, where offsets count messages
         and the log's beginning is not in `starts`: a partition starts right
         before the first message that is still there.
@@ -102,32 +114,14 @@ def closing_chunks(
         else GroupStateTimeout.ProcessingTimeTimeout
     )
     return (
-        resume_scan(sizes, starts)
-        .groupBy(*PARTITION_KEY)
+        with_start(sizes, starts)
+        .groupBy(*STATE_KEY)
         .applyInPandasWithState(
-            _advance(rule, jump_to_first), CHUNK_SCHEMA, STATE_SCHEMA, "append", timeout
+            _advance(rule, jump_to_first), CLOSED_SCHEMA, STATE_SCHEMA, "append", timeout
         )
     )
 
 
-def fixed_starts(
-    spark: SparkSession, starts: DataFrame | Callable[[], DataFrame], checkpoint: str
-) -> DataFrame:
-    """The positions a query began with, as its checkpoint has them.
-
-    A replayed batch must drop what its first attempt dropped, although the archive
-    has grown since; so they are stored once, and a restart does not look at
-    `starts`.
-    """
-    folder = Folder(spark, checkpoint)
-    if not folder.exists("starts/_SUCCESS"):
-        first = starts() if callable(starts) else starts
-        first.select(*PARTITION_KEY, "start_offset").write.mode("overwrite").parquet(
-            f"{checkpoint}/starts"
-        )
-    return spark.read.parquet(f"{checkpoint}/starts")
-
-
 def not_archived(spark: SparkSession, chunks: DataFrame, base: str) -> DataFrame:
     """Chunks whose objects are not there yet."""
     topics = [r.topic for r in chunks.select("topic").distinct().collect()]
@@ -155,7 +149,8 @@ def start_archive(
         `file_range_reader` or Kafka's `range_reader` do; closed chunks must still be
         in it. A DataFrame will not do, as its files are fixed when it is made.
     starts: where each partition begins, or a function for it that is called after
-        what a dead run left has been completed. Only the first start looks at it.
+        what a dead run left has been completed. Every start looks at it for
+        partitions that are new; those that are known go on where they are.
     checkpoint: folder of the query's progress and state. Chunks that a batch
         closed are kept there by batch number until the next batch, so a replayed
         batch publishes what the first attempt meant to, and nothing twice.
@@ -166,7 +161,7 @@ def start_archive(
     spark = messages.sparkSession
     # First of all: a half-published window is no state to take positions from.
     recover(spark, base, owner)
-    starts = fixed_starts(spark, starts, checkpoint)
+    starts = grow_starts(spark, starts, checkpoint)
     folder = Folder(spark, checkpoint)
 
     def publish(closed: DataFrame, batch_id: int) -> None:
@@ -178,10 +173,13 @@ def start_archive(
             closed.write.format("noop").mode("overwrite").save()
         else:
             closed.write.mode("overwrite").parquet(f"{checkpoint}/{table}")
-        chunks = session.read.schema(CHUNK_SCHEMA).parquet(f"{checkpoint}/{table}")
-        if replayed:
-            chunks = not_archived(session, chunks, base)
-        write_chunks(log, chunks, base, owner, chunks_per_job)
+        stored = session.read.schema(CLOSED_SCHEMA).parquet(f"{checkpoint}/{table}")
+        # The timer may still close a chunk of a partition that is another query's now.
+        mine = stored_starts(session, checkpoint).filter("active").select(*STATE_KEY)
+        chunks = stored.join(mine, STATE_KEY, "left_semi").drop("generation")
+        unpublished = not_archived(session, chunks, base) if replayed else chunks
+        write_chunks(log, unpublished, base, owner, chunks_per_job)
+        add_batch(session, checkpoint, chunks, batch_id)
         folder.delete(f"closed-chunks/batch={batch_id - 1}")
 
     closed = closing_chunks(messages, starts, rule, jump_to_first).observe(

@@ -14,6 +14,8 @@ from logstow.sources.archive import read_catalog
 from logstow.plans.daemon import Supervisor
 from logstow.sources.tables import file_range_reader, message_stream
 from logstow.streaming.archive_stream import fire_timer, in_order, listen, start_archive
+from logstow.streaming.counters import stream_counters
+from logstow.streaming.starts import grow_starts, stored_starts
 from test_archive import everything, messages_of, object_names, parts_for, partitions_of, sample_log
 
 
@@ -242,3 +244,130 @@ def test_only_the_failed_query_is_started_again():
     assert not s.look()
     with pytest.raises(OSError):
         Supervisor({"a": starter("a", broken)}, most=0).look()
+
+
+def stream_over(spark, paths, listed, rule, topics=None):
+    """One run until all files are read; `listed` are the partitions that are configured."""
+    log, base, state = paths
+    messages = message_stream(spark, log)
+    if topics is not None:
+        messages = messages.filter(messages.topic.isin(topics))
+    query = start_archive(
+        messages,
+        file_range_reader(spark, log),
+        lambda: current_starts(partitions_of(spark, *listed), base),
+        base,
+        rule,
+        state,
+        owner=state.rsplit("/", 1)[-1],
+        trigger={"availableNow": True},
+    )
+    query.awaitTermination(240)
+
+
+def archived(spark, base, *topics):
+    return [r[:4] for r in everything(spark, base, topics)]
+
+
+def test_partitions_and_topics_that_appear_later(spark, tmp_path):
+    paths = [str(tmp_path / d) for d in ("log", "base", "state")]
+    rows, rule = sample_log(12), ChunkRule(30, None)
+    keys = [("a.b_c", 3, 1, 0, False), ("a.b_c", 3, 11, 0, False), ("_hidden", 3, 0, 0, False)]
+    for n, (topic, broker, partition, *_) in enumerate(keys, 1):
+        own = [r for r in rows if r[:3] == (topic, broker, partition)]
+        messages_of(spark, own).coalesce(1).write.mode("append").parquet(paths[0])
+        stream_over(spark, paths, keys[:n], rule)
+    planned = closed_chunks(plan_chunks(messages_of(spark, rows), rule)).collect()
+    assert ranges(spark, paths[1], ["a.b_c", "_hidden"]) == sorted(
+        (c.topic, c.partition_id, c.start_offset, c.end_offset) for c in planned
+    )
+    stored = stored_starts(spark, paths[2]).collect()
+    assert [r.since_batch for r in sorted(stored, key=lambda r: r.since_batch)] == [0, 1, 2]
+    assert all(r.active and r.generation == 0 for r in stored)
+    counted = {r.topic: 0 for r in planned}
+    for r in stream_counters(spark, paths[2]).collect():
+        counted[r.topic] += r.committed_count
+    assert sum(counted.values()) == sum(c.message_count for c in planned)
+
+
+def test_a_message_without_a_start_fails_and_is_kept_for_the_next_run(spark, tmp_path):
+    paths = [str(tmp_path / d) for d in ("log", "base", "state")]
+    rows, rule = sample_log(6), ChunkRule(0, None)
+    known = [("a.b_c", 3, 1, 0, False)]
+    messages_of(spark, rows).coalesce(1).write.parquet(paths[0])
+    with pytest.raises(Exception, match="without a start position"):
+        stream_over(spark, paths, known, rule)
+    stream_over(spark, paths, [*known, ("a.b_c", 3, 11, 0, False), ("_hidden", 3, 0, 0, False)], rule)
+    planned = closed_chunks(plan_chunks(messages_of(spark, rows), rule)).collect()
+    got = archived(spark, paths[1], "a.b_c", "_hidden")
+    assert len(got) == sum(c.message_count for c in planned) > 0
+
+
+def test_a_topic_that_moves_to_another_query_and_back(spark, tmp_path):
+    log, base = str(tmp_path / "log"), str(tmp_path / "base")
+    states = [str(tmp_path / "strict"), str(tmp_path / "ignoring")]
+    rule, fixed, moving = ChunkRule(4, None), ("_hidden", 3, 0, 0, False), ("a.b_c", 3, 1, 0, False)
+
+    def write(low, high):
+        rows = [(t, 3, p, o, b"12345", 0) for t, p in (("_hidden", 0), ("a.b_c", 1)) for o in range(low, high)]
+        messages_of(spark, rows).coalesce(1).write.mode("append").parquet(log)
+
+    for turn, owner in enumerate((0, 1, 0)):
+        write(10 * turn + 1, 10 * turn + 11)
+        for query, state in enumerate(states):
+            listed = [fixed] * (query == 0) + [moving] * (query == owner)
+            if listed:
+                stream_over(spark, (log, base, state), listed, rule, [k[0] for k in listed])
+    everywhere = [("_hidden", 3, 0, o) for o in range(1, 31)] + [("a.b_c", 3, 1, o) for o in range(1, 31)]
+    assert archived(spark, base, "_hidden", "a.b_c") == everywhere
+    assert chunk_gaps(read_catalog(spark, base, ["_hidden", "a.b_c"])).count() == 0
+    back = {r.generation: r for r in stored_starts(spark, states[0]).filter("topic = 'a.b_c'").collect()}
+    assert [back[0].active, back[1].active] == [False, True] and back[1].start_offset == 20
+
+
+def test_starts_are_kept_and_versions_are_whole(spark, tmp_path):
+    state = str(tmp_path / "state")
+
+    def listed(*rows):
+        return spark.createDataFrame(rows, "topic string, broker_id int, partition_id int, start_offset long")
+
+    def got(rows):
+        return sorted((r.topic, r.generation, r.start_offset) for r in rows.collect())
+
+    assert got(grow_starts(spark, listed(("a", 1, 0, 5)), state)) == [("a", 0, 5)]
+    # A known partition stays where it began; nothing changes, so nothing is written.
+    assert got(grow_starts(spark, lambda: listed(("a", 1, 0, 9)), state)) == [("a", 0, 5)]
+    assert Folder(spark, f"{state}/starts").names() == ["v00000000"]
+    # A version without its mark is dropped.
+    Folder(spark, f"{state}/starts").make("v00000001")
+    assert got(grow_starts(spark, listed(("b", 1, 0, 7)), state)) == [("b", 0, 7)]
+    assert got(grow_starts(spark, listed(("a", 1, 0, 9), ("b", 1, 0, 8)), state)) == [("a", 1, 9), ("b", 0, 7)]
+    with pytest.raises(ValueError, match="more than once"):
+        grow_starts(spark, listed(("a", 1, 0, 9), ("a", 1, 0, 8)), state)
+
+
+def test_a_replayed_batch_is_counted_once(spark, tmp_path, monkeypatch):
+    paths = [str(tmp_path / d) for d in ("log", "base", "state")]
+    rows, rule = sample_log(12), ChunkRule(30, None)
+    keys = [("a.b_c", 3, 1, 0, False), ("a.b_c", 3, 11, 0, False), ("_hidden", 3, 0, 0, False)]
+    real = Folder.delete
+
+    def failing(folder, name=""):
+        if name.startswith("closed-chunks"):
+            raise OSError("lost")
+        real(folder, name)
+
+    for part in ([r for r in rows if r[3] <= 120], [r for r in rows if r[3] > 120]):
+        messages_of(spark, part).coalesce(1).write.mode("append").parquet(paths[0])
+        monkeypatch.setattr(Folder, "delete", failing)
+        with pytest.raises(Exception, match="lost"):
+            stream_over(spark, paths, keys, rule)
+        monkeypatch.setattr(Folder, "delete", real)
+        stream_over(spark, paths, keys, rule)
+    planned = closed_chunks(plan_chunks(messages_of(spark, rows), rule)).collect()
+    total = stream_counters(spark, paths[2]).selectExpr(
+        "sum(committed_chunks)", "sum(committed_count)", "sum(committed_bytes)"
+    ).first()
+    assert tuple(total) == (
+        len(planned), sum(c.message_count for c in planned), sum(c.message_bytes for c in planned)
+    )
