@@ -236,6 +236,25 @@ ORACLE: dict[str, str] = {
         DOCUMENT_CHUNKS,
         ARCHIVED_DOCUMENTS.format(columns="", where="AND c.end_offset > 200000"),
     ),
+    "source_roundtrip": _query(
+        DOCUMENT_CHUNKS,
+        ARCHIVED_DOCUMENTS.format(
+            columns=", l.size AS payload_bytes, md5(l.payload) AS md5", where=""
+        ),
+    ),
+    "source_filtered_read": _query(
+        DOCUMENT_CHUNKS,
+        ARCHIVED_DOCUMENTS.format(
+            columns="", where='AND l."offset" > 200000 AND l.partition_id = 1'
+        ),
+    ),
+    "configured_partitions": """
+        WITH t AS (
+          SELECT lang AS topic, max(doc_id) % 3 + 1 AS n FROM documents GROUP BY lang
+          UNION ALL SELECT 'none', 2)
+        SELECT topic, 3::INTEGER AS broker_id, i::INTEGER AS partition_id,
+               topic IN ('de', 'none') AS ignore_gaps
+        FROM t, unnest(generate_series(0, n - 1)) AS g(i)""",
     "incremental_runs": _query(CONVERSATION_CHUNKS, CLOSED_RANGES),
     "stream_archive": _query(CONVERSATION_CHUNKS, CLOSED_RANGES),
     "stream_restart": _query(CONVERSATION_CHUNKS, CLOSED_RANGES),

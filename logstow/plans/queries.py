@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logstow.config import ArchiveConfig
 from logstow.functions.names import (
     normalize_prefix,
     object_key,
@@ -19,7 +20,12 @@ from logstow.operators.chunking import chain_chunks, closed_chunks, open_tails,
 from logstow.operators.integrity import chunk_gaps, lost_data_gaps
 from logstow.operators.metrics import archive_gauges, partition_counters
 from logstow.operators.positions import last_committed, resume_scan, start_positions
-from logstow.operators.topics import enumerate_partitions, select_topics, with_gap_policy
+from logstow.operators.topics import (
+    configured_partitions,
+    enumerate_partitions,
+    select_topics,
+    with_gap_policy,
+)
 from logstow.plans.archive_run import run_archive, written
 from logstow.plans.table_logs import (
     HOUR_MS,
@@ -38,6 +44,7 @@ from logstow.sources.archive import (
     read_catalog,
     read_catalog_objects,
 )
+from logstow.sources.archive_format import read_archive, write_archive
 from logstow.sources.tables import file_range_reader, message_stream
 from logstow.streaming.archive_stream import start_archive
 from logstow.streaming.counters import stream_counters
@@ -291,6 +298,53 @@ def offset_pruned_read(spark, sf_dir):
     return archived_messages(read_catalog_objects(catalog)).select(*PARTITION_KEY, "offset")
 
 
+def _documents_by_source(spark, sf_dir) -> str:
+    """Archive the documents' closed chunks by `df.write.format`, in a fresh folder."""
+    path = shared_dir(spark, "source")
+    log = written(documents_log(spark, sf_dir), f"{path}/log")
+    chunks = written(closed_chunks(plan_chunks(log, DOCUMENT_RULE)), f"{path}/chunks")
+    write_archive(log, chunks, f"{path}/base")
+    return f"{path}/base"
+
+
+def source_roundtrip(spark, sf_dir):
+    """Written and read again by the data source."""
+    return read_archive(spark, _documents_by_source(spark, sf_dir)).select(
+        *PARTITION_KEY, "offset", payload_size().alias("payload_bytes"), F.md5("value").alias("md5")
+    )
+
+
+def source_filtered_read(spark, sf_dir):
+    """Rows by plain filters on the data source."""
+    rows = read_archive(spark, _documents_by_source(spark, sf_dir))
+    wanted = (F.col("offset") > 200_000) & (F.col("partition_id") == 1)
+    return rows.filter(wanted).select(*PARTITION_KEY, "offset")
+
+
+def configured(spark, sf_dir):
+    """Partitions and gap policy as two properties files have them; the topics and
+    partition counts in the files are those of the documents."""
+    counts = (
+        load(spark, sf_dir, "documents")
+        .groupBy("lang")
+        .agg((F.max("doc_id") % 3 + 1).alias("n"))
+        .orderBy("lang")
+        .collect()
+    )
+    path = shared_dir(spark, "settings")
+    topics = ",".join(r.lang for r in counts)
+    archive = f"kafka.topics={topics},none\nkafka.ignoregaps=de,none\ns3.bucket=b\ns3.prefix=p/\n"
+    archive += "s3.accesskey=k\ns3.secretkey=s\n"
+    broker = "brokerid=3\nnum.partitions=2\ntopic.partition.count.map="
+    broker += ",".join(f"{r.lang}:{r.n}" for r in counts)
+    for name, text in (("archive", archive), ("broker", broker)):
+        one = spark.createDataFrame([(text,)], "value string")
+        one.coalesce(1).write.option("lineSep", "\n").text(f"{path}/{name}")
+    return configured_partitions(
+        spark, ArchiveConfig.load(spark, f"{path}/archive/*", f"{path}/broker/*")
+    )
+
+
 def incremental_runs(spark, sf_dir):
     """Two runs of the archive job, the second going on behind the first."""
     path = shared_dir(spark, "incremental")
@@ -422,6 +476,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prefix_slashes": prefix_slashes,
     "partition_zero_counts": partition_zero_counts,
     "archive_windows": archive_windows,
+    "source_roundtrip": source_roundtrip,
+    "source_filtered_read": source_filtered_read,
+    "configured_partitions": configured,
     "stream_restart": stream_restart,
     "stream_new_partition": stream_new_partition,
     "stream_counters": stream_counter_totals,
