@@ -149,6 +149,13 @@ class Codec:
             raise ValueError("pieces that go on past a space are not served")
         self.stretch = self._stretches()
         self.remembered = remembered
+        # Pieces that stand for their own text: id in decimal, and original bytes if
+        # spaces stand for spaces.
+        self.plain = {
+            piece: (str(i), len(piece.encode()) - 2 * piece.count(SPACE))
+            for piece, i in self.id.items()
+            if self.types[i] not in (BYTE, UNKNOWN, CONTROL)
+        }
         self.young: dict[str, tuple] = {}
         self.old: dict[str, tuple] = {}
 
@@ -280,8 +287,12 @@ class Codec:
     def _learn(self, stretch: str) -> tuple:
         """ids as text, original byte lengths of the pieces if spaces stand for spaces,
         and the decoded text where it is not the stretch itself."""
+        symbols = self._merge(stretch)
+        entries = [self.plain.get(symbol) for symbol in symbols]
+        if None not in entries:
+            return ",".join([e[0] for e in entries]), bytes([e[1] for e in entries]), None
         ids, plain = [], []
-        for symbol in self._merge(stretch):
+        for symbol in symbols:
             size = len(symbol.encode())
             spaces = 2 * symbol.count(SPACE)
             known = self.id.get(symbol)
