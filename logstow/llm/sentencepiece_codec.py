@@ -152,9 +152,7 @@ class Codec:
         # Pieces that stand for their own text: id in decimal, and original bytes if
         # spaces stand for spaces.
         self.plain = {
-            piece: (str(i), len(piece.encode()) - 2 * piece.count(SPACE))
-            for piece, i in self.id.items()
-            if self.types[i] not in (BYTE, UNKNOWN, CONTROL)
+            p: (str(i), len(p.encode()) - 2 * p.count(SPACE)) for p, i in self.id.items()
         }
         self.young: dict[str, tuple] = {}
         self.old: dict[str, tuple] = {}
