@@ -3,8 +3,8 @@
 Credentials found by the patterns are labelled strings. From those of a kind, a
 prefix tree is built and states whose next symbols are statistically alike are
 merged, until a small probabilistic automaton is left; others are inferred from
-ordinary words and numbers. Every long token of every document is then scored: by how
-many bits its best credential format is likelier than a word.
+ordinary words and numbers. Every token of every document that is long enough for a
+credential is then scored: by how many bits its best format is likelier than a word.
 """
 
 from __future__ import annotations
@@ -13,8 +13,9 @@ import hashlib
 import math
 import re
 from collections import deque
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,11 +35,17 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 ACCESS_LEAST = 20
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 GRAMMAR = "grammar"
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}")
+#: Whole tokens of the least length that any kind allows.
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{%d,}" % ASSIGN_LEAST)
 TOKEN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{4,}")
-NUMBER = re.compile(r"[0-9+/_.=-]+")
-#: What is learned from tokens outside credentials.
-ORDINARY = ("word", "number")
+#: What is learned from tokens outside credentials, by their form; words are all others.
+#: Rare forms are kinds of their own, as a sample of all tokens has few of them.
+FORMS = {
+    "number": re.compile(r"[0-9+/_.=-]+"),
+    "upper": re.compile(r"[A-Z+/_.=-]+"),
+    "joined": re.compile(r"[a-z0-9]+(?:[/_.-][a-z0-9]+)+"),
+}
+ORDINARY = ("word", *FORMS)
 #: Symbols of the automata: classes of characters, with how many each has.
 CLASSES = {
     "d": "0123456789",
@@ -49,6 +56,9 @@ CLASSES = {
     **{c: c for c in "+/_.=-"},
 }
 TO_CLASS = str.maketrans({c: name for name, chars in CLASSES.items() for c in chars})
+# Scores that a task remembers, and the longest token it remembers one of.
+REMEMBERED = 1 << 16
+REMEMBERED_LENGTH = 64
 CLASS_BITS = {name: math.log2(len(chars)) for name, chars in CLASSES.items()}
 
 
@@ -56,7 +66,7 @@ CLASS_BITS = {name: math.log2(len(chars)) for name, chars in CLASSES.items()}
 class Inference:
     """Bounds and levels of learning.
 
-    values: different credentials of a kind, and words, that are learned from.
+    values: different credentials of a kind, and tokens of a form, that are learned from.
     longest: characters of a value that may be learned from (whole).
     words_from: documents whose words may be learned from, in expectation.
     alpha: a smaller level merges more states.
@@ -185,7 +195,7 @@ def infer(strings: Iterable[str], alpha: float) -> Automaton:
 
 @dataclass(frozen=True)
 class Grammars:
-    """Automata of the credential kinds that had strings, and of words and numbers."""
+    """Automata of the credential kinds that had strings, and of ordinary tokens."""
 
     formats: dict[str, Automaton]
     ordinary: dict[str, Automaton]
@@ -230,6 +240,11 @@ def _apart(text: str, spans: list[tuple], pattern: re.Pattern) -> Iterator[re.Ma
             yield m
 
 
+def form_of(token: str) -> str:
+    """Which of ORDINARY a token is."""
+    return next((name for name, form in FORMS.items() if form.fullmatch(token)), "word")
+
+
 def learn_grammars(docs: DataFrame, how: Inference = Inference()) -> Grammars:
     """Automata from the corpus' own pattern matches and words.
 
@@ -251,11 +266,7 @@ def learn_grammars(docs: DataFrame, how: Inference = Inference()) -> Grammars:
                 seen.update((names[s[2]], s[3]) for s in spans if len(s[3]) <= how.longest)
                 if words.as_py():
                     own = {m.group() for m in _apart(text, spans, TOKEN)}
-                    seen.update(
-                        ("number" if NUMBER.fullmatch(w) else "word", w)
-                        for w in own
-                        if len(w) <= how.longest
-                    )
+                    seen.update((form_of(w), w) for w in own if len(w) <= how.longest)
             seen = sorted(seen)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[i] for x in seen], pa.string()) for i in (0, 1)],
@@ -275,13 +286,25 @@ def learn_grammars(docs: DataFrame, how: Inference = Inference()) -> Grammars:
     return Grammars(formats, ordinary)
 
 
-def find_secrets(text: str, grammars: Grammars, bits: float) -> tuple[list[tuple], float]:
+def remembering(grammars: Grammars) -> Callable[[str], float]:
+    """The score, kept for the short tokens seen last: words of running text repeat."""
+    short = lru_cache(REMEMBERED)(grammars.score)
+
+    def score(token: str) -> float:
+        return short(token) if len(token) <= REMEMBERED_LENGTH else grammars.score(token)
+
+    return score
+
+
+def find_secrets(
+    text: str, score_of: Callable[[str], float], bits: float
+) -> tuple[list[tuple], float]:
     """All spans (start, end, kind), by start and kind, and the best score of any token."""
     base = base_matches(text)
     spans = [(s, e, k) for s, e, k, _ in base]
-    best = max((grammars.score(value) for *_, value in base), default=0.0)
+    best = max((score_of(value) for *_, value in base), default=0.0)
     for m in _apart(text, base, CANDIDATE):
-        score = grammars.score(m.group())
+        score = score_of(m.group())
         best = max(best, score)
         if score >= bits:
             spans.append((m.start(), m.end(), len(KINDS)))
@@ -293,8 +316,8 @@ def secret_scan(docs: DataFrame, how: Inference = Inference()) -> DataFrame:
 
     Takes doc_id and text. Returns doc_id, n_assign, n_access, n_hex, base_sha256,
     spans, n_grammar and best_score. Spans are kind:start:end in code points, by
-    start and kind. Null and empty texts have none, and so do texts without long
-    tokens; without any credential in the corpus no grammar is learned and only
+    start and kind. Null and empty texts have none, and so do texts without tokens of
+    six characters; without any credential in the corpus no grammar is learned and only
     the patterns count. Repeated rows give repeated results, an empty table an
     empty one.
     """
@@ -305,12 +328,12 @@ def secret_scan(docs: DataFrame, how: Inference = Inference()) -> DataFrame:
         return ",".join(f"{names[k]}:{s}:{e}" for s, e, k in spans)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grammars = shared.value
+        score_of = remembering(shared.value)
         for batch in slices(batches):
             counts: list[list[int]] = [[] for _ in names]
             digests, lists, scores = [], [], []
             for text in batch.column(1):
-                spans, best = find_secrets(text.as_py(), grammars, how.bits)
+                spans, best = find_secrets(text.as_py(), score_of, how.bits)
                 for k, out in enumerate(counts):
                     out.append(sum(s[2] == k for s in spans))
                 base = listed(s for s in spans if s[2] < len(KINDS))

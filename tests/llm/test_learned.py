@@ -3,6 +3,8 @@
 import hashlib
 import math
 import re
+from fractions import Fraction
+from itertools import groupby
 
 import numpy as np
 import pytest
@@ -15,7 +17,9 @@ from logstow.llm.queries import LLM_QUERIES
 from logstow.llm.quality_classifier import (
     FEATURES, Boosting, Forest, grow, quality_classifier, statistics,
 )
-from logstow.llm.secrets import Grammars, Inference, base_matches, infer, secret_scan
+from logstow.llm.secrets import (
+    CLASSES, Grammars, Inference, base_matches, infer, learn_grammars, secret_scan,
+)
 from logstow.llm.tables import id_remainder, least_of_each
 
 from .conftest import LONG, by_id
@@ -219,6 +223,55 @@ def test_grammar_finds_what_patterns_miss(spark):
     assert got[1001].n_grammar == 0 and all(got[i].n_grammar == 0 for i in range(80))
 
 
+def plain_bits(automaton, token):
+    """Likelihood of a token, symbol by symbol, from the automaton's counts."""
+    state, chance = 0, Fraction(1)
+    for c in token:
+        name = next(n for n, chars in CLASSES.items() if c in chars)
+        total = automaton.arrived[state] + Fraction(len(CLASSES) + 1, 2)
+        seen = automaton.taken[state].get(name, 0)
+        chance *= (seen + Fraction(1, 2)) / total / len(CLASSES[name])
+        state = automaton.next[state].get(name, state)
+    total = automaton.arrived[state] + Fraction(len(CLASSES) + 1, 2)
+    chance *= (automaton.ended[state] + Fraction(1, 2)) / total
+    return math.log2(chance.numerator) - math.log2(chance.denominator)
+
+
+def plain_grammar_spans(text, grammars, bits):
+    taken = []
+    for s in brute_secrets(text):
+        _, a, b = s.split(":")
+        taken.append((int(a), int(b)))
+    allowed, spans, at = set("".join(CLASSES.values())), [], 0
+    for inside, run in groupby(text or "", key=lambda c: c in allowed):
+        token = "".join(run)
+        a, b = at, at + len(token)
+        at = b
+        if not inside or len(token) < 6 or any(x < b and a < y for x, y in taken):
+            continue
+        best = max(plain_bits(m, token) for m in grammars.formats.values())
+        if best - max(plain_bits(m, token) for m in grammars.ordinary.values()) >= bits:
+            spans.append(f"grammar:{a}:{b}")
+    return spans
+
+
+def test_grammar_spans_against_plain_scoring(spark, small):
+    rng = np.random.default_rng(11)
+    chars = list("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    rows = [(10**6 + i, f"api_key: {''.join(rng.choice(chars, 12 + i % 20))} is set") for i in range(60)]
+    rows += [(2 * 10**6 + i, f"left {''.join(rng.choice(chars, 12))} here, x{LONG[:500]}") for i in range(20)]
+    clean = small.select("doc_id", "text")
+    df = clean.union(spark.createDataFrame(rows, "doc_id long, text string"))
+    grammars = learn_grammars(df)
+    got = {r.doc_id: [s for s in r.spans.split(",") if s.startswith("grammar")] for r in secret_scan(df).collect()}
+    want = {r.doc_id: plain_grammar_spans(r.text, grammars, Inference().bits) for r in df.collect()}
+    assert got == want
+    planted = [got[2 * 10**6 + i] for i in range(20)]
+    # Sixteen bits are a lot for twelve characters: about three quarters have them.
+    assert sum(p == ["grammar:5:17"] for p in planted) >= 12
+    assert sum(len(got[r.doc_id]) for r in clean.select("doc_id").collect()) <= 2
+
+
 def test_inferred_automaton_is_small_and_a_distribution():
     rng = np.random.default_rng(2)
     strings = ["".join(rng.choice(list("ab01"), 12)) for _ in range(300)]
