@@ -19,30 +19,38 @@ from logstow.config import ArchiveConfig, apply_credentials, read_properties
 from logstow.model import PARTITION_KEY
 from logstow.operators.topics import configured_partitions
 from logstow.plans.archive_run import current_starts
-from logstow.sinks.sequence_files import recover
+from logstow.sinks.sequence_files import OBJECT_STORE, recover
 from logstow.sources.kafka import (
+    Broker,
+    KafkaBroker,
+    admitted_offsets,
     by_gap_policy,
-    earliest_offsets,
     log_starts,
-    offsets_json,
-    range_reader,
-    stream_messages,
 )
 from logstow.streaming.archive_stream import start_archive
 from logstow.streaming.counters import COUNTERS, stream_counters
 from logstow.streaming.starts import grow_starts
 
+# Payload bytes a micro-batch is meant to have.
+BATCH_BYTES = 8 << 30
 # Between looks at the queries, and lines with the counters.
 CHECK_SECONDS = 60
 USAGE = "usage: daemon <server properties> <archiver properties> <checkpoint folder>"
 
 
 def starters(
-    spark: SparkSession, config: ArchiveConfig, checkpoint: str
+    spark: SparkSession,
+    config: ArchiveConfig,
+    checkpoint: str,
+    connect: Callable[[SparkSession, ArchiveConfig], Broker] = KafkaBroker,
+    max_bytes: int = BATCH_BYTES,
+    **options,
 ) -> dict[str, Callable[[], StreamingQuery]]:
     """By name, how to start each query: one for topics that ignore gaps, one for others.
 
-    A start completes what a dead run left before it looks at the archive.
+    A start completes what a dead run left before it looks at the archive, and takes
+    its bound on offsets from the mean size of what was committed so far. Where a
+    rename copies, tasks rename. options: further ones of `start_archive`.
     """
 
     def starter(part: ArchiveConfig, name: str) -> Callable[[], StreamingQuery]:
@@ -50,30 +58,40 @@ def starters(
         enumerated = configured_partitions(spark, part)
         rows = [(r.topic, r.broker_id, r.partition_id) for r in enumerated.toLocalIterator()]
         read = [(t, p) for t, _, p in rows]
+        in_tasks = OBJECT_STORE.match(part.base_uri) is not None
+        broker = connect(spark, part)
+        ignoring = part.topics <= part.ignore_gaps_topics
 
-        def begin() -> DataFrame:
-            first = log_starts(rows, earliest_offsets(spark, part, read))
-            table = spark.createDataFrame(
+        def log_start() -> DataFrame:
+            first = log_starts(rows, broker.earliest(read))
+            return spark.createDataFrame(
                 first, "topic string, broker_id int, partition_id int, log_start long"
             )
-            return current_starts(enumerated.join(table, PARTITION_KEY), part.base_uri)
+
+        def begin() -> DataFrame:
+            return current_starts(enumerated.join(log_start(), PARTITION_KEY), part.base_uri)
 
         def start() -> StreamingQuery:
-            recover(spark, part.base_uri, owner)
+            recover(spark, part.base_uri, owner, in_tasks=in_tasks)
             starts = grow_starts(spark, begin, f"{checkpoint}/{name}")
             positions = [
                 (r.topic, r.partition_id, r.start_offset) for r in starts.toLocalIterator()
             ]
+            counted = committed(spark, [f"{checkpoint}/{name}"])
+            most = admitted_offsets(
+                counted["committed_count"], counted["committed_bytes"], max_bytes
+            )
             return start_archive(
-                stream_messages(
-                    spark, part, starting=offsets_json(positions), partitions=read
-                ),
-                range_reader(spark, part),
+                broker.stream(positions, most),
+                broker.log,
                 starts,
                 part.base_uri,
                 part.chunk_rule(int(time.time() * 1000)),
                 f"{checkpoint}/{name}",
                 owner=owner,
+                log_start=log_start if ignoring else None,
+                in_tasks=in_tasks,
+                **options,
             )
 
         return start

@@ -36,6 +36,16 @@ COMPRESSION = {
 # a window is dropped as a whole.
 COMMITTER = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
 
+# Where a rename copies the object, and the settings that reach it.
+OBJECT_STORE = re.compile("^s3[an]?://")
+STORE_SETTINGS = {
+    "access_key": "fs.s3a.access.key",
+    "secret_key": "fs.s3a.secret.key",
+    "session_token": "fs.s3a.session.token",
+    "endpoint_override": "fs.s3a.endpoint",
+    "region": "fs.s3a.endpoint.region",
+}
+
 # No topic may contain this character, so the folder cannot be one.
 STAGING = "~staging"
 
@@ -215,11 +225,12 @@ def _rename_here(
 def _rename_in_tasks(named: DataFrame, base: str, window: str) -> int:
     """The same in Spark tasks, for stores where a rename copies the object.
 
-    Tasks reach the store through pyarrow, so its file systems must know the base.
+    Tasks reach the store through pyarrow, with the session's credentials for it.
     """
+    options = store_options(named.sparkSession, base)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = filesystem_of(base)
+        store, root = filesystem_of(base, options)
         for batch in batches:
             for chunk_no, target in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 source = f"{root}/{window}/data/{_part_file(chunk_no)}"
@@ -239,10 +250,29 @@ def _rename_in_tasks(named: DataFrame, base: str, window: str) -> int:
     return moved.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
-def filesystem_of(base: str) -> tuple[fs.FileSystem, str]:
-    """The store of a base folder, and the folder's path in it."""
+def store_options(spark: SparkSession, base: str) -> dict[str, str]:
+    """What the session's Hadoop settings say of the object store, in pyarrow's words."""
+    if not OBJECT_STORE.match(base):
+        return {}
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    found = {ours: hadoop.get(name) for ours, name in STORE_SETTINGS.items()}
+    options = {ours: value for ours, value in found.items() if value}
+    scheme, there, host = options.get("endpoint_override", "").partition("://")
+    if there:
+        options |= {"endpoint_override": host, "scheme": scheme}
+    return options
+
+
+def filesystem_of(base: str, options: dict[str, str] | None = None) -> tuple[fs.FileSystem, str]:
+    """The store of a base folder, and the folder's path in it.
+
+    options: of an object store, as `store_options` has them; without any, pyarrow
+        looks for credentials in its own environment.
+    """
     if "://" not in base and not base.startswith("file:"):
         return fs.LocalFileSystem(), base.rstrip("/")
+    if options:
+        return fs.S3FileSystem(**options), OBJECT_STORE.sub("", base).rstrip("/")
     store, root = fs.FileSystem.from_uri(re.sub("^s3a:", "s3:", base))
     return store, root.rstrip("/")
 

@@ -7,12 +7,17 @@ after it, hence the one that is added.
 from __future__ import annotations
 
 import json
-from dataclasses import replace
+from dataclasses import dataclass, replace
+from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logstow.config import ArchiveConfig
+from logstow.sinks.sequence_files import Range
+
+# Offsets a trigger takes while the size of messages is not known.
+FIRST_OFFSETS = 10_000_000
 
 
 def offsets_json(positions: list[tuple[str, int, int]]) -> str:
@@ -118,7 +123,7 @@ def read_messages(spark: SparkSession, config: ArchiveConfig, **options) -> Data
 def stream_messages(
     spark: SparkSession,
     config: ArchiveConfig,
-    max_offsets_per_trigger: int = 10_000_000,
+    max_offsets_per_trigger: int = FIRST_OFFSETS,
     **options,
 ) -> DataFrame:
     options["max_offsets_per_trigger"] = max_offsets_per_trigger
@@ -151,3 +156,49 @@ def range_reader(spark: SparkSession, config: ArchiveConfig):
         return as_messages(records, config.broker_id)
 
     return read
+
+
+def admitted_offsets(messages: int, payload_bytes: int, max_bytes: int) -> int:
+    """Offsets of a trigger that stay within a number of bytes, by the mean size so far.
+
+    The connector bounds triggers by offsets only. At least one is admitted.
+    """
+    if messages <= 0 or payload_bytes <= 0:
+        return FIRST_OFFSETS
+    return max(1, max_bytes * messages // payload_bytes)
+
+
+class Broker(Protocol):
+    """What archiving asks of a message log, which may be cut at its beginning."""
+
+    def earliest(self, partitions: list[tuple[str, int]]) -> dict[tuple[str, int], int]:
+        """First position of each (topic, partition) that the log still holds."""
+
+    def stream(self, positions: list[tuple[str, int, int]], max_offsets: int) -> DataFrame:
+        """Messages behind the (topic, partition, offset) positions, so many a trigger."""
+
+    def log(self, ranges: list[Range]) -> DataFrame:
+        """Messages of exact ranges."""
+
+
+@dataclass(frozen=True)
+class KafkaBroker:
+    """Kafka, through Spark's connector and the client that comes with it."""
+
+    spark: SparkSession
+    config: ArchiveConfig
+
+    def earliest(self, partitions: list[tuple[str, int]]) -> dict[tuple[str, int], int]:
+        return earliest_offsets(self.spark, self.config, partitions)
+
+    def stream(self, positions: list[tuple[str, int, int]], max_offsets: int) -> DataFrame:
+        return stream_messages(
+            self.spark,
+            self.config,
+            max_offsets_per_trigger=max_offsets,
+            starting=offsets_json(positions),
+            partitions=[(t, p) for t, p, _ in positions],
+        )
+
+    def log(self, ranges: list[Range]) -> DataFrame:
+        return range_reader(self.spark, self.config)(ranges)

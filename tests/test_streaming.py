@@ -13,11 +13,15 @@ from logstow.plans.archive_run import current_starts
 from logstow.sources.archive import read_catalog
 from logstow.plans.daemon import Supervisor
 from logstow.sources.tables import file_range_reader, message_stream
-from logstow.streaming.archive_stream import fire_timer, in_order, listen, start_archive
+from logstow.streaming.archive_stream import (
+    STATE_STORE, closing_chunks, fire_timer, in_order, listen, start_archive,
+)
 from logstow.streaming.counters import stream_counters
 from logstow.streaming.starts import grow_starts, stored_starts
 from test_archive import everything, messages_of, object_names, parts_for, partitions_of, sample_log
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def ranges(spark, base, topics):
     rows = read_catalog(spark, base, topics).collect()
@@ -33,7 +37,7 @@ def wait_for(condition, seconds=90):
     return False
 
 
-def test_stream_publishes_the_chunks_of_the_batch_job(spark, tmp_path):
+def test_stream_publishes_the_chunks_of_the_batch_job(spark, tmp_path, timers):
     log, base, state = (str(tmp_path / d) for d in ("log", "base", "state"))
     rows, rule = sample_log(40), ChunkRule(60, None)
     listener = listen(spark)
@@ -48,6 +52,8 @@ def test_stream_publishes_the_chunks_of_the_batch_job(spark, tmp_path):
             rule,
             state,
             trigger={"availableNow": True},
+            timers=timers,
+            in_tasks=timers,
         )
         assert query.awaitTermination(240)
         assert query.exception() is None
@@ -64,7 +70,16 @@ def test_stream_publishes_the_chunks_of_the_batch_job(spark, tmp_path):
     spark.streams.removeListener(listener)
 
 
-def test_timer_closes_a_chunk_without_new_messages(spark, tmp_path):
+@pytest.fixture(params=[False, True], ids=["timeout", "timers"])
+def timers(request, spark):
+    """Both forms of the stateful operator; the second needs another state store."""
+    if request.param:
+        spark.conf.set(STATE_STORE, ROCKSDB)
+    yield request.param
+    spark.conf.unset(STATE_STORE)
+
+
+def test_timer_closes_a_chunk_without_new_messages(spark, tmp_path, timers):
     log, base, state = (str(tmp_path / d) for d in ("log", "base", "state"))
     messages_of(spark, [("t", 3, 0, 20, b"message_1", 0)]).coalesce(1).write.parquet(log)
     query = start_archive(
@@ -75,6 +90,7 @@ def test_timer_closes_a_chunk_without_new_messages(spark, tmp_path):
         ChunkRule(10**6, 3000),
         state,
         trigger={"processingTime": "500 milliseconds"},
+        timers=timers,
     )
     try:
         assert wait_for(lambda: query.exception() or (tmp_path / "base" / "t").exists())
@@ -84,6 +100,19 @@ def test_timer_closes_a_chunk_without_new_messages(spark, tmp_path):
     assert object_names(base) == ["t/3_0_0000000000000000000_0000000000000000020"]
 
 
+def test_timers_want_their_state_store(spark, tmp_path):
+    messages_of(spark, [("t", 3, 0, 20, b"x", 0)]).write.parquet(str(tmp_path / "log"))
+    starts = grow_starts(
+        spark,
+        current_starts(partitions_of(spark, ("t", 3, 0, 0, False)), str(tmp_path / "base")),
+        str(tmp_path / "state"),
+    )
+    with pytest.raises(ValueError, match="RocksDB"):
+        closing_chunks(
+            message_stream(spark, str(tmp_path / "log")), starts, ChunkRule(10, 10), timers=True
+        )
+
+
 def test_failed_runs_are_counted(spark, tmp_path):
     log = str(tmp_path / "log")
     rows = [("t", 3, 0, 20, b"x", 0), ("t", 3, 0, 20, b"y", 0)]
