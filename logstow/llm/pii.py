@@ -1,10 +1,14 @@
 """Personal data: patterns, and terms that give a protected entity away.
 
-Patterns find the entities. Terms near them are judged by information: with N
-lines in the corpus, n(e) that hold entity e, n(t) that hold term t and n(e, t)
-that hold both, e carries log(N / n(e)), and t tells log(n(e, t) N / (n(e) n(t)))
-of it. Where t tells more than a set share of what e carries, t is generalised
-or removed next to e. All of it is DataFrame functions.
+Patterns find the entities. Texts are cut into pieces, lines or parts of long ones,
+and the context of an entity is its piece with the neighbours on both sides. With N
+pieces in the corpus, n(e) that hold entity e, n(t) that hold term t, and n(e, t)
+contexts of e that hold t, d(e, t) of them different, e carries log(N / n(e)) and t
+tells log(p N / n(e)) of it, where p = n(e, t) / n(t) * d(e, t) / (d(e, t) + 1)
+estimates how likely e is where t is. The last factor is for rarity: one context,
+however often it is copied, counts as half. Every entity and term takes part. A term
+that tells more than a set share of what an entity carries is generalised or removed
+wherever it stands. All of it is DataFrame functions.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logstow.llm.tables import WORD, text_of, written
+from logstow.llm.tables import text_of, written
 
 # Kinds in the order of the digest. Possessive repeats and the looks
 # behind keep matching linear; they match what the plain patterns
@@ -35,7 +39,10 @@ PATTERNS = {
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 KINDS = tuple(PATTERNS)
 TERM_KIND = "term"
-TERM = r"[\p{L}\p{N}]{4,}"
+#: Words of three or more letters or digits; of scripts without letter case, any length.
+TERM = r"[\p{L}\p{N}]{3,}|\p{Lo}+"
+#: Flagged terms up to this number (about 40 MB) are broadcast, more are joined by shuffle.
+BROADCAST_TERMS = 500_000
 
 SPAN = "struct<no:int,kind:string,start:int,stop:int,value:string>"
 
@@ -45,12 +52,12 @@ class Disclosure:
     """When a term gives an entity away.
 
     share: of the entity's information that a term may tell.
-    lines: different lines that must hold an entity, and lines that must hold it
-        together with the term; fewer are no estimate.
+    piece: characters of a piece; longer lines are cut, at spaces where they have any,
+        so that the terms and entities of a context stay few.
     """
 
     share: float = 0.9
-    lines: int = 3
+    piece: int = 500
 
 
 def _let(value: Column, body) -> Column:
@@ -58,6 +65,52 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _add(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def _running(numbers: Column, step) -> Column:
+    """Running sums or maxima (step) of numbers from 0 on.
+
+    Blocks of about the root of their number are folded, then shifted by the fold
+    of those before, so that arrays grown number by number stay short.
+    """
+
+    def fold(block: Column) -> Column:
+        def more(done: Column, x: Column) -> Column:
+            last = F.coalesce(F.get(done, F.size(done) - 1), F.lit(0))
+            return F.concat(done, F.array(step(last, x)))
+
+        return F.aggregate(block, F.array().cast("array<int>"), more)
+
+    def shifted(inner: Column, heads: Column) -> Column:
+        def one(block: Column, k: Column) -> Column:
+            return _let(
+                F.coalesce(F.get(heads, k - 1), F.lit(0)),
+                lambda head: F.transform(block, lambda x: step(x, head)),
+            )
+
+        return F.flatten(F.transform(inner, one))
+
+    def run(all_: Column) -> Column:
+        width = _block(all_)
+        firsts = F.sequence(F.lit(0), F.greatest(F.size(all_) - 1, F.lit(0)), width)
+        folded = F.transform(firsts, lambda at: fold(F.slice(all_, at + 1, width)))
+        return _let(
+            folded,
+            lambda inner: _let(
+                fold(F.transform(inner, lambda x: F.get(x, F.size(x) - 1))),
+                lambda heads: shifted(inner, heads),
+            ),
+        )
+
+    return _let(numbers, run)
+
+
+def _block(items: Column) -> Column:
+    return F.greatest(F.ceil(F.sqrt(F.size(items))).cast("int"), F.lit(1))
+
+
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
@@ -101,30 +154,22 @@ def _all_matches(text: Column, pattern: Column, no: int, kind: str) -> Column:
 
     What lies between the matches, and they themselves, add up to the positions.
     """
-    between = F.split(text, pattern, -1)
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), F.array().cast(f"array<{SPAN}>").alias("out"))
-
-    def spans(gaps: Column) -> Column:
-        def add(acc: Column, value: Column) -> Column:
-            begin = acc["at"] + F.length(F.get(gaps, acc["i"]))
-            stop = begin + F.length(value)
-            span = F.struct(
-                F.lit(no).alias("no"),
-                F.lit(kind).alias("kind"),
-                begin.alias("start"),
-                stop.alias("stop"),
-                value.alias("value"),
-            ).cast(SPAN)
-            return F.struct(
-                stop.alias("at"),
-                (acc["i"] + 1).alias("i"),
-                F.concat(acc["out"], F.array(span)).alias("out"),
-            )
 
-        return F.aggregate(found, start, add, lambda acc: acc["out"])
+    def span(value: Column, stop: Column) -> Column:
+        return F.struct(
+            F.lit(no).alias("no"),
+            F.lit(kind).alias("kind"),
+            (stop - F.length(value)).alias("start"),
+            stop.alias("stop"),
+            value.alias("value"),
+        ).cast(SPAN)
+
+    def spans(found: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+        sizes = F.zip_with(gaps, found, lambda gap, value: F.length(gap) + F.length(value))
+        return F.zip_with(found, _running(sizes, _add), span)
 
-    return _let(between, spans)
+    return _let(F.regexp_extract_all(text, pattern, F.lit(0)), spans)
 
 
 def base_spans(text: Column) -> Column:
@@ -147,98 +192,193 @@ def _entity(span: Column) -> Column:
     return F.concat(span["kind"], F.lit(":"), plain)
 
 
-def _terms(line: Column) -> Column:
-    """Different terms of a line outside its matches."""
-    rest = line
+def _rewritten(text: Column, spans: Column, label) -> Column:
+    """The text with label(span, before) in place of its spans, in order of their start.
+
+    `before` is how far the spans in front reach. The text is cut into blocks of about
+    the root of the number of spans first, as cutting costs what lies in front.
+    """
+
+    def cut(all_: Column, reach: Column) -> Column:
+        width = _block(all_)
+
+        def before(i: Column) -> Column:
+            return F.coalesce(F.get(reach, i - 1), F.lit(0))
+
+        def block(first: Column) -> Column:
+            begin, last = before(first), F.least(first + width, F.size(all_))
+            part = F.substring(text, begin + 1, before(last) - begin)
+
+            def piece(rest: Column, head: Column) -> Column:
+                def one(s: Column, j: Column) -> Column:
+                    return _let(
+                        before(first + j),
+                        lambda b: F.concat(
+                            F.substring(rest, b - head + 1, F.greatest(s["start"] - b, F.lit(0))),
+                            label(s, b),
+                        ),
+                    )
+
+                return F.array_join(F.transform(F.slice(all_, first + 1, width), one), "")
+
+            return _let(part, lambda rest: _let(begin, lambda head: piece(rest, head)))
+
+        firsts = F.sequence(F.lit(0), F.size(all_) - 1, width)
+        return F.concat(
+            F.array_join(F.transform(firsts, block), ""),
+            F.substring(text, before(F.size(all_)) + 1, F.length(text)),
+        )
+
+    ordered = F.sort_array(
+        F.transform(
+            spans,
+            lambda s: F.struct(
+                s["start"].alias("start"), s["no"].alias("no"), s["stop"].alias("stop"),
+                s["kind"].alias("kind"), s["value"].alias("value"),
+            ),
+        )
+    )
+    whole = _let(
+        ordered,
+        lambda all_: _let(
+            _running(F.transform(all_, lambda s: s["stop"]), F.greatest),
+            lambda reach: cut(all_, reach),
+        ),
+    )
+    return F.when(F.size(spans) > 0, whole).otherwise(text)
+
+
+def _masked(text: Column, spans: Column) -> Column:
+    """The text with a space for every character of its spans."""
+
+    def blank(s: Column, before: Column) -> Column:
+        return F.repeat(F.lit(" "), F.greatest(s["stop"], before) - F.greatest(s["start"], before))
+
+    return _rewritten(text, spans, blank)
+
+
+def _words(text: Column) -> Column:
+    """Different terms of a text."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
+
+
+def _terms(piece: Column) -> Column:
+    """Different terms of a piece outside all matches, failing ones included."""
+    rest = piece
     for pattern in PATTERNS.values():
         rest = F.regexp_replace(rest, pattern, " ")
-    return F.array_distinct(F.regexp_extract_all(F.lower(rest), F.lit(TERM), F.lit(0)))
+    return _words(rest)
+
+
+def _pieces(text: Column, size: int) -> Column:
+    """Lines that are not empty; those longer than `size` are cut, at spaces if possible."""
+    pattern = rf"[^\n]{{1,{size}}}(?![^\x20\n])|[^\n]{{1,{size}}}"
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+
+
+def _contexts(text: Column, size: int) -> Column:
+    """(piece, context) for the pieces that may hold an entity."""
+
+    def of(pieces: Column) -> Column:
+        places = F.sequence(F.lit(0), F.greatest(F.size(pieces) - 1, F.lit(0)))
+        hinted = F.filter(
+            places, lambda i: F.get(pieces, i).rlike(r"[@+]|[0-9][\x20.-]?[0-9]")
+        )
+        return F.transform(
+            hinted,
+            lambda i: F.struct(
+                F.get(pieces, i).alias("piece"),
+                F.concat_ws(
+                    "\n", F.get(pieces, i - 1), F.get(pieces, i), F.get(pieces, i + 1)
+                ).alias("context"),
+            ),
+        )
+
+    return _let(_pieces(text, size), of)
 
 
 def disclosing_terms(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
-    """Rows (doc_id, text_hash, terms): terms to hide in a document that has any.
+    """The terms that disclose an entity, one row (term) each.
 
-    The corpus is read twice: for lines with an entity, and to count the terms in
-    question over all lines. Counting is pre-aggregated in every task.
+    The corpus is read three times: for contexts of entities, to number the pieces,
+    and to count the terms of all pieces, pre-aggregated in every task. Copies of a
+    context are one weighted row before its terms are paired with its entities.
     """
-    text = text_of()
-    lines = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), text.alias("text")).select(
-        "doc_id", "text_hash", F.explode(F.split("text", "\n")).alias("line")
-    )
-    # A line without any hint has no entity.
-    hint = F.col("line").rlike(r"[@+]|[0-9][\x20.-]?[0-9]")
+    texts = docs.select(text_of().alias("text"))
+    pieces = texts.select(F.explode(_pieces(F.col("text"), rule.piece)).alias("piece"))
+    n = float(max(pieces.count(), 1))
     meeting = written(
-        lines.filter(hint)
-        .withColumn("spans", base_spans(F.col("line")))
-        .filter(F.size("spans") > 0)
+        texts.select(F.explode(_contexts(F.col("text"), rule.piece)).alias("c"))
         .select(
-            "doc_id",
-            "text_hash",
-            F.xxhash64("line").alias("line_hash"),
-            F.array_distinct(F.transform("spans", _entity)).alias("entities"),
-            _terms(F.col("line")).alias("terms"),
-        ),
-        "pii-lines",
-    )
-    entities = (
-        meeting.select("line_hash", F.explode("entities").alias("entity"))
-        .groupBy("entity", "line_hash")
+            "c.context",
+            F.explode(
+                F.array_distinct(F.transform(base_spans(F.col("c.piece")), _entity))
+            ).alias("entity"),
+        )
+        .groupBy("context", "entity")
         .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("entity")
-        .agg(F.sum("n").alias("n_e"), F.count(F.lit(1)).alias("different"))
-        .filter(F.col("different") >= rule.lines)
-        .select("entity", "n_e")
+        .groupBy("context")
+        .agg(F.collect_list(F.struct("entity", "n")).alias("entities"))
+        .select(F.explode("entities").alias("e"), _terms(F.col("context")).alias("terms"))
+        .select("e.entity", "e.n", "terms"),
+        "pii-contexts",
     )
-    together = written(
-        meeting.withColumn("entity", F.explode("entities"))
-        .join(entities, "entity")
-        .select("doc_id", "text_hash", "entity", "n_e", F.explode("terms").alias("term")),
-        "pii-pairs",
+    entities = (
+        meeting.groupBy("entity")
+        .agg(F.sum("n").alias("n_e"))
+        # What an estimate must pass to tell the share: p N / n(e) > (N / n(e)) ** share.
+        .withColumn("least", F.pow(F.col("n_e") / F.lit(n), F.lit(1.0 - rule.share)))
     )
     pairs = written(
-        together.groupBy("entity", "n_e", "term")
-        .agg(F.count(F.lit(1)).alias("n_et"))
-        .filter(F.col("n_et") >= rule.lines),
+        meeting.select("entity", "n", F.explode("terms").alias("term"))
+        .groupBy("entity", "term")
+        .agg(F.sum("n").alias("n_et"), F.count(F.lit(1)).alias("d_et"))
+        .withColumn("sure", F.col("d_et") / (F.col("d_et") + 1))
+        .join(entities, "entity")
+        .filter((F.col("n_e") < n) & (F.col("sure") > F.col("least"))),
         "pii-candidates",
     )
-    worded = lines.filter(F.col("line").rlike(WORD))
     counted = written(
         # Counted first: what is joined is a row for each term, not for each occurrence.
-        worded.select(F.explode(_terms(F.col("line"))).alias("term"))
+        pieces.select(F.explode(_terms(F.col("piece"))).alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n_t"))
         .join(pairs.select("term").distinct(), "term", "left_semi"),
         "pii-terms",
     )
-    n = worded.count()
-    told = F.log2(F.col("n_et") * F.lit(float(n)) / (F.col("n_e") * F.col("n_t")))
-    carried = F.log2(F.lit(float(max(n, 1))) / F.col("n_e"))
-    flagged = (
-        pairs.join(counted, "term")
-        .filter((carried > 0) & (told > rule.share * carried))
-        .select("entity", "term")
-    )
+    # A term may stand in more contexts than pieces, as contexts overlap.
+    chance = F.least(F.col("n_et") / F.col("n_t"), F.lit(1.0)) * F.col("sure")
+    return pairs.join(counted, "term").filter(chance > F.col("least")).select("term").distinct()
+
+
+def flagged_terms(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
+    """Rows (doc_id, text_hash, terms): disclosing terms of the documents that hold any."""
+    flagged = written(disclosing_terms(docs, rule), "pii-flagged")
+    if flagged.count() <= BROADCAST_TERMS:
+        flagged = F.broadcast(flagged)
+    text = text_of()
     return (
-        together.join(flagged, ["entity", "term"])
+        docs.select(
+            "doc_id",
+            F.xxhash64(text).alias("text_hash"),
+            F.explode(_words(_masked(text, base_spans(text)))).alias("term"),
+        )
+        .join(flagged, "term", "left_semi")
         .groupBy("doc_id", "text_hash")
         .agg(F.sort_array(F.collect_set("term")).alias("terms"))
     )
 
 
-def _overlaps(span: Column, others: Column) -> Column:
-    return F.exists(others, lambda o: (o["start"] < span["stop"]) & (span["start"] < o["stop"]))
-
-
 def find_personal_data(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
     """All columns of the documents, and pii_base and pii_spans after them.
 
     pii_base has the spans of the patterns by kind and start; pii_spans those and
-    the terms that disclose. Spans are (no, kind, start, stop, value) in code
-    points. Takes doc_id and text; columns of these two names are replaced.
-    Terms belong to the very text they were found in, so documents that share an
-    id do not mix. A null text counts as empty and has no span.
+    the terms that disclose, wherever they stand outside the former. Spans are
+    (no, kind, start, stop, value) in code points. Takes doc_id and text; columns of
+    these two names are replaced. Terms belong to the very text they were found in, so
+    documents that share an id do not mix. A null text counts as empty and has no span.
     """
-    terms = written(disclosing_terms(docs, rule), "pii-flagged").select(
+    terms = written(flagged_terms(docs, rule), "pii-documents").select(
         F.col("doc_id").alias("_pii_id"), F.col("text_hash").alias("_pii_hash"), F.col("terms").alias("_pii_terms")
     )
     kept = docs.drop("pii_base", "pii_spans")
@@ -248,9 +388,8 @@ def find_personal_data(docs: DataFrame, rule: Disclosure = Disclosure()) -> Data
         F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join("_pii_terms", "|"), F.lit(r")(?![\p{L}\p{N}])")
     )
     none = F.array().cast(f"array<{SPAN}>")
-    term_spans = F.filter(
-        _all_matches(text, pattern, len(KINDS), TERM_KIND),
-        lambda s: ~_overlaps(s, F.col("pii_base")),
+    term_spans = _all_matches(
+        _masked(text, F.col("pii_base")), pattern, len(KINDS), TERM_KIND
     )
     return (
         kept.join(terms, same, "left")
@@ -276,31 +415,9 @@ def _label(span: Column) -> Column:
 
 def redacted(text: Column, spans: Column) -> Column:
     """The text with its spans hidden; of overlapping ones the first names them all."""
-    ordered = F.sort_array(
-        F.transform(
-            spans,
-            lambda s: F.struct(
-                s["start"].alias("start"), s["no"].alias("no"), s["stop"].alias("stop"),
-                s["kind"].alias("kind"), s["value"].alias("value"),
-            ),
-        )
-    )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def add(acc: Column, s: Column) -> Column:
-        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        more = F.concat(acc["out"], F.array(gap, _label(s)))
-        return F.struct(
-            F.greatest(acc["at"], s["stop"]).alias("at"),
-            F.when(s["start"] >= acc["at"], more).otherwise(acc["out"]).alias("out"),
-        )
-
-    def end(acc: Column) -> Column:
-        return F.array_join(
-            F.concat(acc["out"], F.array(F.substring(text, acc["at"] + 1, F.length(text)))), ""
-        )
-
-    return F.when(F.size(spans) > 0, F.aggregate(ordered, start, add, end)).otherwise(text)
+    return _rewritten(
+        text, spans, lambda s, before: F.when(s["start"] >= before, _label(s)).otherwise(F.lit(""))
+    )
 
 
 def sanitise(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
