@@ -41,7 +41,7 @@ KINDS = tuple(PATTERNS)
 TERM_KIND = "term"
 #: Words of three or more letters or digits; of scripts without letter case, any length.
 TERM = r"[\p{L}\p{N}]{3,}|\p{Lo}+"
-#: Flagged terms up to this number (about 40 MB) are broadcast, more are joined by shuffle.
+#: Rows and terms up to this number (about 40 MB) are broadcast, more are joined by shuffle.
 BROADCAST_TERMS = 500_000
 
 SPAN = "struct<no:int,kind:string,start:int,stop:int,value:string>"
@@ -381,6 +381,10 @@ def find_personal_data(docs: DataFrame, rule: Disclosure = Disclosure()) -> Data
     terms = written(flagged_terms(docs, rule), "pii-documents").select(
         F.col("doc_id").alias("_pii_id"), F.col("text_hash").alias("_pii_hash"), F.col("terms").alias("_pii_terms")
     )
+    held = terms.agg(F.coalesce(F.sum(F.size("_pii_terms") + 1), F.lit(0))).first()[0]
+    if held <= BROADCAST_TERMS:
+        # The texts stay where they are.
+        terms = F.broadcast(terms)
     kept = docs.drop("pii_base", "pii_spans")
     text = text_of()
     same = kept["doc_id"].eqNullSafe(terms["_pii_id"]) & (F.xxhash64(text) == terms["_pii_hash"])
