@@ -180,7 +180,7 @@ def test_term_spans_against_plain_ones(spark):
     texts = [None, "", "\n\n", "zeb@x.orgéé Kim 1.2.3.4@x.yz Kim", "x" * 300]
     for _ in range(250):
         name = draw.choice(names)
-        found = [f"{name} {name.lower()}@x.org", "+49 (30) 1234567", f"{name.upper()}, 10.0.0.{len(name)}"]
+        found = [f"{name} {name.lower()}@x.org", "+49 (30) 1234567", f"{name.upper()}: {name.lower()}@x.org"]
         words = draw.choices(common, k=draw.randint(2, 40)) + draw.choices(found, k=draw.randint(0, 3))
         words += [f"w{draw.randint(0, 400)}"]
         draw.shuffle(words)
