@@ -15,6 +15,11 @@ class Folder:
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         self._fs = self._path_class(path).getFileSystem(conf)
 
+    @property
+    def scheme(self) -> str:
+        """Of the file system that the path is on, named there or by default."""
+        return self._fs.getUri().getScheme()
+
     def _at(self, name: str):
         return self._path_class(f"{self.path}/{name}" if name else self.path)
 
