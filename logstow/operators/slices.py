@@ -64,8 +64,9 @@ class SliceStats:
     """Facts about a slice, or a group of them, however it is entered.
 
     first_clock: latest arrival in the (first) slice.
-    bytes: None for a group, whose summary only covers chunks that close in
-        its first slice.
+    bytes: None for a group under a size limit, whose summary only covers chunks
+        that close in its first slice. Without one, a group's facts are those of
+        all its slices, `first_clock` too.
     """
 
     slice: int
@@ -411,7 +412,11 @@ def _combine(stats: dict[Unit, SliceStats], rule: ChunkRule):
                 state = (summary["exit_start"], size, summary["exit_commit"], size >= 0)
             else:
                 *passed, known = pass_unit(*state[:3], stats[unit], summary, rule)
-                state = (*passed, known & state[3])
+                settled = state[3]
+                if rule.max_bytes is None and rule.interval_ms is not None:
+                    # The timer fires here whatever is open, so what it leaves is known.
+                    settled = settled | (stats[unit].first_clock > state[2] + rule.interval_ms)
+                state = (*passed, known & settled)
         if line is not None:
             yield batch_of(line, first, state)
 
@@ -600,10 +605,14 @@ def resolve_entries(
     if all(len(g) == 1 for g in groups.values()):
         entries, _ = within_groups({(h, groups[(h, z)][0]): c for (h, z), c in begins.items()})
     else:
+        # Where only the timer closes chunks, a group in which it does not fire adds its
+        # bytes to the open chunk, however many groups the chunk spans.
+        timer_only = rule.max_bytes is None
         group_stats = {
             (hot_id, 0, group): replace(
                 parts[0],
-                bytes=None,
+                bytes=sum(p.bytes for p in parts) if timer_only else None,
+                first_clock=parts[-1].last_clock if timer_only else parts[0].first_clock,
                 last_offset=parts[-1].last_offset,
                 last_clock=parts[-1].last_clock,
             )

@@ -115,6 +115,21 @@ def test_timer_alone_does_not_cost_a_job_per_slice(spark, monkeypatch):
     assert len(jobs) <= 4 * 3 + 2
 
 
+@pytest.mark.parametrize("interval", [700, 53, 5])
+def test_chunk_of_the_timer_may_span_groups(spark, monkeypatch, interval):
+    # With 700 a chunk has several groups of slices; none of them is folded on its own.
+    rows = [("t", 0, p, i * 3, i % 4, 1000 + 5 * i, 0) for p in (0, 1) for i in range(1, 1200)]
+    rule, jobs, fold = ChunkRule(None, interval, 1000), [], slices.fold_slices
+
+    def counted(*args):
+        jobs.append(args)
+        return fold(*args)
+
+    monkeypatch.setattr(slices, "fold_slices", counted)
+    assert planned(spark, rows, rule, 20, 2) == expected(rows, rule)
+    assert len(jobs) <= 2
+
+
 def test_slices_hold_whole_chunks(spark):
     rows = [("t", 0, 0, i, 10, 1000, 0) for i in range(1, 900)]
     sizes = spark.createDataFrame([(0, r[3], r[4]) for r in rows], "id int, offset long, size int")
