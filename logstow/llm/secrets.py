@@ -186,6 +186,28 @@ class Automaton:
         return total + math.log2((self.ended[state] + 0.5) / n)
 
 
+    def walk(self) -> dict:
+        """The start state, for `bits_along`: what each symbol costs and where it leads,
+        and under the empty symbol what it costs to end."""
+        states: list[dict] = [{} for _ in self.arrived]
+        for i, state in enumerate(states):
+            n = self.arrived[i] + 0.5 * (len(CLASSES) + 1)
+            for symbol, width in CLASS_BITS.items():
+                cost = math.log2((self.taken[i].get(symbol, 0) + 0.5) / n) - width
+                state[symbol] = (cost, states[self.next[i].get(symbol, i)])
+            state[""] = math.log2((self.ended[i] + 0.5) / n)
+        return states[0]
+
+
+def bits_along(state: dict, classes: str) -> float:
+    """`Automaton.bits`, with every logarithm taken beforehand."""
+    total = 0.0
+    for symbol in classes:
+        cost, state = state[symbol]
+        total += cost
+    return total + state[""]
+
+
 def infer(strings: Iterable[str], alpha: float) -> Automaton:
     tree = Automaton()
     for s in sorted(set(strings)):
@@ -287,11 +309,23 @@ def learn_grammars(docs: DataFrame, how: Inference = Inference()) -> Grammars:
 
 
 def remembering(grammars: Grammars) -> Callable[[str], float]:
-    """The score, kept for the short tokens seen last: words of running text repeat."""
-    short = lru_cache(REMEMBERED)(grammars.score)
+    """The score, kept for the short tokens seen last: words of running text repeat, and
+    still more so do their classes, which are all that a score depends on."""
+    formats = [a.walk() for a in grammars.formats.values()]
+    ordinary = [a.walk() for a in grammars.ordinary.values()]
+    even = -math.log2(sum(map(len, CLASSES.values())))
+
+    def of_classes(classes: str) -> float:
+        best = max((bits_along(a, classes) for a in formats), default=-math.inf)
+        return best - max((bits_along(a, classes) for a in ordinary), default=even * len(classes))
+
+    kept = lru_cache(REMEMBERED)(of_classes)
+    short = lru_cache(REMEMBERED)(lambda token: kept(token.translate(TO_CLASS)))
 
     def score(token: str) -> float:
-        return short(token) if len(token) <= REMEMBERED_LENGTH else grammars.score(token)
+        if len(token) <= REMEMBERED_LENGTH:
+            return short(token)
+        return of_classes(token.translate(TO_CLASS))
 
     return score
 

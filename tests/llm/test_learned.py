@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from logstow.llm import secrets
 from logstow.llm.language_id import (
     Classifier, Training, identify, language_id, learn_languages, letters_only,
 )
@@ -284,3 +285,15 @@ def test_inferred_automaton_is_small_and_a_distribution():
     assert grammars.score("ab01ab01ab01") > 0 > grammars.score("xylophones")
     assert infer([], 0.05).arrived == [0]
     assert base_matches("") == [] and Inference().values == 500
+
+
+def test_remembered_scores_are_those_of_the_automata():
+    words = [f"{a}{b}" for a in ("lorem", "ipsum", "dolor") for b in ("es", "ado", "iendo", "amus")]
+    keys = [hashlib.md5(str(i).encode()).hexdigest() for i in range(40)]
+    grammars = secrets.Grammars(
+        {"hex": secrets.infer(keys, 0.05)}, {"word": secrets.infer(words, 0.05)}
+    )
+    tokens = [*words, *keys, "AKIA" + "X9" * 60, "a.b_c/d=", "++++++"]
+    for known in (grammars, secrets.Grammars({}, grammars.ordinary), secrets.Grammars(grammars.formats, {})):
+        score = secrets.remembering(known)
+        assert [score(t) for t in tokens] == [known.score(t) for t in tokens]
