@@ -33,10 +33,10 @@ from logstow.llm.tables import release, slices, text_of, written
 LENGTH, REACH = 200, 152
 WINDOW = 16  # bytes of the rolling hash
 BLOCK = 1 << 20  # starts parsed at a time, so that long texts take little memory
-#: Entries of one seed that are sorted together; seeds with more go by hash.
+#: Entries of one seed that are sorted together; seeds with more go by hash first.
 TOGETHER = 500
-#: Starts in a run of those, level by level.
-RUNS = (8, 1)
+#: Starts in a run of those, level by level; each length divides the one before.
+RUNS = (48, 12, 3, 1)
 
 _SEED_BYTES = LENGTH - REACH + 1
 _FACTOR = 0x9E3779B97F4A7C15
@@ -257,17 +257,21 @@ def _span(rows: list[tuple], run_of: list[int]) -> tuple[int, int, int, int]:
 
 
 def _runs(entries: DataFrame, size: int) -> DataFrame:
-    """Entries cut into runs of `size` starts, counted back from the trigger, with a
-    hash of 128 bits of what the run's strings can see."""
-    names = ["seed", "slot", "high", "low", "n", "doc", "text_hash", "first", "distance", "data"]
+    """Entries cut into runs of `size` starts, counted back from the trigger.
+
+    The seed of a run is a hash of the bytes that all strings of its place hold, so
+    runs of different seeds share no string. high and low are a hash of 128 bits of
+    what the run's strings can see.
+    """
+    names = ["seed", "high", "low", "n", "doc", "text_hash", "first", "distance", "data"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_128_intdigest
+        seed_of, digest = xxhash.xxh3_64_intdigest, xxhash.xxh3_128_intdigest
         for batch in slices(batches):
             for at in range(0, batch.num_rows, 512):
                 found = []
                 part = batch.slice(at, 512)
-                for seed, n, doc, text_hash, first, distance, data in zip(
+                for n, doc, text_hash, first, distance, data in zip(
                     *(c.to_pylist() for c in part.columns), strict=True
                 ):
                     i, starts = 0, len(data) - LENGTH + 1
@@ -275,18 +279,22 @@ def _runs(entries: DataFrame, size: int) -> DataFrame:
                         slot = (distance - i) // size
                         stop = min(starts, distance - slot * size + 1)
                         piece = data[i : stop - 1 + LENGTH]
+                        # From the place's last start on, to the end of its first string.
+                        farthest = min((slot + 1) * size, REACH) - 1
+                        core = data[distance - slot * size : distance - farthest + LENGTH]
+                        seed = seed_of(core, slot) - (1 << 63)
                         both = digest(piece, distance - i)
                         high, low = (x - (1 << 63) for x in divmod(both, 1 << 64))
                         where = (doc, text_hash, first + i, distance - i)
-                        found.append((seed, slot, high, low, n, *where, piece))
+                        found.append((seed, high, low, n, *where, piece))
                         i = stop
-                kinds = [pa.int64()] * 9 + [pa.binary()]
+                kinds = [pa.int64()] * 8 + [pa.binary()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[i] for r in found], k) for i, k in enumerate(kinds)],
                     names=names,
                 )
 
-    columns = ["seed", "n", "doc", "text_hash", "first", "distance", "data"]
+    columns = ["n", "doc", "text_hash", "first", "distance", "data"]
     schema = ", ".join(f"{c} long" for c in names[:-1]) + ", data binary"
     return entries.select(*columns).mapInArrow(run, schema)
 
@@ -294,21 +302,22 @@ def _runs(entries: DataFrame, size: int) -> DataFrame:
 def _hashed_runs(entries: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
     """The same as `_sorted_groups` for seeds with many entries.
 
-    Runs of several starts are looked up first, and only one of each kind is cut
-    further, where its slot has a run that was seen once. Nothing of a seed needs
-    to be in one task.
+    Entries are cut into a few long runs, which have seeds of their own. A run found
+    twice is settled, and so is one whose seed nothing else has. Of the others one of
+    each kind goes on: to the sorted groups where its seed has become rare enough, else
+    to be cut further. An entry between a text of its own and a common passage goes on
+    with the one run that holds the border. Nothing of a seed needs to be in one task.
     """
     runs = written(_runs(entries, sizes[0]), "suffix-runs")
+    kind = ["seed", "high", "low"]
     seen = F.struct("n", "doc", "text_hash", "first", "distance", "data")
     kinds = written(
-        runs.groupBy("seed", "slot", "high", "low").agg(
-            F.count(F.lit(1)).alias("found"), F.min(seen).alias("seen")
-        ),
+        runs.groupBy(*kind).agg(F.count(F.lit(1)).alias("found"), F.min(seen).alias("seen")),
         "suffix-kinds",
     )
     spans = (
         runs.filter("n = 1")
-        .join(kinds.filter("found > 1").select("seed", "high", "low"), ["seed", "high", "low"])
+        .join(kinds.filter("found > 1").select(*kind), kind)
         .select(
             "doc",
             "text_hash",
@@ -319,14 +328,25 @@ def _hashed_runs(entries: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
     if len(sizes) == 1:
         return spans
     single = F.when(F.col("found") == 1, F.col("seen.n")).otherwise(F.lit(2))
-    open_slots = written(
-        kinds.groupBy("seed", "slot").agg(F.min(single).alias("least")).filter("least = 1"),
-        "suffix-slots",
+    open_seeds = written(
+        kinds.groupBy("seed")
+        .agg(F.count(F.lit(1)).alias("classes"), F.min(single).alias("least"))
+        .filter("least = 1 AND classes > 1")
+        .select("seed", "classes"),
+        "suffix-open",
     )
-    rest = kinds.join(open_slots.select("seed", "slot"), ["seed", "slot"]).select(
-        "seed", single.alias("n"), *(f"seen.{c}" for c in ("doc", "text_hash", "first", "distance", "data"))
+    rest = kinds.join(open_seeds, "seed").select(
+        "seed",
+        "classes",
+        single.alias("n"),
+        *(f"seen.{c}" for c in ("doc", "text_hash", "first", "distance", "data")),
+    )
+    spans = spans.unionByName(_sorted_groups(rest.filter(F.col("classes") <= TOGETHER)))
+    if open_seeds.filter(F.col("classes") > TOGETHER).isEmpty():
+        return spans
+    return spans.unionByName(
+        _hashed_runs(rest.filter(F.col("classes") > TOGETHER), sizes[1:])
     )
-    return spans.unionByName(_hashed_runs(rest, sizes[1:]))
 
 
 def repeated_starts(docs: DataFrame) -> DataFrame:

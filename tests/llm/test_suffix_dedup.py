@@ -81,3 +81,26 @@ def test_equal_strings_have_equal_triggers():
     whole, alone = trigger_of(left + inner + right), trigger_of(inner)
     assert (whole[333 : 333 + 401] - 333 == alone).all()
     assert len(sd.parse(b"x" * 199)[0]) == 0
+
+
+def test_many_entries_of_a_seed_are_cut_into_few_runs(spark, monkeypatch):
+    """A passage in many texts has seeds with an entry for each of them."""
+    rng, made, real = random.Random(7), [], sd._runs
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage, near = word(900), word(700)
+    rows = [(i, word(260) + passage + word(260)) for i in range(60)]
+    for i in range(60, 100):
+        at = rng.randint(0, 690)
+        rows.append((i, near[:at] + word(4) + near[at + 4 :]))
+
+    def counted(entries, size):
+        runs = real(entries, size)
+        made.append((entries.count(), runs.count()))
+        return runs
+
+    monkeypatch.setattr(sd, "TOGETHER", 8)
+    monkeypatch.setattr(sd, "_runs", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert by_id(sd.suffix_dedup(df).collect()) == brute(rows)
+    assert made[0][0] >= 100
+    assert sum(n for _, n in made) <= 20 * made[0][0]
