@@ -13,6 +13,7 @@ from logstow.plans.archive_run import current_starts
 from logstow.sources.archive import read_catalog
 from logstow.plans.daemon import Supervisor
 from logstow.sources.tables import file_range_reader, message_stream
+from logstow.streaming import archive_stream
 from logstow.streaming.archive_stream import (
     STATE_STORE, closing_chunks, fire_timer, in_order, listen, start_archive,
 )
@@ -400,3 +401,20 @@ def test_a_replayed_batch_is_counted_once(spark, tmp_path, monkeypatch):
     assert tuple(total) == (
         len(planned), sum(c.message_count for c in planned), sum(c.message_bytes for c in planned)
     )
+
+
+def test_closed_chunks_are_walked_in_the_callers_session(spark, tmp_path, monkeypatch):
+    """A micro-batch's own session plans without adaptive execution: sorted chunks would
+    be fetched by a job for every shuffle partition."""
+    seen, real = [], archive_stream.write_chunks
+
+    def watched(log, chunks, *rest, **named):
+        seen.append(chunks.sparkSession.conf.get("spark.sql.adaptive.enabled"))
+        return real(log, chunks, *rest, **named)
+
+    monkeypatch.setattr(archive_stream, "write_chunks", watched)
+    paths = [str(tmp_path / d) for d in ("log", "base", "state")]
+    messages_of(spark, sample_log(30)).coalesce(1).write.parquet(paths[0])
+    run_stream(spark, paths, ChunkRule(60, None))
+    assert object_names(paths[1]) != []
+    assert set(seen) == {spark.conf.get("spark.sql.adaptive.enabled")} == {"true"}
