@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+
 from pyspark.sql import SparkSession
 
 
 class Folder:
-    """A folder on whatever file system its path names."""
+    """A folder on whatever file system its path names.
+
+    On a file system of the machine, what is asked for once per object, `exists` and
+    `rename`, does without calls into the JVM.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -14,6 +21,9 @@ class Folder:
         self._path_class = spark._jvm.org.apache.hadoop.fs.Path
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         self._fs = self._path_class(path).getFileSystem(conf)
+        self._local = None
+        if self.scheme == "file":
+            self._local = self._fs.makeQualified(self._at("")).toUri().getPath()
 
     @property
     def scheme(self) -> str:
@@ -24,6 +34,8 @@ class Folder:
         return self._path_class(f"{self.path}/{name}" if name else self.path)
 
     def exists(self, name: str = "") -> bool:
+        if self._local:
+            return os.path.exists(f"{self._local}/{name}")
         return self._fs.exists(self._at(name))
 
     def names(self) -> list[str]:
@@ -36,6 +48,12 @@ class Folder:
         self._fs.mkdirs(self._at(name))
 
     def rename(self, source: str, target: str) -> bool:
+        if self._local:
+            source, target = f"{self._local}/{source}", f"{self._local}/{target}"
+            if os.path.exists(target):
+                return False
+            shutil.move(source, target)
+            return True
         return self._fs.rename(self._at(source), self._at(target))
 
     def delete(self, name: str = "") -> None:

@@ -66,3 +66,17 @@ def test_jobs_and_tasks_are_bounded(monkeypatch):
     jobs = list(jobs_of([[c] for c in chunks]))
     assert [len(j) for j in jobs] == [2, 1, 1, 3]
     assert [w for j in jobs for w in j] == [[c] for c in chunks]
+
+
+def test_local_objects_are_renamed_without_the_jvm(spark, tmp_path):
+    folder = Folder(spark, f"file://{tmp_path}")
+    (tmp_path / "a").write_text("new")
+    (tmp_path / "there").write_text("old")
+    folder._fs = folder._path_class = None
+    assert folder.exists("a") and not folder.exists("b")
+    assert not folder.rename("a", "there")
+    assert (tmp_path / "there").read_text() == "old"
+    assert folder.rename("a", "b")
+    assert not folder.exists("a") and (tmp_path / "b").read_text() == "new"
+    with pytest.raises(FileNotFoundError):
+        folder.rename("a", "c")
