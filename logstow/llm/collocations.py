@@ -7,10 +7,13 @@ both phrases it is made of, without its last and without its first word, have re
 the threshold, and for one full cycle: so lengths are counted side by side. Counting
 ends when no phrase that has come up is short of its cycle.
 
-Counters are kept by a hash of the phrase. What may be counted is told to the tasks by
+Counters are kept by a hash of the phrase, and dealt out by its first bits into buckets:
+a row holds a run of counters, so what is shuffled and summed are runs, not single
+counters. What may be counted is told to the tasks by
 bit arrays of bounded size over the hashes that have reached the threshold. Hashes
 that meet and bits that say yes too often make counts larger, never smaller, so what
-falls short is rightly left out; a last scan counts the words of what remains exactly.
+falls short is rightly left out; a last scan counts the words of what remains exactly,
+in runs of phrases by the same buckets.
 """
 
 from __future__ import annotations
@@ -45,6 +48,12 @@ _KIND[list(ENDS)] = PIECE_END
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
+#: A phrase's counter: the step it was begun in, and the one it reached the threshold in
+#: or -1.
+COUNTER = np.dtype([("hash", "<u8"), ("n", "<i8"), ("size", "<i2"), ("seen", "<i2"), ("reach", "<i2")])
+#: Counters in a row of the state at most.
+RUN = 1 << 12
+
 STEP, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD)
 
 @dataclass(frozen=True)
@@ -93,6 +102,14 @@ def _holds(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return is_set(first) & is_set(second)
 
 
+def _sums(letters: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A hash, not yet scattered, of the bytes between each two bounds, which are not equal."""
+    sizes = np.diff(bounds)
+    place = np.arange(len(letters)) - np.repeat(bounds[:-1], sizes)
+    powers = np.cumprod(np.full(int(sizes.max()) + 1, STEP))
+    return np.add.reduceat((letters.astype(np.uint64) + np.uint64(1)) * powers[place], bounds[:-1])
+
+
 class Words:
     """The words of some texts.
 
@@ -114,7 +131,9 @@ class Words:
         starts = np.flatnonzero(starting)
         self.letters = data[is_word]
         self.bounds = np.append((np.cumsum(is_word, dtype=np.int32) - 1)[starts], len(self.letters))
-        doc = np.searchsorted(begins, starts, "right") - 1
+        first = np.searchsorted(starts, begins)
+        self.words = np.diff(first)
+        doc = np.repeat(np.arange(len(texts)), self.words)
         ends = np.cumsum(kind == PIECE_END, dtype=np.int32)[starts] + doc.astype(np.int32)
         # One 0 wherever something ends between two words, and after each text.
         breaks = np.diff(ends, prepend=ends[:1]) > 0
@@ -122,18 +141,13 @@ class Words:
         self.code = np.zeros(len(starts) + int(breaks.sum()) + 1, np.uint32)
         self.code[self.at] = self._numbers(np.array([_seed(lang) for lang in langs], np.uint64)[doc])
         #: Where in code each text begins.
-        first = np.searchsorted(doc, np.arange(len(texts)))
-        self.begins = np.append(self.at, len(self.code))[first]
-        self.words = np.bincount(doc, minlength=len(texts))
+        self.begins = np.append(self.at, len(self.code))[first[:-1]]
         self.doc = doc
 
     def _numbers(self, seeds: np.ndarray) -> np.ndarray:
         if not len(seeds):
             return np.zeros(0, np.uint32)
-        sizes = np.diff(self.bounds)
-        place = np.arange(len(self.letters)) - np.repeat(self.bounds[:-1], sizes)
-        powers = np.cumprod(np.full(int(sizes.max()) + 1, STEP))
-        sums = np.add.reduceat((self.letters.astype(np.uint64) + np.uint64(1)) * powers[place], self.bounds[:-1])
+        sums = _sums(self.letters, self.bounds)
         return np.maximum(_scattered(sums ^ seeds) >> np.uint64(32), np.uint64(1)).astype(np.uint32)
 
     def spelled(self) -> pa.Array:
@@ -225,13 +239,46 @@ def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         yield np.concatenate(held)
 
 
-def _count_shard(words: bool, filters, longest: int):
+def _bucket_bits(words: int) -> int:
+    """Bits of a hash that tell its bucket, for buckets of about a quarter million words."""
+    return min(24, max(4, (words >> 18).bit_length()))
+
+
+def _buckets(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _runs(values: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The values from each start to the next, as bytes."""
+    bounds = (np.append(starts, len(values)) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(
+        pa.binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(values.tobytes())]
+    )
+
+
+def _values(column: pa.ChunkedArray | pa.Array, dtype) -> np.ndarray:
+    """The values of all runs of a column, one after the other."""
+    runs = [np.frombuffer(v.as_buffer(), dtype) for v in column]
+    return np.concatenate([np.zeros(0, dtype), *runs])
+
+
+def _count_shard(words: bool, filters, longest: int, step: int, bits: int):
+    """Rows (bucket, open, reached) of new counters: a run for each size and bucket."""
+
     def counted(size: int, hashes: np.ndarray) -> pa.RecordBatch:
         distinct, n = np.unique(hashes, return_counts=True)
-        sizes = np.full(len(distinct), size, np.int32)
+        counters = np.empty(len(distinct), COUNTER)
+        counters["hash"], counters["n"], counters["size"] = distinct, n, size
+        counters["seen"], counters["reach"] = step, -1
+        bucket = _buckets(distinct, bits)
+        starts = np.flatnonzero(np.diff(bucket, prepend=-1))
         return pa.RecordBatch.from_arrays(
-            [pa.array(distinct.view(np.int64)), pa.array(sizes), pa.array(n.astype(np.int64))],
-            names=["hash", "size", "n"],
+            [
+                pa.array(bucket[starts].astype(np.int32)),
+                _runs(counters, starts),
+                pa.array([b""] * len(starts), pa.binary()),
+            ],
+            names=["bucket", "open", "reached"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,6 +305,47 @@ def _count_shard(words: bool, filters, longest: int):
     return run
 
 
+def _sum_counters(step: int, cycle: int, least: int, longest: int):
+    """The counters of a bucket after a step.
+
+    Rows (bucket, open, reached, parts, last): runs of counters below the threshold whose
+    cycle goes on, and of those that have reached it; of the latter, how many can be part
+    of a longer phrase, and the step in which the last of these has come up, or -1.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        given = np.concatenate([_values(table.column(c), COUNTER) for c in ("open", "reached")])
+        given = given[np.argsort(given["hash"], kind="stable")]
+        starts = np.flatnonzero(np.append(True, given["hash"][1:] != given["hash"][:-1]))
+        counters = given[starts]
+        counters["n"] = np.add.reduceat(given["n"], starts)
+        counters["size"] = np.minimum.reduceat(given["size"], starts)
+        counters["seen"] = np.minimum.reduceat(given["seen"], starts)
+        counters["reach"] = np.maximum.reduceat(given["reach"], starts)
+        over = counters["n"] >= least
+        counters["reach"][over & (counters["reach"] < 0)] = step
+        going = counters[~over & (counters["seen"] + cycle > step + 1)]
+        reached = counters[over]
+        own, opened, ended = [], [], []
+        for at in range(0, max(len(going), len(reached)), RUN):
+            part = reached[at : at + RUN]
+            reach = part["reach"][part["size"] < longest]
+            own.append((len(reach), int(reach.max(initial=-1))))
+            opened.append(going[at : at + RUN].tobytes())
+            ended.append(part.tobytes())
+        return pa.table(
+            {
+                "bucket": pa.array([table.column("bucket")[0].as_py()] * len(own), pa.int32()),
+                "open": pa.array(opened, pa.binary()),
+                "reached": pa.array(ended, pa.binary()),
+                "parts": pa.array([n for n, _ in own], pa.int64()),
+                "last": pa.array([last for _, last in own], pa.int32()),
+            }
+        )
+
+    return run
+
+
 def _spell(filters, longest: int):
     """Rows (lang, size, phrase, n) of the phrases whose hashes are among the bits."""
 
@@ -299,13 +387,80 @@ def _spell(filters, longest: int):
     return run
 
 
-def _set_bits(n: int, since: int):
-    """Rows (recent, slot, bits) that set the bits of some hashes."""
+#: Spelled phrases that are dealt into buckets together.
+BLOCK_PHRASES = 1 << 18
+
+
+def _deal(spell, bits: int):
+    """Rows (lang, bucket, phrases, n) of what `spell` gives: a language's phrases of a
+    bucket, parted by line feeds, which no word has in it."""
+
+    def dealt(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(batches).combine_chunks()
+        lang = rows.column("lang").combine_chunks().dictionary_encode()
+        phrase = rows.column("phrase").combine_chunks()
+        bounds = np.frombuffer(phrase.buffers()[1], np.int32)[: len(phrase) + 1].astype(np.int64)
+        bucket = _buckets(_scattered(_sums(np.frombuffer(phrase.buffers()[2], np.uint8), bounds)), bits)
+        key = (lang.indices.to_numpy().astype(np.int64) << bits) + bucket
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        starts = np.flatnonzero(np.diff(key, prepend=-1))
+        ends = pa.array(np.append(starts, len(key)).astype(np.int32))
+        runs = pa.ListArray.from_arrays(ends, phrase.take(pa.array(order)))
+        return pa.RecordBatch.from_arrays(
+            [
+                lang.dictionary.take(pa.array(key[starts] >> bits)),
+                pa.array((key[starts] & ((1 << bits) - 1)).astype(np.int32)),
+                pc.binary_join(runs, "\n"),
+                _runs(rows.column("n").to_numpy()[order], starts),
+            ],
+            names=["lang", "bucket", "phrases", "n"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in spell(batches):
+            held.append(batch)
+            n += batch.num_rows
+            if n >= BLOCK_PHRASES:
+                yield dealt(held)
+                held, n = [], 0
+        if n:
+            yield dealt(held)
+
+    return run
+
+
+def _sum_phrases(least: int):
+    """Rows (lang, size, phrase, n) of a language's phrases in a bucket that are frequent."""
+
+    def run(table: pa.Table) -> pa.Table:
+        spelt = pc.list_flatten(pc.split_pattern(table.column("phrases"), "\n"))
+        counted = pa.table({"phrase": spelt, "n": _values(table.column("n"), np.int64)})
+        total = counted.group_by("phrase", use_threads=False).aggregate([("n", "sum")])
+        total = total.filter(pc.greater_equal(total.column("n_sum"), least))
+        size = pc.add(pc.count_substring(total.column("phrase"), " "), 1)
+        return pa.table(
+            {
+                "lang": pa.array([table.column("lang")[0].as_py()] * len(total), pa.string()),
+                "size": size.cast(pa.int32()),
+                "phrase": total.column("phrase"),
+                "n": total.column("n_sum"),
+            }
+        )
+
+    return run
+
+
+def _set_bits(n: int, since: int, below: int):
+    """Rows (recent, slot, bits) that set the bits of what has reached the threshold and
+    has fewer than `below` words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = batch.column("hash").to_numpy().view(np.uint64)
-            new = batch.column("reach").to_numpy() >= since
+            counters = _values(batch.column("reached"), COUNTER)
+            counters = counters[counters["size"] < below]
+            hashes, new = counters["hash"], counters["reach"] >= since
             for recent, chosen in ((False, hashes), (True, hashes[new])):
                 at = np.concatenate(_bits_of(chosen, n))
                 bits = np.left_shift(np.uint64(1), (at & 63).astype(np.uint64))
@@ -317,12 +472,12 @@ def _set_bits(n: int, since: int):
     return run
 
 
-def _filters(reached: DataFrame, count: int, since: int, most: int):
+def _filters(state: DataFrame, count: int, since: int, below: int, most: int):
     """Both bit arrays, for the tasks: 16 bits a phrase, but a bounded number of all."""
     n = min(most, max(1 << 10, 1 << (16 * count - 1).bit_length()))
     rows = (
-        reached.select("hash", "reach")
-        .mapInArrow(_set_bits(n, since), "recent boolean, slot long, bits long")
+        state.select("reached")
+        .mapInArrow(_set_bits(n, since, below), "recent boolean, slot long, bits long")
         .groupBy("recent", "slot")
         .agg(F.bit_or("bits").alias("bits"))
     )
@@ -331,10 +486,11 @@ def _filters(reached: DataFrame, count: int, since: int, most: int):
         recent, slot, bits = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
         for which, array in arrays.items():
             array[slot[recent == which]] = bits[recent == which].view(np.uint64)
-    return reached.sparkSession.sparkContext.broadcast((arrays[False], arrays[True]))
+    return state.sparkSession.sparkContext.broadcast((arrays[False], arrays[True]))
 
 
-STATE = "hash long, size int, n long, seen int, reach int"
+COUNTED = "bucket int, open binary, reached binary"
+STATE = f"{COUNTED}, parts long, last int"
 
 
 def count_phrases(docs: DataFrame, rule: Mining = Mining()) -> tuple[DataFrame, DataFrame]:
@@ -356,47 +512,45 @@ def count_phrases(docs: DataFrame, rule: Mining = Mining()) -> tuple[DataFrame,
         f"{folder}/codes"
     )
     totals = written(codes.groupBy("lang").agg(F.sum("words").alias("n")), "phrase-words")
+    bits = _bucket_bits(totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     state, filters, step = spark.createDataFrame([], STATE), None, 0
     while True:
         counted = (
             codes.filter(F.col("shard") == step % cycle)
             .select("code")
-            .mapInArrow(_count_shard(step < cycle, filters, rule.longest), "hash long, size int, n long")
-            .select("*", F.lit(step).alias("seen"), F.lit(None).cast("int").alias("reach"))
+            .mapInArrow(_count_shard(step < cycle, filters, rule.longest, step, bits), COUNTED)
         )
-        # Counters that have had their cycle without reaching the threshold go.
-        kept = state.filter((F.col("n") >= rule.least) | (F.col("seen") + cycle > step))
         updated = (
-            kept.unionByName(counted)
-            .groupBy("hash")
-            .agg(
-                F.min("size").alias("size"),
-                F.sum("n").alias("n"),
-                F.min("seen").alias("seen"),
-                F.min("reach").alias("reach"),
-            )
-            .withColumn("reach", F.coalesce("reach", F.when(F.col("n") >= rule.least, F.lit(step))))
+            state.select("bucket", "open", "reached")
+            .unionByName(counted)
+            .groupBy("bucket")
+            .applyInArrow(_sum_counters(step, cycle, rule.least, rule.longest), STATE)
         )
         updated.write.parquet(f"{folder}/state-{step}")
         state = spark.read.schema(STATE).parquet(f"{folder}/state-{step}")
         scratch.delete(f"state-{step - 1}")
-        parts = state.filter(F.col("reach").isNotNull() & (F.col("size") < rule.longest))
-        seen = parts.agg(F.count(F.lit(1)).alias("n"), F.max("reach").alias("last")).first()
+        seen = state.agg(
+            F.coalesce(F.sum("parts"), F.lit(0)).alias("n"),
+            F.coalesce(F.max("last"), F.lit(-1)).alias("last"),
+        ).first()
         # What the latest to reach the threshold can be part of has had its cycle then.
-        if step >= cycle - 1 and (seen.last is None or step >= seen.last + cycle):
+        if step >= cycle - 1 and (seen.last < 0 or step >= seen.last + cycle):
             break
         if filters is not None:
             filters.unpersist()
         step += 1
-        filters = _filters(parts, seen.n, step - cycle, rule.filter_bits) if seen.n else None
+        filters = _filters(state, seen.n, step - cycle, rule.longest, rule.filter_bits) if seen.n else None
     scratch.delete("codes")
-    frequent = state.filter(F.col("n") >= rule.least)
-    bits = _filters(frequent, max(1, frequent.count()), 0, rule.filter_bits)
+    size = F.coalesce(F.sum(F.octet_length("reached")), F.lit(0)) / COUNTER.itemsize
+    frequent = int(state.agg(size).first()[0])
+    chosen = _filters(state, max(1, frequent), 0, rule.longest + 1, rule.filter_bits)
     spelled = (
-        texts.mapInArrow(_spell(bits, rule.longest), "lang string, size int, phrase string, n long")
-        .groupBy("lang", "size", "phrase")
-        .agg(F.sum("n").alias("n"))
-        .filter(F.col("n") >= rule.least)
+        texts.mapInArrow(
+            _deal(_spell(chosen, rule.longest), bits),
+            "lang string, bucket int, phrases string, n binary",
+        )
+        .groupBy("lang", "bucket")
+        .applyInArrow(_sum_phrases(rule.least), "lang string, size int, phrase string, n long")
     )
     return written(spelled, "phrase-counts"), totals
 

@@ -6,6 +6,8 @@ from collections import Counter
 from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from logstow.llm import collocations
@@ -92,3 +94,53 @@ def test_scores_beyond_64_bits(spark):
     rows = [("x", 1, "a", big), ("x", 1, "b", big + 1), ("x", 2, "a b", big - 1)]
     got = score_phrases(spark.createDataFrame(rows, "lang string, size int, phrase string, n long"))
     assert got.first().score == 2000000 * (big - 1) // (2 * big + 1)
+
+
+def test_counters_are_kept_and_moved_as_runs(spark, tmp_path, monkeypatch):
+    """A row of the state is a run of counters, so rows do not grow with phrases."""
+    monkeypatch.setattr(collocations, "shared_dir", lambda spark, label: f"{tmp_path}/{label}")
+    monkeypatch.setattr(collocations, "Folder", lambda *a: SimpleNamespace(delete=lambda name: None))
+    rng = random.Random(7)
+    names = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(rng.choices(names, k=100)), "xy"[i % 2], "s", 0) for i in range(200)]
+    docs, rule = spark.createDataFrame(rows, DOCUMENTS).repartition(3), Mining(least=3)
+    got = sorted(tuple(r) for r in phrase_collocations(docs, rule).collect())
+    assert got == plain(docs.collect(), rule) != []
+    kept = [spark.read.parquet(str(p)).count() for p in tmp_path.glob("phrases/state-*")]
+    assert len(kept) > 2 and max(kept) < 100
+
+
+def test_counters_of_a_bucket_over_a_cycle():
+    def runs(counters):
+        values = np.array(counters, collocations.COUNTER)
+        return collocations._runs(values, np.arange(1 if len(values) else 0))
+
+    def after(step, opened, reached):
+        table = pa.table({"bucket": pa.array([3, 3], pa.int32()), "open": opened, "reached": reached})
+        out = collocations._sum_counters(step, 2, 5, 3)(table)
+        both = (collocations._values(out.column(c), collocations.COUNTER).tolist() for c in ("open", "reached"))
+        return *both, out.column("parts").to_pylist(), out.column("last").to_pylist()
+
+    new = [(7, 2, 2, 1, -1), (9, 1, 2, 1, -1), (2**63, 4, 3, 1, -1)]
+    again = [(7, 3, 2, 2, -1), (9, 1, 2, 2, -1), (11, 1, 2, 2, -1), (2**63, 1, 3, 2, -1)]
+    none = pa.array([b"", b""], pa.binary())
+    opened, reached, parts, last = after(1, pa.concat_arrays([runs(new), none[:1]]), none)
+    assert (opened, reached, parts, last) == (new, [], [0], [-1])
+    both = pa.concat_arrays([runs(new), runs(again)])
+    # 7 and 2**63 reach five in step 2, 9 has had its cycle, 11 goes on.
+    assert after(2, both, none) == ([(11, 1, 2, 2, -1)], [(7, 5, 2, 1, 2), (2**63, 5, 3, 1, 2)], [1], [2])
+    assert after(3, runs([(7, 1, 2, 3, -1)]).take(pa.array([0, None])).fill_null(b""), pa.concat_arrays(
+        [runs([(7, 5, 2, 1, 2)]), none[:1]]
+    )) == ([], [(7, 6, 2, 1, 2)], [1], [2])
+
+
+def test_phrases_are_dealt_and_summed_by_bucket(monkeypatch):
+    monkeypatch.setattr(collocations, "BLOCK_PHRASES", 4)
+    rows = [("x", 2, "a b", 3), ("y", 2, "a b", 1), ("x", 1, "ñ", 4), ("x", 2, "a b", 2), ("x", 1, "c", 1)] * 3
+    spelled = [pa.RecordBatch.from_pylist([dict(zip(("lang", "size", "phrase", "n"), r))]) for r in rows]
+    dealt = pa.Table.from_batches(collocations._deal(iter, 4)(iter(spelled)))
+    got = []
+    for lang, bucket in {(r["lang"], r["bucket"]) for r in dealt.to_pylist()}:
+        mine = (pc.field("lang") == lang) & (pc.field("bucket") == bucket)
+        got += collocations._sum_phrases(4)(dealt.filter(mine)).to_pylist()
+    assert sorted(tuple(r.values()) for r in got) == [("x", 1, "ñ", 12), ("x", 2, "a b", 15)]
